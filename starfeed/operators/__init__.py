@@ -1,5 +1,5 @@
 from starfeed.operators.dims import DIMENSIONS, Dimension, build_dimension
-from starfeed.operators.facts import JOIN_KEYS, FactSkew, fact_orders, fact_ratings, fact_skew
+from starfeed.operators.facts import JOIN_KEYS, FactSkew, fact_orders, fact_ratings, fact_skew, inputs_after
 from starfeed.operators.incremental import after_mark, distinct_keys, high_water_mark, new_rows
 from starfeed.operators.latest import latest_by_key
 from starfeed.operators.skew import hot_keys, skew_join
@@ -17,6 +17,7 @@ __all__ = [
     "fact_skew",
     "high_water_mark",
     "hot_keys",
+    "inputs_after",
     "latest_by_key",
     "new_rows",
     "skew_join",

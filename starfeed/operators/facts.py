@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
 from pyspark.sql import DataFrame, functions as F
 
 from starfeed.functions import paid_in_crypto, to_day
 from starfeed.operators.dims import build_dimension
-from starfeed.operators.incremental import BROADCAST_KEYS, after_mark, few_keys
+from starfeed.operators.incremental import BROADCAST_KEYS, after_mark, distinct_keys, few_keys
 from starfeed.operators.skew import Hot, hot_keys, skew_join
 from starfeed.workspace import written
 
@@ -34,16 +35,44 @@ FactSkew = Mapping[str, Mapping[str, Hot]]  # input -> join column -> hot keys
 
 
 def fact_skew(inputs: Mapping[str, DataFrame], **limits: Any) -> FactSkew:
-    """The hot keys of each input of the order fact (see ``hot_keys``)."""
-    return {name: hot_keys(inputs[name], columns, **limits) for name, columns in JOIN_KEYS.items()}
+    """The hot keys of the given inputs of the order fact (see ``hot_keys``), looked for
+    in all of them at the same time."""
+    names = [name for name in JOIN_KEYS if name in inputs]
 
+    def look(name: str) -> Mapping[str, Hot]:
+        return hot_keys(inputs[name], JOIN_KEYS[name], **limits)
 
-def fact_orders(
-    inputs: Mapping[str, DataFrame],
-    mark: Any = None,
-    skew: FactSkew | None = None,
-    probe: int = BROADCAST_KEYS,
-) -> DataFrame:
+    with ThreadPoolExecutor(len(names)) as pool:
+        return dict(zip(names, pool.map(look, names)))
+
+
+def inputs_after(inputs: Mapping[str, DataFrame], mark: Any, probe: int = BROADCAST_KEYS) -> dict[str, DataFrame]:
+    """The inputs of the order fact cut down to orders dated after the mark.
+
+    The new orders are written out, and their ids counted. Up to ``probe`` of them are
+    broadcast to cut lines and assignments down where they are read, so that a daily
+    run scans the history once and shuffles none of it. More of them, and the
+    lines and assignments stay whole for the joins to sort out.
+    """
+    if mark is None:
+        return dict(inputs)
+    pedidos = inputs["pedidos"]
+    day = "_day"
+    new = after_mark(pedidos.withColumn(day, to_day(pedidos, "fechaCreacion")), day, mark).drop(day)
+    cut = {**inputs, "pedidos": written(new, "new-orders")}
+    wanted = distinct_keys(cut["pedidos"], "pedido_id")
+    if not few_keys(wanted, probe):
+        return cut
+
+    def slice_of(name: str) -> DataFrame:
+        return written(inputs[name].join(F.broadcast(wanted), "pedido_id", "left_semi"), f"new-{name}")
+
+    names = ["pedido_productos", "asignaciones"]
+    with ThreadPoolExecutor(len(names)) as pool:
+        return {**cut, **dict(zip(names, pool.map(slice_of, names)))}
+
+
+def fact_orders(inputs: Mapping[str, DataFrame], skew: FactSkew | None = None) -> DataFrame:
     """Order lines with their order, product, customer and assigned driver.
 
     One row per line x order x product x customer x assignment x driver that match:
@@ -51,10 +80,6 @@ def fact_orders(
     with a NULL driver; an assignment to an unknown driver keeps its id. Nothing is
     de-duplicated. ``total_producto`` is the unit price of the line.
 
-    With a ``mark`` only orders dated after it are built. Their ids are counted and,
-    up to ``probe`` of them, broadcast to cut lines and assignments down while they
-    are read; a daily run then shuffles nothing of the history.
-
     The narrow line rows meet the products before the wide order rows, so order text
     is shuffled at order grain only, and orders, assignments and lines meet on one
     shared partitioning by order. An input for which ``skew`` names hot keys must be read
@@ -74,21 +99,17 @@ def fact_orders(
     pedidos = inputs["pedidos"]
     orders = tagged(
         "pedidos",
-        after_mark(
-            pedidos.select(
-                "pedido_id",
-                F.col("cliente_id_pedido").alias("cliente_id"),
-                to_day(pedidos, "fechaCreacion").alias("fecha_pedido"),
-                "metodoPago",
-                F.col("estado_pedido").alias("estado"),
-                paid_in_crypto("metodoPago").alias("es_cripto"),
-                "tenant_id",
-                "calificacion",
-                "comentario",
-                "tiempo_entrega_min",
-            ),
-            "fecha_pedido",
-            mark,
+        pedidos.select(
+            "pedido_id",
+            F.col("cliente_id_pedido").alias("cliente_id"),
+            to_day(pedidos, "fechaCreacion").alias("fecha_pedido"),
+            "metodoPago",
+            F.col("estado_pedido").alias("estado"),
+            paid_in_crypto("metodoPago").alias("es_cripto"),
+            "tenant_id",
+            "calificacion",
+            "comentario",
+            "tiempo_entrega_min",
         ),
     )
     lines = tagged(
@@ -104,12 +125,6 @@ def fact_orders(
     customers = tagged("usuarios", inputs["usuarios"].select("cliente_id"))
     drivers = tagged("repartidores", inputs["repartidores"].select("repartidor_id"))
 
-    if mark is not None:
-        wanted = written(orders.select("pedido_id").distinct(), "new-orders")
-        if few_keys(wanted, probe):
-            lines = lines.join(F.broadcast(wanted), "pedido_id", "left_semi")
-            assigned = assigned.join(F.broadcast(wanted), "pedido_id", "left_semi")
-
     priced = skew_join(
         lines,
         products,

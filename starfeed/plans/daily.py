@@ -10,9 +10,8 @@ from typing import Any
 from pyspark.sql import DataFrame
 
 from starfeed.operators.dims import DIMENSIONS, build_dimension, project
-from starfeed.operators.facts import fact_orders
+from starfeed.operators.facts import fact_orders, fact_skew, inputs_after
 from starfeed.operators.incremental import BROADCAST_KEYS, new_rows
-from starfeed.operators.skew import Hot
 from starfeed.plans.load_plan import LOAD_PLAN, ORDER_FACT, ORDER_FACT_DAY, ORDER_FACT_PAIR, RATING_FACT, LoadStep
 from starfeed.sinks import JdbcWarehouse, ParquetWarehouse
 
@@ -39,13 +38,17 @@ def new_dimension_rows(
     return rows.dropDuplicates()
 
 
+def facts_after(inputs: Mapping[str, DataFrame], mark: Any, probe: int) -> DataFrame:
+    part = inputs_after(inputs, mark, probe)
+    return fact_orders(part, fact_skew(part))
+
+
 def new_order_facts(
     inputs: Mapping[str, DataFrame],
     warehouse: Warehouse,
     mark: Any,
     resume: bool = False,
     lookback_days: int = 0,
-    skew: Mapping[str, Mapping[str, Hot]] | None = None,
     probe: int = BROADCAST_KEYS,
 ) -> DataFrame:
     """The order facts to add after ``mark``.
@@ -56,14 +59,14 @@ def new_order_facts(
     late orders of a day that was loaded already.
     """
     if resume:
-        rows = fact_orders(inputs, mark, skew, probe)
+        rows = facts_after(inputs, mark, probe)
         stored = warehouse.stored(ORDER_FACT, rows.columns, after=mark)
         return rows if stored is None else rows.exceptAll(stored)
     if mark is not None and lookback_days:
         since = mark - timedelta(days=lookback_days)
         stored = warehouse.stored(ORDER_FACT, list(ORDER_FACT_PAIR), after=since)
-        return new_rows(fact_orders(inputs, since, skew, probe), stored, ORDER_FACT_PAIR)
-    return fact_orders(inputs, mark, skew, probe)
+        return new_rows(facts_after(inputs, since, probe), stored, ORDER_FACT_PAIR)
+    return facts_after(inputs, mark, probe)
 
 
 def run_daily(
@@ -72,13 +75,13 @@ def run_daily(
     load_id: str,
     literal: bool = False,
     lookback_days: int = 0,
-    skew: Mapping[str, Mapping[str, Hot]] | None = None,
     probe: int = BROADCAST_KEYS,
-    writers: int = 4,
+    writers: int = 8,
 ) -> dict[str, int]:
     """Load all tables; returns the rows added to each.
 
-    Running it again on the same inputs adds nothing. ``literal`` keeps the plain
+    ``inputs`` are tables read from files (see ``sources.land``). Running it again on
+    the same inputs adds nothing. ``literal`` keeps the plain
     rules instead: wallets and the ratings dimension are appended whole each time,
     locations and sessions are keyed by driver alone, and rows with a NULL key are
     added each time.
@@ -96,7 +99,7 @@ def run_daily(
 
     with ThreadPoolExecutor(writers) as pool:
         added = dict(zip([s.table for s in LOAD_PLAN], pool.map(load, LOAD_PLAN)))
-    facts = new_order_facts(inputs, warehouse, mark, bool(left_over), lookback_days, skew, probe)
+    facts = new_order_facts(inputs, warehouse, mark, bool(left_over), lookback_days, probe)
     added[ORDER_FACT] = warehouse.append(ORDER_FACT, facts, load_id)
     added[RATING_FACT.table] = load(RATING_FACT)
     warehouse.finish(load_id, mark, added)

@@ -6,7 +6,8 @@ queries is given by a condition on the data, e.g. the orders dated before 2000.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -25,8 +26,9 @@ from starfeed.operators import (
     skew_join,
 )
 from starfeed.operators.dims import DIMENSIONS
+from starfeed.operators.incremental import BROADCAST_KEYS
 from starfeed.plans import LOAD_PLAN, run_daily
-from starfeed.plans.daily import new_order_facts
+from starfeed.plans.daily import facts_after, new_order_facts
 from starfeed.sinks import ParquetWarehouse
 from starfeed.sources import SOURCES, load_sources, read_csv, source_path
 from starfeed.sources import testdata
@@ -62,11 +64,28 @@ def fact_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return testdata.load(spark, sf_dir, JOIN_KEYS)
 
 
+def whole_fact(inputs: Mapping[str, DataFrame]) -> DataFrame:
+    """The order fact of inputs that are files already, but for the assignments derived
+    here: these are written out while hot keys are looked for in the others."""
+    given = {name: df for name, df in inputs.items() if name != "asignaciones"}
+    with ThreadPoolExecutor(1) as pool:
+        assigned = pool.submit(written, inputs["asignaciones"], "assignments")
+        skew = fact_skew(given)
+        filed = {**given, "asignaciones": assigned.result()}
+    return fact_orders(filed, {**skew, **fact_skew({"asignaciones": filed["asignaciones"]})})
+
+
 def balanced_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """A join on ``key`` that splits the keys heavy on the left."""
     return skew_join(left, right, key, how, left_hot=hot_keys(left, [key])[key])
 
 
+def daily_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All inputs as files, as after landing the extracts."""
+    inputs = testdata.load(spark, sf_dir)
+    return {**inputs, "asignaciones": written(inputs["asignaciones"], "assignments")}
+
+
 # ---- star schema ----------------------------------------------------------------------
 
 
@@ -78,8 +97,7 @@ def dimension(name: str) -> Query:
 
 
 def fact_pedidos(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inputs = fact_inputs(spark, sf_dir)
-    return fact_orders(inputs, skew=fact_skew(inputs))
+    return whole_fact(fact_inputs(spark, sf_dir))
 
 
 def stored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +112,7 @@ def fact_pedidos_first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_pedidos_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     mark = high_water_mark(stored_orders(spark, sf_dir), "fecha_pedido")
-    return fact_orders(fact_inputs(spark, sf_dir), mark)
+    return facts_after(fact_inputs(spark, sf_dir), mark, BROADCAST_KEYS)
 
 
 def fact_pedidos_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,9 +152,7 @@ def join_left_using(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def join_left_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    assigned = testdata.all_assignments(spark, sf_dir)
-    inputs = {**fact_inputs(spark, sf_dir), "asignaciones": written(assigned, "assignments")}
-    return fact_orders(inputs, skew=fact_skew(inputs))
+    return whole_fact({**fact_inputs(spark, sf_dir), "asignaciones": testdata.all_assignments(spark, sf_dir)})
 
 
 def join_left_on(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,14 +258,13 @@ def counts_table(spark: SparkSession, added: dict[str, int]) -> DataFrame:
 
 
 def full_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inputs = testdata.load(spark, sf_dir)
     warehouse = ParquetWarehouse(spark, work_dir(spark, "warehouse"))
-    return counts_table(spark, run_daily(inputs, warehouse, "first", skew=fact_skew(inputs)))
+    return counts_table(spark, run_daily(daily_inputs(spark, sf_dir), warehouse, "first"))
 
 
 def next_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a load adds to one made when the year 2000 had not begun."""
-    inputs = testdata.load(spark, sf_dir)
+    inputs = daily_inputs(spark, sf_dir)
     before = {
         **inputs,
         "pedidos": inputs["pedidos"].where("fechaCreacion < '2000-01-01'"),
