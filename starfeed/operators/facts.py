@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame, functions as F
@@ -21,29 +22,54 @@ FACT_ORDER_COLUMNS = [
 ]
 
 
-# The inputs of the order fact and the columns they are joined on.
-JOIN_KEYS = {
-    "pedido_productos": ["producto_id", "pedido_id"],
-    "pedidos": ["cliente_id_pedido", "pedido_id"],
-    "asignaciones": ["pedido_id", "repartidorId"],
-    "productos": ["producto_id"],
-    "usuarios": ["cliente_id"],
-    "repartidores": ["repartidor_id"],
+# The inputs of the order fact and the columns they are joined on: the large ones first,
+# then the dimensions with the large input and column that refer to them.
+LARGE = {
+    "pedido_productos": ["pedido_id"],
+    "pedidos": ["pedido_id"],
+    "asignaciones": ["pedido_id"],
 }
+DIMENSION_KEYS = {
+    "productos": ("producto_id", "pedido_productos", "producto_id"),
+    "usuarios": ("cliente_id", "pedidos", "cliente_id_pedido"),
+    "repartidores": ("repartidor_id", "asignaciones", "repartidorId"),
+}
+FACT_INPUTS = (*LARGE, *DIMENSION_KEYS)
 
-FactSkew = Mapping[str, Mapping[str, Hot]]  # input -> join column -> hot keys
 
+@dataclass(frozen=True)
+class FactProfile:
+    """What the join plan of the order fact depends on: the dimensions small enough to
+    broadcast, and the hot keys of each input (input -> column -> keys)."""
 
-def fact_skew(inputs: Mapping[str, DataFrame], **limits: Any) -> FactSkew:
-    """The hot keys of the given inputs of the order fact (see ``hot_keys``), looked for
-    in all of them at the same time."""
-    names = [name for name in JOIN_KEYS if name in inputs]
+    small: frozenset[str] = frozenset()
+    hot: Mapping[str, Mapping[str, Hot]] = field(default_factory=dict)
 
-    def look(name: str) -> Mapping[str, Hot]:
-        return hot_keys(inputs[name], JOIN_KEYS[name], **limits)
+    def keys(self, name: str, column: str) -> Hot:
+        return self.hot.get(name, {}).get(column, {})
 
-    with ThreadPoolExecutor(len(names)) as pool:
-        return dict(zip(names, pool.map(look, names)))
+    def tag(self, name: str) -> str | None:
+        """The row tag an input needs to be split, if it has hot keys."""
+        return f"_row_{name}" if any(self.hot.get(name, {}).values()) else None
+
+
+def fact_profile(inputs: Mapping[str, DataFrame], probe: int = BROADCAST_KEYS, **limits: Any) -> FactProfile:
+    """Size up the dimensions, then look for hot keys on the columns that will be
+    shuffled (see ``hot_keys``); several inputs at a time."""
+
+    def is_small(name: str) -> bool:
+        columns = ["producto_id", "catalogo_id"] if name == "productos" else [DIMENSION_KEYS[name][0]]
+        return few_keys(inputs[name].select(*columns), probe)
+
+    with ThreadPoolExecutor(len(FACT_INPUTS)) as pool:
+        small = frozenset(n for n, yes in zip(DIMENSION_KEYS, pool.map(is_small, DIMENSION_KEYS)) if yes)
+        shuffled = {name: list(columns) for name, columns in LARGE.items()}
+        for name, (key, referrer, column) in DIMENSION_KEYS.items():
+            if name not in small:
+                shuffled[name] = [key]
+                shuffled[referrer].append(column)
+        found = pool.map(lambda name: hot_keys(inputs[name], shuffled[name], **limits), shuffled)
+        return FactProfile(small, dict(zip(shuffled, found)))
 
 
 def inputs_after(inputs: Mapping[str, DataFrame], mark: Any, probe: int = BROADCAST_KEYS) -> dict[str, DataFrame]:
@@ -72,7 +98,7 @@ def inputs_after(inputs: Mapping[str, DataFrame], mark: Any, probe: int = BROADC
         return {**cut, **dict(zip(names, pool.map(slice_of, names)))}
 
 
-def fact_orders(inputs: Mapping[str, DataFrame], skew: FactSkew | None = None) -> DataFrame:
+def fact_orders(inputs: Mapping[str, DataFrame], profile: FactProfile = FactProfile()) -> DataFrame:
     """Order lines with their order, product, customer and assigned driver.
 
     One row per line x order x product x customer x assignment x driver that match:
@@ -82,24 +108,14 @@ def fact_orders(inputs: Mapping[str, DataFrame], skew: FactSkew | None = None) -
 
     The narrow line rows meet the products before the wide order rows, so order text
     is shuffled at order grain only, and orders, assignments and lines meet on one
-    shared partitioning by order. An input for which ``skew`` names hot keys must be read
-    straight from files: its rows are told apart by position, which repeats exactly
-    when a lost task is run again.
+    shared partitioning by order. An input for which ``profile`` names hot keys must be
+    read straight from files: its rows are told apart by position, which repeats
+    exactly when a lost task is run again.
     """
-    skew = skew or {}
-
-    def hot(name: str, column: str) -> Hot:
-        return skew.get(name, {}).get(column, {})
-
-    def tagged(name: str, df: DataFrame) -> DataFrame:
-        if not any(skew.get(name, {}).values()):
-            return df
-        return df.withColumn(f"_row_{name}", F.monotonically_increasing_id())
-
     pedidos = inputs["pedidos"]
-    orders = tagged(
-        "pedidos",
-        pedidos.select(
+    columns = {
+        "pedido_productos": ["pedido_id", "producto_id", F.col("precio_unitario").alias("total_producto")],
+        "pedidos": [
             "pedido_id",
             F.col("cliente_id_pedido").alias("cliente_id"),
             to_day(pedidos, "fechaCreacion").alias("fecha_pedido"),
@@ -110,61 +126,57 @@ def fact_orders(inputs: Mapping[str, DataFrame], skew: FactSkew | None = None) -
             "calificacion",
             "comentario",
             "tiempo_entrega_min",
-        ),
-    )
-    lines = tagged(
-        "pedido_productos",
-        inputs["pedido_productos"].select(
-            "pedido_id", "producto_id", F.col("precio_unitario").alias("total_producto")
-        ),
-    )
-    assigned = tagged(
-        "asignaciones", inputs["asignaciones"].select("pedido_id", F.col("repartidorId").alias("repartidor_id"))
-    )
-    products = tagged("productos", inputs["productos"].select("producto_id", "catalogo_id"))
-    customers = tagged("usuarios", inputs["usuarios"].select("cliente_id"))
-    drivers = tagged("repartidores", inputs["repartidores"].select("repartidor_id"))
-
-    priced = skew_join(
-        lines,
-        products,
-        "producto_id",
-        left_hot=hot("pedido_productos", "producto_id"),
-        right_hot=hot("productos", "producto_id"),
-    )
-    bought = skew_join(
-        orders,
-        customers,
-        "cliente_id",
-        left_hot=hot("pedidos", "cliente_id_pedido"),
-        right_hot=hot("usuarios", "cliente_id"),
-    )
-    driven = skew_join(
-        assigned,
-        drivers,
-        "repartidor_id",
-        "left",
-        left_hot=hot("asignaciones", "repartidorId"),
-        right_hot=hot("repartidores", "repartidor_id"),
+        ],
+        "asignaciones": ["pedido_id", F.col("repartidorId").alias("repartidor_id")],
+        "productos": ["producto_id", "catalogo_id"],
+        "usuarios": ["cliente_id"],
+        "repartidores": ["repartidor_id"],
+    }
+    tables = {name: _tagged(inputs[name].select(*columns[name]), profile.tag(name)) for name in FACT_INPUTS}
+
+    def with_dimension(name: str, how: str = "inner") -> DataFrame:
+        key, referrer, column = DIMENSION_KEYS[name]
+        if name in profile.small:
+            return skew_join(tables[referrer], F.broadcast(tables[name]), key, how)
+        return skew_join(
+            tables[referrer],
+            tables[name],
+            key,
+            how,
+            left_hot=profile.keys(referrer, column),
+            right_hot=profile.keys(name, key),
+            left_tag=profile.tag(referrer),
+            right_tag=profile.tag(name),
+        )
+
+    priced, bought, driven = (
+        with_dimension("productos"), with_dimension("usuarios"), with_dimension("repartidores", "left"),
     )
     placed = skew_join(
         bought,
         driven,
         "pedido_id",
         "left",
-        left_hot=hot("pedidos", "pedido_id"),
-        right_hot=hot("asignaciones", "pedido_id"),
+        left_hot=profile.keys("pedidos", "pedido_id"),
+        right_hot=profile.keys("asignaciones", "pedido_id"),
+        left_tag=profile.tag("pedidos"),
+        right_tag=profile.tag("asignaciones"),
     )
     fact = skew_join(
         priced,
         placed,
         "pedido_id",
-        left_hot=hot("pedido_productos", "pedido_id"),
-        right_hot={**hot("pedidos", "pedido_id"), **hot("asignaciones", "pedido_id")},
+        left_hot=profile.keys("pedido_productos", "pedido_id"),
+        right_hot={**profile.keys("pedidos", "pedido_id"), **profile.keys("asignaciones", "pedido_id")},
+        left_tag=profile.tag("pedido_productos"),
     )
     return fact.select(*FACT_ORDER_COLUMNS)
 
 
+def _tagged(df: DataFrame, tag: str | None) -> DataFrame:
+    return df if tag is None else df.withColumn(tag, F.monotonically_increasing_id())
+
+
 def fact_ratings(inputs: Mapping[str, DataFrame]) -> DataFrame:
     """The ratings at their own grain: the rows of the ratings dimension."""
     return build_dimension("dim_ratings", inputs)

@@ -53,6 +53,13 @@ def distinct_keys(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     return df.select(*([keys] if isinstance(keys, str) else keys)).distinct()
 
 
+def repeated_keys(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+    """One row, ``repetidas``: how many keys occur in more than one row. Whole-row
+    de-duplication and the incremental load both leave such rows in place."""
+    per_key = df.groupBy(*([keys] if isinstance(keys, str) else keys)).agg(F.count(F.lit(1)).alias("_n"))
+    return per_key.agg(F.count_if(F.col("_n") > 1).alias("repetidas"))
+
+
 def new_rows(
     df: DataFrame,
     stored: DataFrame | None,

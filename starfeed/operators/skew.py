@@ -18,10 +18,11 @@ Hot = Mapping[Any, int]  # key -> number of slots its rows are spread over
 
 
 def hot_keys(
-    df: DataFrame, columns: Sequence[str], share: float = 0.002, min_rows: int = 1_000_000
+    df: DataFrame, columns: Sequence[str], share: float | None = None, min_rows: int = 1_000_000
 ) -> dict[str, dict[Any, int]]:
     """Per column, the keys that hold more than ``share`` of the rows, each with the
-    number of slots that brings its rows down to about that share.
+    number of slots that brings its rows down to about that share. The usual share
+    is four times what a shuffle task gets on average, between 0.05 % and 2 %.
 
     Each task keeps a sketch of bounded size, so nothing is shuffled by key, and at
     most ``1/share`` keys reach the driver. Keys well above the share are always
@@ -29,8 +30,11 @@ def hot_keys(
     Below ``min_rows`` rows no key is worth splitting, and only a count is run.
     """
     total = df.count()
-    if total < min_rows:
+    if total < min_rows or not columns:
         return {c: {} for c in columns}
+    if share is None:
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        share = min(0.02, max(0.0005, 4 / tasks))
     most = math.ceil(1 / share)
     sketches = [F.expr(f"approx_top_k(`{c}`, {most}, {20 * most})").alias(c) for c in columns]
     found = df.agg(*sketches).first()
@@ -50,6 +54,8 @@ def skew_join(
     left_hot: Hot | None = None,
     right_hot: Hot | None = None,
     null_safe: bool = False,
+    left_tag: str | None = None,
+    right_tag: str | None = None,
 ) -> DataFrame:
     """``left.join(right, keys, how)`` for inner, left, left_semi and left_anti joins,
     with the columns of ``left`` first and in their order.
@@ -60,8 +66,8 @@ def skew_join(
     applies to inner and left joins only. A key in ``right_hot`` must occur on the right.
 
     Rows are spread by content, so a recomputed task puts them where they were.
-    Whole-row copies share a slot; where they can be many, give the rows a tag
-    column first (see ``facts.fact_orders``).
+    Whole-row copies then share a slot. Where they can be many, name a tag: a number
+    column that differs between the rows and is itself the same when recomputed.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if how not in ("inner", "left", "left_semi", "left_anti"):
@@ -71,6 +77,8 @@ def skew_join(
         right_hot = {}
     if not null_safe:
         right_hot.pop(None, None)  # a NULL key on the right matches nothing
+        if how in ("inner", "left_semi"):
+            left_hot.pop(None, None)  # nor does one on the left, and it is dropped before any shuffle
     columns = left.columns
     extra = [c for c in right.columns if c not in keys] if how in ("inner", "left") else []
     on = [_match(k, f"_r_{k}", null_safe) for k in keys]
@@ -86,13 +94,14 @@ def skew_join(
                 ]
             ),
         )
-        left, right = _with_slots(left, slots, keys[0]), _with_slots(right, slots, keys[0])
+        null_hot = None in left_hot or None in right_hot
+        left, right = (_with_slots(df, slots, keys[0], null_hot) for df in (left, right))
         if left_hot:
-            left = left.withColumn("_i", _own_slot(columns, "_of_left"))
+            left = left.withColumn("_i", _own_slot(columns, left_tag, "_of_left"))
             right = right.withColumn("_r_i", _all_slots("_of_left"))
             on.append(F.col("_i") == F.col("_r_i"))
         if right_hot:
-            right = right.withColumn("_r_j", _own_slot([*keys, *extra], "_of_right"))
+            right = right.withColumn("_r_j", _own_slot([*keys, *extra], right_tag, "_of_right"))
             left = left.withColumn("_j", _all_slots("_of_right"))
             on.append(F.col("_j") == F.col("_r_j"))
 
@@ -107,14 +116,16 @@ def skew_join(
     return joined.select(*columns, *extra)
 
 
-def _with_slots(df: DataFrame, slots: DataFrame, key: str) -> DataFrame:
+def _with_slots(df: DataFrame, slots: DataFrame, key: str, null_hot: bool) -> DataFrame:
     # at most 1/share rows per side, collected by hot_keys: safe to broadcast
-    tagged = df.join(F.broadcast(slots), df[key].eqNullSafe(slots["_hot"]), "left").drop("_hot")
+    same = df[key].eqNullSafe(slots["_hot"]) if null_hot else df[key] == slots["_hot"]
+    tagged = df.join(F.broadcast(slots), same, "left").drop("_hot")
     return tagged.fillna(1, ["_of_left", "_of_right"])
 
 
-def _own_slot(columns: Sequence[str], count: str) -> Column:
-    return F.when(F.col(count) == 1, 0).otherwise(F.pmod(F.xxhash64(*columns), F.col(count))).cast("int")
+def _own_slot(columns: Sequence[str], tag: str | None, count: str) -> Column:
+    number = F.col(tag) if tag else F.xxhash64(*columns)
+    return F.when(F.col(count) == 1, 0).otherwise(F.pmod(number, F.col(count))).cast("int")
 
 
 def _all_slots(count: str) -> Column:

@@ -104,24 +104,13 @@ LATE_MARK = """
     and exists (select 1 from lineitem where l_orderkey = o_orderkey)"""
 
 
-def incremental_dims() -> str:
-    counts = []
-    for name, sql in DIMS.items():
-        key = KEYS.get(name, "#1")
-        if key == "#1":
-            key = FIRST_COLUMN[name]
-        counts.append(
-            f"select '{name}' as tabla, count(*) as nuevas from ({sql}) d "
-            f"where ({key}) not in (select ({key}) from ({sql}) s where {STORED[name]})"
-        )
-    return " union all ".join(counts)
-
-
 FIRST_COLUMN = {
     "dim_clientes": "cliente_id",
     "dim_wallets": "cliente_id",
     "dim_productos": "producto_id",
     "dim_repartidores": "repartidor_id",
+    "dim_ubicaciones": '"repartidorId"',
+    "dim_sesiones": '"repartidorId"',
     "dim_transacciones": "id",
     "dim_wallets_blockchain": "id",
     "dim_tenants": "tenant_id",
@@ -135,6 +124,25 @@ FIRST_COLUMN = {
 }
 
 
+def incremental_dims() -> str:
+    counts = []
+    for name, sql in DIMS.items():
+        key = KEYS.get(name, FIRST_COLUMN[name])
+        counts.append(
+            f"select '{name}' as tabla, count(*) as nuevas from ({sql}) d "
+            f"where ({key}) not in (select ({key}) from ({sql}) s where {STORED[name]})"
+        )
+    return " union all ".join(counts)
+
+
+def repeated_keys() -> str:
+    return " union all ".join(
+        f"select '{name}' as tabla, count(*) as repetidas from "
+        f"(select 1 from ({sql}) d group by {FIRST_COLUMN[name]} having count(*) > 1)"
+        for name, sql in DIMS.items()
+    )
+
+
 def load_counts(tables: dict[str, str]) -> str:
     return " union all ".join(
         f"select '{name}' as tabla, count(*) as filas from ({sql}) t" for name, sql in tables.items()
@@ -188,6 +196,7 @@ ORACLE: dict[str, str] = {
       select * from ({DIMS['dim_ubicaciones']}) d where "repartidorId" not in (
         select user_id from events where event_type = 'signup' and ts < '2024-01-03')""",
     "incremental_dims": incremental_dims(),
+    "repeated_keys": repeated_keys(),
     "src_csv_roundtrip": "select * from documents",
     "src_csv_catalog": fact(),
     "sink_roundtrip": fact(),
@@ -205,6 +214,10 @@ ORACLE: dict[str, str] = {
              ts as "timestamp" from events""",
     "stream_status": """
       select cast(event_id as varchar) as pedido_id, event_type as estado, ts as "timestamp" from events""",
+    "stream_two_feeds": """
+      select 'ubicaciones_realtime' as tabla, cast(user_id as varchar) as clave, ts as "timestamp" from events
+      union all
+      select 'estado_pedidos_realtime', cast(event_id as varchar), ts from events""",
     "latest_by_key": """
       select event_id, ts, user_id, event_type, value from events
       qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1""",

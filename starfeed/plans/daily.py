@@ -10,7 +10,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 
 from starfeed.operators.dims import DIMENSIONS, build_dimension, project
-from starfeed.operators.facts import fact_orders, fact_skew, inputs_after
+from starfeed.operators.facts import fact_orders, fact_profile, inputs_after
 from starfeed.operators.incremental import BROADCAST_KEYS, new_rows
 from starfeed.plans.load_plan import LOAD_PLAN, ORDER_FACT, ORDER_FACT_DAY, ORDER_FACT_PAIR, RATING_FACT, LoadStep
 from starfeed.sinks import JdbcWarehouse, ParquetWarehouse
@@ -40,7 +40,7 @@ def new_dimension_rows(
 
 def facts_after(inputs: Mapping[str, DataFrame], mark: Any, probe: int) -> DataFrame:
     part = inputs_after(inputs, mark, probe)
-    return fact_orders(part, fact_skew(part))
+    return fact_orders(part, fact_profile(part))
 
 
 def new_order_facts(

@@ -13,16 +13,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starfeed.functions import message_fields, to_day
 from starfeed.operators import (
-    JOIN_KEYS,
+    FACT_INPUTS,
     build_dimension,
     distinct_keys,
     fact_orders,
+    fact_profile,
     fact_ratings,
-    fact_skew,
     high_water_mark,
     hot_keys,
     latest_by_key,
     new_rows,
+    repeated_keys,
     skew_join,
 )
 from starfeed.operators.dims import DIMENSIONS
@@ -32,7 +33,7 @@ from starfeed.plans.daily import facts_after, new_order_facts
 from starfeed.sinks import ParquetWarehouse
 from starfeed.sources import SOURCES, load_sources, read_csv, source_path
 from starfeed.sources import testdata
-from starfeed.streaming import LOCATIONS, STATUSES, LatestState, ParquetLog, parse_messages, start_feed
+from starfeed.streaming import LOCATIONS, STATUSES, LatestState, ParquetLog, parse_messages, run_feeds, start_feed
 from starfeed.workspace import work_dir, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,23 +62,20 @@ STORED_BEFORE = {
 
 
 def fact_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return testdata.load(spark, sf_dir, JOIN_KEYS)
+    return testdata.load(spark, sf_dir, FACT_INPUTS)
 
 
 def whole_fact(inputs: Mapping[str, DataFrame]) -> DataFrame:
-    """The order fact of inputs that are files already, but for the assignments derived
-    here: these are written out while hot keys are looked for in the others."""
-    given = {name: df for name, df in inputs.items() if name != "asignaciones"}
-    with ThreadPoolExecutor(1) as pool:
-        assigned = pool.submit(written, inputs["asignaciones"], "assignments")
-        skew = fact_skew(given)
-        filed = {**given, "asignaciones": assigned.result()}
-    return fact_orders(filed, {**skew, **fact_skew({"asignaciones": filed["asignaciones"]})})
+    """The order fact of inputs that are files already, but for the assignments derived here."""
+    filed = {**inputs, "asignaciones": written(inputs["asignaciones"], "assignments")}
+    return fact_orders(filed, fact_profile(filed))
 
 
 def balanced_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """A join on ``key`` that splits the keys heavy on the left."""
-    return skew_join(left, right, key, how, left_hot=hot_keys(left, [key])[key])
+    """A join on ``key`` that splits the keys heavy on either side."""
+    with ThreadPoolExecutor(2) as pool:
+        left_hot, right_hot = pool.map(lambda df: hot_keys(df, [key])[key], (left, right))
+    return skew_join(left, right, key, how, left_hot, right_hot)
 
 
 def daily_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -210,6 +208,17 @@ def incremental_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts
 
 
+def repeated_keys_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per dimension, the keys of more than one row, by the keys of the literal load."""
+    inputs = testdata.load(spark, sf_dir)
+    found = None
+    for step in LOAD_PLAN:
+        rows = build_dimension(step.table, inputs)
+        count = repeated_keys(rows, step.literal_keys or step.keys).select(F.lit(step.table).alias("tabla"), "repetidas")
+        found = count if found is None else found.unionAll(count)
+    return found
+
+
 # ---- sources and sinks ------------------------------------------------------------------
 
 
@@ -243,7 +252,7 @@ def src_csv_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
         "productos": {"catalogo_id": kept["productos"]["catalogo_id"]},
         "pedido_productos": {"precio_unitario": kept["pedido_productos"]["precio_unitario"]},
     }
-    return fact_orders(load_sources(spark, base, JOIN_KEYS, extra_types=prices))
+    return fact_orders(load_sources(spark, base, FACT_INPUTS, extra_types=prices))
 
 
 def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -350,6 +359,22 @@ def stream_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_time(log.read(spark).drop("ingestion_time"))
 
 
+def stream_two_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    logs = {feed.topic: ParquetLog(work_dir(spark, feed.table)) for feed in (LOCATIONS, STATUSES)}
+    events = event_stream(spark, sf_dir)
+    run_feeds(
+        {LOCATIONS.topic: location_messages(events), STATUSES.topic: status_messages(events)},
+        {topic: log.write for topic, log in logs.items()},
+        work_dir(spark, "checkpoint"),
+        available_now=True,
+    )
+    parts = [
+        logs[feed.topic].read(spark).select(F.lit(feed.table).alias("tabla"), F.col(feed.key).alias("clave"), "timestamp")
+        for feed in (LOCATIONS, STATUSES)
+    ]
+    return plain_time(parts[0].unionAll(parts[1]))
+
+
 def latest_by_key_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = testdata.table(spark, sf_dir, "events").drop("props")
     return latest_by_key(events, "user_id", ["ts", "event_id"])
@@ -391,6 +416,7 @@ QUERIES: dict[str, Query] = {
     "anti_new_customers": anti_new_customers,
     "anti_nonunique_key": anti_nonunique_key,
     "incremental_dims": incremental_dims,
+    "repeated_keys": repeated_keys_query,
     "src_csv_roundtrip": src_csv_roundtrip,
     "src_csv_catalog": src_csv_catalog,
     "sink_roundtrip": sink_roundtrip,
@@ -400,6 +426,7 @@ QUERIES: dict[str, Query] = {
     "json_malformed": json_malformed,
     "stream_locations": stream_locations,
     "stream_status": stream_status,
+    "stream_two_feeds": stream_two_feeds,
     "latest_by_key": latest_by_key_query,
     "stream_upsert": stream_upsert,
 }

@@ -1,4 +1,4 @@
-from starfeed.streaming.feeds import LOCATIONS, STATUSES, Feed, await_feeds, parse_messages, start_feed
+from starfeed.streaming.feeds import LOCATIONS, STATUSES, Feed, await_feeds, parse_messages, run_feeds, start_feed
 from starfeed.streaming.logs import JdbcLog, ParquetLog
 from starfeed.streaming.state import LatestState
 
@@ -11,5 +11,6 @@ __all__ = [
     "ParquetLog",
     "await_feeds",
     "parse_messages",
+    "run_feeds",
     "start_feed",
 ]

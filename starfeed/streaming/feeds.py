@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -67,6 +67,30 @@ def start_feed(
     return writer.start()
 
 
+def run_feeds(
+    messages: Mapping[str, DataFrame],
+    writers: Mapping[str, Callable[[DataFrame, int], None]],
+    checkpoints: str,
+    available_now: bool = False,
+) -> None:
+    """Run both feeds side by side until one fails or, with ``available_now``, all is read.
+
+    ``messages`` and ``writers`` are given per topic; each feed keeps its own
+    checkpoint, named after its table, below ``checkpoints``.
+    """
+    await_feeds(
+        [
+            start_feed(
+                parse_messages(messages[feed.topic], feed),
+                writers[feed.topic],
+                f"{checkpoints.rstrip('/')}/{feed.table}",
+                available_now,
+            )
+            for feed in (LOCATIONS, STATUSES)
+        ]
+    )
+
+
 def await_feeds(queries: Sequence[StreamingQuery]) -> None:
     """Wait for all queries. The failure of any one is raised at once and stops the rest."""
     running = list(queries)

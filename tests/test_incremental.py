@@ -5,7 +5,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from starfeed.operators import after_mark, high_water_mark, latest_by_key, new_rows
+from starfeed.operators import after_mark, high_water_mark, latest_by_key, new_rows, repeated_keys
 
 
 def rows(df):
@@ -59,3 +59,9 @@ def test_latest_by_key(spark):
     got = latest_by_key(df, "k", ["t", "tie"])
     assert got.columns == df.columns
     assert rows(got) == sorted([("a", 2, 1, "y"), ("b", None, 1, "n"), (None, 1, 1, "k")], key=str)
+
+
+def test_repeated_keys(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (None, "a"), (None, "b")], "k int, v string")
+    assert repeated_keys(df, "k").first()[0] == 2
+    assert repeated_keys(df, ["k", "v"]).first()[0] == 0

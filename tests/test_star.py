@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fixtures import D0, D1, brief, expected_fact, inputs
 from starfeed.functions import to_day
-from starfeed.operators import DIMENSIONS, build_dimension, fact_orders, fact_ratings, fact_skew, inputs_after
+from starfeed.operators import DIMENSIONS, build_dimension, fact_orders, fact_profile, fact_ratings, inputs_after
 from starfeed.operators.facts import FACT_ORDER_COLUMNS
 
 
@@ -26,12 +26,15 @@ def test_total_is_the_unit_price(spark):
     assert {int(p) for p in prices} == {1, 2}
 
 
-def test_fact_with_every_key_split(spark):
+@pytest.mark.parametrize("probe", [0, 100])
+def test_fact_with_every_key_split(spark, probe):
     given = {name: df.coalesce(1) for name, df in inputs(spark).items()}
-    skew = fact_skew(given, share=0.02, min_rows=1)
-    assert skew["pedido_productos"]["producto_id"][10] > 1
-    assert skew["asignaciones"]["pedido_id"][1001] > 1
-    assert brief(fact_orders(given, skew)) == expected_fact()
+    profile = fact_profile(given, probe, share=0.02, min_rows=1)
+    assert profile.keys("asignaciones", "pedido_id")[1001] > 1
+    assert profile.keys("pedido_productos", "pedido_id")[1000] > 1
+    assert bool(profile.keys("pedido_productos", "producto_id")) == (probe == 0)
+    assert profile.small == (set() if probe == 0 else {"productos", "usuarios", "repartidores"})
+    assert brief(fact_orders(given, profile)) == expected_fact()
 
 
 @pytest.mark.parametrize("probe", [100, 0])

@@ -4,12 +4,13 @@ import json
 import os
 
 import pytest
-from pyspark.errors import StreamingQueryException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
-from starfeed.sources import Database
+from starfeed.sources import Database, read_messages
 from starfeed.streaming import (
-    LOCATIONS, STATUSES, JdbcLog, LatestState, ParquetLog, await_feeds, parse_messages, start_feed,
+    LOCATIONS, STATUSES, JdbcLog, LatestState, ParquetLog, await_feeds, parse_messages, run_feeds,
+    start_feed,
 )
 
 
@@ -128,11 +129,12 @@ def test_two_feeds_at_once(spark, tmp_path):
     put(spark, tmp_path / "a", 0, [location("a", 1.0, 5)])
     put(spark, tmp_path / "b", 0, [say(pedido_id="1", estado="LISTO", timestamp="2024-01-01T00:00:00Z")])
     logs = [ParquetLog(str(tmp_path / t)) for t in ("out-a", "out-b")]
-    await_feeds(
-        [
-            start_feed(parse_messages(stream(spark, tmp_path / n), f), log.write, str(tmp_path / f"cp-{n}"), True)
-            for n, f, log in zip("ab", (LOCATIONS, STATUSES), logs)
-        ]
+    topics = (LOCATIONS.topic, STATUSES.topic)
+    run_feeds(
+        {t: stream(spark, tmp_path / n) for t, n in zip(topics, "ab")},
+        {t: log.write for t, log in zip(topics, logs)},
+        str(tmp_path / "cp"),
+        available_now=True,
     )
     assert [log.read(spark).count() for log in logs] == [1, 1]
 
@@ -149,3 +151,9 @@ def test_one_failing_feed_stops_the_other(spark, tmp_path):
     with pytest.raises(StreamingQueryException, match="no room"):
         await_feeds([healthy, broken])
     assert not healthy.isActive
+
+
+def test_topics_need_the_connector(spark):
+    """There is no broker here: only that the reader asks Spark for its Kafka source."""
+    with pytest.raises(AnalysisException, match="(?i)kafka"):
+        read_messages(spark, "broker:9092", LOCATIONS.topic, max_per_trigger=1000)
