@@ -1,4 +1,4 @@
-from starfeed.operators.dims import DIMENSIONS, Dimension, build_dimension
+from starfeed.operators.dims import DIMENSIONS, Dimension, build_dimension, new_dimension_rows
 from starfeed.operators.facts import FACT_INPUTS, FactProfile, fact_orders, fact_profile, fact_ratings, inputs_after
 from starfeed.operators.incremental import after_mark, distinct_keys, high_water_mark, new_rows, repeated_keys
 from starfeed.operators.latest import latest_by_key
@@ -19,6 +19,7 @@ __all__ = [
     "hot_keys",
     "inputs_after",
     "latest_by_key",
+    "new_dimension_rows",
     "new_rows",
     "repeated_keys",
     "skew_join",

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 
 from starfeed.functions import calendar_columns, to_day
+from starfeed.operators.incremental import new_rows
 
 
 @dataclass(frozen=True)
@@ -82,3 +83,20 @@ def build_dimension(name: str, inputs: Mapping[str, DataFrame]) -> DataFrame:
         [(column, day)] = dimension.columns.items()
         return calendar(source, column, day)
     return project(dimension, source).dropDuplicates()
+
+
+def new_dimension_rows(
+    name: str,
+    inputs: Mapping[str, DataFrame],
+    stored: DataFrame | None,
+    keys: Sequence[str],
+    null_safe: bool = True,
+    probe: int | None = None,
+) -> DataFrame:
+    """The rows of a dimension whose key is not stored (see ``new_rows``). Known keys go
+    before duplicates do, so only new rows are shuffled whole."""
+    if name == "dim_fecha":  # a few thousand dates, however many orders
+        return new_rows(build_dimension(name, inputs), stored, keys, null_safe)
+    dimension = DIMENSIONS[name]
+    rows = project(dimension, inputs[dimension.source])
+    return new_rows(rows, stored, keys, null_safe, probe=probe).dropDuplicates()

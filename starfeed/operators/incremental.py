@@ -7,12 +7,12 @@ from typing import Any
 
 from pyspark.sql import DataFrame, functions as F
 
-from starfeed.operators.skew import Hot, skew_join
+from starfeed.operators.skew import Hot, hot_keys, skew_join
 from starfeed.workspace import written
 
 # Most keys ever broadcast, after counting them, and the text they may hold on average:
-# about 100 MB of numbers or 250 MB of text on each executor.
-BROADCAST_KEYS = 4_000_000
+# about 50 MB of numbers or 150 MB of text on each executor.
+BROADCAST_KEYS = 2_000_000
 BROADCAST_TEXT = 40
 
 
@@ -73,9 +73,9 @@ def new_rows(
     Insert-only: a stored key with changed attributes is not new. With ``null_safe``
     a stored NULL key counts as seen; without it, rows with a NULL key are new each time.
 
-    By default one anti-join, which shuffles the whole rows. With ``probe`` the keys
-    alone are compared first, and if at most that many are unseen (the usual daily
-    case) they are broadcast, so ``df`` is filtered where it is read.
+    By default one anti-join, which shuffles the whole rows, those of ``hot`` keys split.
+    With ``probe`` the keys alone are compared first, and if at most that many are unseen
+    (the usual daily case) they are broadcast, so ``df`` is filtered where it is read.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if stored is None:
@@ -87,5 +87,7 @@ def new_rows(
         )
         if few_keys(unseen, probe):
             return skew_join(df, F.broadcast(unseen), keys, "left_semi", null_safe=True)
+        if hot is None and len(keys) == 1:
+            hot = hot_keys(df, keys)[keys[0]]
         return skew_join(df, unseen, keys, "left_semi", left_hot=hot, null_safe=True)
     return skew_join(df, known, keys, "left_anti", left_hot=hot, null_safe=null_safe)

@@ -9,7 +9,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 
-from starfeed.operators.dims import DIMENSIONS, build_dimension, project
+from starfeed.operators.dims import new_dimension_rows
 from starfeed.operators.facts import fact_orders, fact_profile, inputs_after
 from starfeed.operators.incremental import BROADCAST_KEYS, new_rows
 from starfeed.plans.load_plan import LOAD_PLAN, ORDER_FACT, ORDER_FACT_DAY, ORDER_FACT_PAIR, RATING_FACT, LoadStep
@@ -18,26 +18,6 @@ from starfeed.sinks import JdbcWarehouse, ParquetWarehouse
 Warehouse = ParquetWarehouse | JdbcWarehouse
 
 
-def new_dimension_rows(
-    step: LoadStep,
-    inputs: Mapping[str, DataFrame],
-    warehouse: Warehouse,
-    literal: bool = False,
-    probe: int | None = BROADCAST_KEYS,
-) -> DataFrame:
-    """The rows one step has to add. Known keys go before duplicates do, so only new rows are shuffled."""
-    name = "dim_ratings" if step.table == RATING_FACT.table else step.table
-    keys = step.literal_keys if literal else step.keys
-    stored = warehouse.stored(step.table, list(keys)) if keys else None
-    if name == "dim_fecha":  # a few thousand dates, however many orders
-        return new_rows(build_dimension(name, inputs), stored, keys, null_safe=not literal)
-    dimension = DIMENSIONS[name]
-    rows = project(dimension, inputs[dimension.source])
-    if keys:
-        rows = new_rows(rows, stored, keys, null_safe=not literal, probe=probe)
-    return rows.dropDuplicates()
-
-
 def facts_after(inputs: Mapping[str, DataFrame], mark: Any, probe: int) -> DataFrame:
     part = inputs_after(inputs, mark, probe)
     return fact_orders(part, fact_profile(part))
@@ -95,7 +75,11 @@ def run_daily(
     warehouse.begin(load_id, mark)
 
     def load(step: LoadStep) -> int:
-        return warehouse.append(step.table, new_dimension_rows(step, inputs, warehouse, literal, probe), load_id)
+        name = "dim_ratings" if step.table == RATING_FACT.table else step.table
+        keys = step.literal_keys if literal else step.keys
+        stored = warehouse.stored(step.table, list(keys)) if keys else None
+        rows = new_dimension_rows(name, inputs, stored, keys, null_safe=not literal, probe=probe)
+        return warehouse.append(step.table, rows, load_id)
 
     with ThreadPoolExecutor(writers) as pool:
         added = dict(zip([s.table for s in LOAD_PLAN], pool.map(load, LOAD_PLAN)))

@@ -6,8 +6,9 @@ queries is given by a condition on the data, e.g. the orders dated before 2000.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -22,13 +23,14 @@ from starfeed.operators import (
     high_water_mark,
     hot_keys,
     latest_by_key,
+    new_dimension_rows,
     new_rows,
     repeated_keys,
     skew_join,
 )
 from starfeed.operators.dims import DIMENSIONS
 from starfeed.operators.incremental import BROADCAST_KEYS
-from starfeed.plans import LOAD_PLAN, run_daily
+from starfeed.plans import LOAD_PLAN, LoadStep, run_daily
 from starfeed.plans.daily import facts_after, new_order_facts
 from starfeed.sinks import ParquetWarehouse
 from starfeed.sources import SOURCES, load_sources, read_csv, source_path
@@ -184,8 +186,12 @@ def is_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def anti_new_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = build_dimension("dim_clientes", testdata.load(spark, sf_dir, ["usuarios"]))
-    return new_rows(customers, customers.where(STORED_BEFORE["dim_clientes"]), "cliente_id")
+    return dimension_news("dim_clientes", ["cliente_id"], testdata.load(spark, sf_dir, ["usuarios"]))
+
+
+def dimension_news(name: str, keys: Sequence[str], inputs: Mapping[str, DataFrame]) -> DataFrame:
+    stored = build_dimension(name, inputs).where(STORED_BEFORE[name])
+    return new_dimension_rows(name, inputs, stored, keys, probe=BROADCAST_KEYS)
 
 
 def anti_nonunique_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,24 +205,24 @@ def anti_nonunique_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 def incremental_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per dimension, the number of rows a load would add to those stored before."""
     inputs = testdata.load(spark, sf_dir)
-    counts = None
-    for step in LOAD_PLAN:
-        rows = build_dimension(step.table, inputs)
-        new = new_rows(rows, rows.where(STORED_BEFORE[step.table]), step.keys)
-        count = new.agg(F.count(F.lit(1)).alias("nuevas")).select(F.lit(step.table).alias("tabla"), "nuevas")
-        counts = count if counts is None else counts.unionAll(count)
-    return counts
+
+    def count(step: LoadStep) -> DataFrame:
+        new = dimension_news(step.table, step.keys, inputs)
+        return new.agg(F.count(F.lit(1)).alias("nuevas")).select(F.lit(step.table).alias("tabla"), "nuevas")
+
+    with ThreadPoolExecutor(8) as pool:
+        return reduce(DataFrame.unionAll, pool.map(count, LOAD_PLAN))
 
 
 def repeated_keys_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per dimension, the keys of more than one row, by the keys of the literal load."""
     inputs = testdata.load(spark, sf_dir)
-    found = None
-    for step in LOAD_PLAN:
-        rows = build_dimension(step.table, inputs)
-        count = repeated_keys(rows, step.literal_keys or step.keys).select(F.lit(step.table).alias("tabla"), "repetidas")
-        found = count if found is None else found.unionAll(count)
-    return found
+
+    def count(step: LoadStep) -> DataFrame:
+        repeated = repeated_keys(build_dimension(step.table, inputs), step.literal_keys or step.keys)
+        return repeated.select(F.lit(step.table).alias("tabla"), "repetidas")
+
+    return reduce(DataFrame.unionAll, map(count, LOAD_PLAN))
 
 
 # ---- sources and sinks ------------------------------------------------------------------
