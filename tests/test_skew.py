@@ -59,6 +59,7 @@ def test_small_tables_have_no_hot_keys(spark):
 def test_hot_rows_spread_over_tasks(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
     try:
         df = third_of_all(spark)
         dims = spark.createDataFrame([(7, "a")], "k long, name string")
@@ -73,6 +74,7 @@ def test_hot_rows_spread_over_tasks(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
 def test_hot_anti_join(spark):
