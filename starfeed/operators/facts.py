@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from starfeed.functions import paid_in_crypto, to_day
 from starfeed.operators.dims import build_dimension
-from starfeed.operators.incremental import BROADCAST_KEYS, after_mark, distinct_keys, few_keys
+from starfeed.operators.incremental import BROADCAST_KEYS, after_mark, distinct_keys, key_set
 from starfeed.operators.skew import Hot, hot_keys, skew_join
 from starfeed.workspace import written
 
@@ -35,6 +35,8 @@ DIMENSION_KEYS = {
     "repartidores": ("repartidor_id", "asignaciones", "repartidorId"),
 }
 FACT_INPUTS = (*LARGE, *DIMENSION_KEYS)
+# The columns the fact takes from the inputs cut down by order id.
+FACT_PARTS = {"pedido_productos": ["producto_id", "precio_unitario"], "asignaciones": ["repartidorId"]}
 
 
 @dataclass(frozen=True)
@@ -59,7 +61,7 @@ def fact_profile(inputs: Mapping[str, DataFrame], probe: int = BROADCAST_KEYS, *
 
     def is_small(name: str) -> bool:
         columns = ["producto_id", "catalogo_id"] if name == "productos" else [DIMENSION_KEYS[name][0]]
-        return few_keys(inputs[name].select(*columns), probe)
+        return key_set(inputs[name].select(*columns), probe).few
 
     with ThreadPoolExecutor(len(FACT_INPUTS)) as pool:
         small = frozenset(n for n, yes in zip(DIMENSION_KEYS, pool.map(is_small, DIMENSION_KEYS)) if yes)
@@ -75,10 +77,10 @@ def fact_profile(inputs: Mapping[str, DataFrame], probe: int = BROADCAST_KEYS, *
 def inputs_after(inputs: Mapping[str, DataFrame], mark: Any, probe: int = BROADCAST_KEYS) -> dict[str, DataFrame]:
     """The inputs of the order fact cut down to orders dated after the mark.
 
-    The new orders are written out, and their ids counted. Up to ``probe`` of them are
-    broadcast to cut lines and assignments down where they are read, so that a daily
-    run scans the history once and shuffles none of it. More of them, and the
-    lines and assignments stay whole for the joins to sort out.
+    The new orders are written out and their ids counted. Lines and assignments are cut
+    to these ids (see ``KeySet.cut``) and written out, too: a daily run scans the
+    history once. Up to ``probe`` ids are broadcast, and then none of the history is shuffled;
+    beyond that its narrow rows are shuffled once.
     """
     if mark is None:
         return dict(inputs)
@@ -86,16 +88,14 @@ def inputs_after(inputs: Mapping[str, DataFrame], mark: Any, probe: int = BROADC
     day = "_day"
     new = after_mark(pedidos.withColumn(day, to_day(pedidos, "fechaCreacion")), day, mark).drop(day)
     cut = {**inputs, "pedidos": written(new, "new-orders")}
-    wanted = distinct_keys(cut["pedidos"], "pedido_id")
-    if not few_keys(wanted, probe):
-        return cut
+    ids = key_set(distinct_keys(cut["pedidos"], "pedido_id"), probe)
 
     def slice_of(name: str) -> DataFrame:
-        return written(inputs[name].join(F.broadcast(wanted), "pedido_id", "left_semi"), f"new-{name}")
+        columns = inputs[name].select("pedido_id", *FACT_PARTS[name])
+        return written(ids.cut(columns), f"new-{name}")
 
-    names = ["pedido_productos", "asignaciones"]
-    with ThreadPoolExecutor(len(names)) as pool:
-        return {**cut, **dict(zip(names, pool.map(slice_of, names)))}
+    with ThreadPoolExecutor(len(FACT_PARTS)) as pool:
+        return {**cut, **dict(zip(FACT_PARTS, pool.map(slice_of, FACT_PARTS)))}
 
 
 def fact_orders(inputs: Mapping[str, DataFrame], profile: FactProfile = FactProfile()) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame, functions as F
@@ -16,13 +17,50 @@ BROADCAST_KEYS = 2_000_000
 BROADCAST_TEXT = 40
 
 
-def few_keys(keys: DataFrame, limit: int) -> bool:
-    """Whether a table of keys is small enough to broadcast: at most ``limit`` rows
-    and, for text keys, ``limit * BROADCAST_TEXT`` bytes."""
+@dataclass(frozen=True)
+class KeySet:
+    """Distinct keys that were counted: ``few`` says whether they may be broadcast, and
+    ``low``, ``high`` and ``nulls`` what the first key column spans."""
+
+    keys: DataFrame
+    few: bool
+    low: Any
+    high: Any
+    nulls: bool
+
+    def cut(self, df: DataFrame, hot: Hot | None = None) -> DataFrame:
+        """The rows of ``df`` whose key is in the set; a NULL key matches a NULL key.
+
+        Rows outside the span go first. The scan can skip whole row groups by it, and where
+        keys grow over time that alone leaves little. Few keys are then broadcast, and
+        more of them joined by shuffle, with the rows of ``hot`` keys split.
+        """
+        columns = self.keys.columns
+        first = F.col(columns[0])
+        inside = first.between(F.lit(self.low), F.lit(self.high)) if self.low is not None else F.lit(False)
+        near = df.where(inside | first.isNull() if self.nulls else inside)
+        if self.few:
+            return skew_join(near, F.broadcast(self.keys), columns, "left_semi", null_safe=True)
+        if hot is None and len(columns) == 1:
+            hot = hot_keys(near, columns)[columns[0]]
+        return skew_join(near, self.keys, columns, "left_semi", left_hot=hot, null_safe=True)
+
+
+def key_set(keys: DataFrame, limit: int) -> KeySet:
+    """Count a table of distinct keys. Few are at most ``limit`` rows and, for text keys,
+    ``limit * BROADCAST_TEXT`` bytes."""
     text = [c for c, kind in keys.dtypes if kind == "string"]
     size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in text), F.lit(0))
-    row = keys.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
-    return row["n"] <= limit and row["bytes"] <= limit * BROADCAST_TEXT
+    first = F.col(keys.columns[0])
+    row = keys.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(size), F.lit(0)).alias("bytes"),
+        F.min(first).alias("low"),
+        F.max(first).alias("high"),
+        F.count_if(first.isNull()).alias("nulls"),
+    ).first()
+    few = row["n"] <= limit and row["bytes"] <= limit * BROADCAST_TEXT
+    return KeySet(keys, few, row["low"], row["high"], row["nulls"] > 0)
 
 
 def high_water_mark(stored: DataFrame | None, column: str, partition: str | None = None) -> Any:
@@ -74,8 +112,8 @@ def new_rows(
     a stored NULL key counts as seen; without it, rows with a NULL key are new each time.
 
     By default one anti-join, which shuffles the whole rows, those of ``hot`` keys split.
-    With ``probe`` the keys alone are compared first, and if at most that many are unseen
-    (the usual daily case) they are broadcast, so ``df`` is filtered where it is read.
+    With ``probe`` the keys alone are compared first, and ``df`` is cut to the unseen ones
+    (see ``KeySet.cut``): where it is read, if at most that many are unseen, the usual daily case.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if stored is None:
@@ -85,9 +123,5 @@ def new_rows(
         unseen = written(
             skew_join(distinct_keys(df, keys), known, keys, "left_anti", null_safe=null_safe), "unseen-keys"
         )
-        if few_keys(unseen, probe):
-            return skew_join(df, F.broadcast(unseen), keys, "left_semi", null_safe=True)
-        if hot is None and len(keys) == 1:
-            hot = hot_keys(df, keys)[keys[0]]
-        return skew_join(df, unseen, keys, "left_semi", left_hot=hot, null_safe=True)
+        return key_set(unseen, probe).cut(df, hot)
     return skew_join(df, known, keys, "left_anti", left_hot=hot, null_safe=null_safe)

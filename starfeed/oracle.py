@@ -159,6 +159,10 @@ ADDED = {
         {MARK} and exists (select 1 from lineitem where l_orderkey = o_orderkey))""",
 }
 
+LOCATION_MESSAGES = """
+  select cast(user_id as varchar) as repartidor_id, value as latitud, cast(event_id as double) as longitud,
+         ts as "timestamp" from events"""
+
 ORACLE: dict[str, str] = {
     "fact_pedidos": fact(),
     "fact_pedidos_first_load": fact(),
@@ -209,9 +213,8 @@ ORACLE: dict[str, str] = {
              case when event_id % 4 in (1, 3) then cast(1.5 as double) end as latitud,
              case when event_id % 4 <> 0 then cast(2.5 as double) end as longitud
       from events""",
-    "stream_locations": """
-      select cast(user_id as varchar) as repartidor_id, value as latitud, cast(event_id as double) as longitud,
-             ts as "timestamp" from events""",
+    "stream_locations": LOCATION_MESSAGES,
+    "stream_replay": LOCATION_MESSAGES,
     "stream_status": """
       select cast(event_id as varchar) as pedido_id, event_type as estado, ts as "timestamp" from events""",
     "stream_two_feeds": """
@@ -221,8 +224,6 @@ ORACLE: dict[str, str] = {
     "latest_by_key": """
       select event_id, ts, user_id, event_type, value from events
       qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1""",
-    "stream_upsert": """
-      select cast(user_id as varchar) as repartidor_id, value as latitud, cast(event_id as double) as longitud,
-             ts as "timestamp"
-      from events qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1""",
+    "stream_upsert": f"""
+      {LOCATION_MESSAGES} qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1""",
 }

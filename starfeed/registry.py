@@ -365,6 +365,19 @@ def stream_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_time(log.read(spark).drop("ingestion_time"))
 
 
+def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every micro-batch arrives twice, as after a failure before its commit."""
+    log = ParquetLog(work_dir(spark, "replayed"))
+    rows = parse_messages(location_messages(event_stream(spark, sf_dir)), LOCATIONS)
+
+    def write_twice(batch: DataFrame, batch_id: int) -> None:
+        log.write(batch, batch_id)
+        log.write(batch, batch_id)
+
+    start_feed(rows, write_twice, work_dir(spark, "checkpoint"), available_now=True).awaitTermination()
+    return plain_time(log.read(spark).drop("ingestion_time"))
+
+
 def stream_two_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     logs = {feed.topic: ParquetLog(work_dir(spark, feed.table)) for feed in (LOCATIONS, STATUSES)}
     events = event_stream(spark, sf_dir)
@@ -432,6 +445,7 @@ QUERIES: dict[str, Query] = {
     "json_malformed": json_malformed,
     "stream_locations": stream_locations,
     "stream_status": stream_status,
+    "stream_replay": stream_replay,
     "stream_two_feeds": stream_two_feeds,
     "latest_by_key": latest_by_key_query,
     "stream_upsert": stream_upsert,

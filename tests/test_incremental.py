@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starfeed.operators import after_mark, high_water_mark, latest_by_key, new_rows, repeated_keys
+from starfeed.operators.incremental import key_set
 
 
 def rows(df):
@@ -65,3 +66,28 @@ def test_repeated_keys(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (None, "a"), (None, "b")], "k int, v string")
     assert repeated_keys(df, "k").first()[0] == 2
     assert repeated_keys(df, ["k", "v"]).first()[0] == 0
+
+
+@pytest.mark.parametrize("limit", [100, 0])
+def test_cut_to_a_key_set(spark, limit):
+    df = spark.createDataFrame([(1, "a"), (3, "b"), (3, "b"), (5, "c"), (9, "d"), (None, "n")], "k int, v string")
+    for wanted, left in (([3, 5], "bbc"), ([3, None], "bbn"), ([None], "n"), ([], "")):
+        keys = spark.createDataFrame([(k,) for k in wanted], "k int")
+        found = key_set(keys, limit)
+        assert found.few == (len(wanted) <= limit)
+        assert sorted(r["v"] for r in found.cut(df).collect()) == list(left)
+
+
+def test_text_keys_are_measured(spark):
+    keys = spark.createDataFrame([("x" * 500,)], "k string")
+    assert not key_set(keys, 10).few
+    assert key_set(keys, 13).few
+
+
+def test_the_span_of_keys_reaches_the_scan(spark, tmp_path):
+    spark.range(100).withColumnRenamed("id", "k").write.parquet(str(tmp_path / "t"))
+    keys = spark.createDataFrame([(7,), (9,)], "k long")
+    cut = key_set(keys, 10).cut(spark.read.parquet(str(tmp_path / "t")))
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(k,7), LessThanOrEqual(k,9)" in plan
+    assert "Broadcast" in plan
