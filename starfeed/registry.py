@@ -388,7 +388,9 @@ def stream_two_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
         available_now=True,
     )
     parts = [
-        logs[feed.topic].read(spark).select(F.lit(feed.table).alias("tabla"), F.col(feed.key).alias("clave"), "timestamp")
+        logs[feed.topic]
+        .read(spark)
+        .select(F.lit(feed.table).alias("tabla"), F.col(feed.key).alias("clave"), "timestamp")
         for feed in (LOCATIONS, STATUSES)
     ]
     return plain_time(parts[0].unionAll(parts[1]))

@@ -9,6 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starfeed.sources.jdbc import Database
+from starfeed.workspace import written
 
 LOG = "load_log"
 
@@ -56,7 +57,9 @@ class JdbcWarehouse:
         return row["mark"]
 
     def append(self, table: str, df: DataFrame, load_id: str) -> int:
-        return self.database.append(df, table)
+        """Work the rows out first, as files, and then copy them: what is new must not be
+        asked of the table again while it is being written, as a lost task would."""
+        return self.database.append(written(df, f"staged-{table}"), table)
 
     def unfinished(self) -> list[tuple[str, Any]]:
         """Loads that began and did not finish, with the mark each started from."""

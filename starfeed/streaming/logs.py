@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starfeed.sources.jdbc import Database
+from starfeed.workspace import written
 
 BATCH = "batch_id"
 
@@ -45,6 +46,8 @@ class JdbcLog:
             if not stored.isEmpty():
                 told_by = [c for c in batch.columns if c != self.stamp]
                 missing = batch.select(told_by).exceptAll(stored.select(told_by))
+                # worked out before the table changes, which a lost task would otherwise see
+                missing = written(missing, "missing-messages")
                 batch = missing.withColumn(self.stamp, F.current_timestamp()).select(batch.columns)
         self.database.append(batch.withColumn(BATCH, F.lit(batch_id)), self.table)
         self.database.append(spark.createDataFrame([(batch_id,)], f"{BATCH} long").coalesce(1), finished)

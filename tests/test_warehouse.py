@@ -24,7 +24,9 @@ def database(tmp_path):
 
 @pytest.fixture(params=["parquet", "jdbc"])
 def warehouse(request, spark, tmp_path, database):
-    return ParquetWarehouse(spark, str(tmp_path / "wh")) if request.param == "parquet" else JdbcWarehouse(spark, database)
+    if request.param == "parquet":
+        return ParquetWarehouse(spark, str(tmp_path / "wh"))
+    return JdbcWarehouse(spark, database)
 
 
 def counts(warehouse):
@@ -136,6 +138,7 @@ def test_jdbc_reads(spark, database):
 
 
 def test_a_broken_connection_is_not_a_missing_table(spark, tmp_path):
-    gone = Database(f"jdbc:derby:{tmp_path}/none", driver="org.apache.derby.iapi.jdbc.AutoloadedDriver", lookup="values 1")
+    driver = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    gone = Database(f"jdbc:derby:{tmp_path}/none", driver=driver, lookup="values 1")
     with pytest.raises(Exception):
         JdbcWarehouse(spark, gone).mark("fact_pedidos", "fecha_pedido")
