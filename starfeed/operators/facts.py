@@ -64,13 +64,15 @@ def fact_profile(inputs: Mapping[str, DataFrame], probe: int = BROADCAST_KEYS, *
         return key_set(inputs[name].select(*columns), probe).few
 
     with ThreadPoolExecutor(len(FACT_INPUTS)) as pool:
+        counted = pool.map(lambda name: inputs[name].count(), LARGE)
         small = frozenset(n for n, yes in zip(DIMENSION_KEYS, pool.map(is_small, DIMENSION_KEYS)) if yes)
+        rows = dict(zip(LARGE, counted))
         shuffled = {name: list(columns) for name, columns in LARGE.items()}
         for name, (key, referrer, column) in DIMENSION_KEYS.items():
             if name not in small:
                 shuffled[name] = [key]
                 shuffled[referrer].append(column)
-        found = pool.map(lambda name: hot_keys(inputs[name], shuffled[name], **limits), shuffled)
+        found = pool.map(lambda n: hot_keys(inputs[n], shuffled[n], rows=rows.get(n), **limits), shuffled)
         return FactProfile(small, dict(zip(shuffled, found)))
 
 

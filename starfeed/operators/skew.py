@@ -17,8 +17,15 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 Hot = Mapping[Any, int]  # key -> number of slots its rows are spread over
 
 
+MIN_ROWS = 1_000_000  # below this, no key is worth splitting
+
+
 def hot_keys(
-    df: DataFrame, columns: Sequence[str], share: float | None = None, min_rows: int = 1_000_000
+    df: DataFrame,
+    columns: Sequence[str],
+    share: float | None = None,
+    min_rows: int = MIN_ROWS,
+    rows: int | None = None,
 ) -> dict[str, dict[Any, int]]:
     """Per column, the keys that hold more than ``share`` of the rows, each with the
     number of slots that brings its rows down to about that share. The usual share
@@ -27,9 +34,9 @@ def hot_keys(
     Each task keeps a sketch of bounded size, so nothing is shuffled by key, and at
     most ``1/share`` keys reach the driver. Keys well above the share are always
     found; the result only steers how rows are spread, never which rows join.
-    Below ``min_rows`` rows no key is worth splitting, and only a count is run.
+    Below ``min_rows`` rows only a count is run, or nothing where ``rows`` gives it.
     """
-    total = df.count()
+    total = df.count() if rows is None else rows
     if total < min_rows or not columns:
         return {c: {} for c in columns}
     if share is None:
