@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from starfeed.functions import calendar_columns, to_day
 from starfeed.operators.incremental import new_rows
+from starfeed.operators.skew import MIN_ROWS
 
 
 @dataclass(frozen=True)
@@ -92,6 +93,7 @@ def new_dimension_rows(
     keys: Sequence[str],
     null_safe: bool = True,
     probe: int | None = None,
+    probe_rows: int = MIN_ROWS,
 ) -> DataFrame:
     """The rows of a dimension whose key is not stored (see ``new_rows``). Known keys go
     before duplicates do, so only new rows are shuffled whole."""
@@ -99,4 +101,4 @@ def new_dimension_rows(
         return new_rows(build_dimension(name, inputs), stored, keys, null_safe)
     dimension = DIMENSIONS[name]
     rows = project(dimension, inputs[dimension.source])
-    return new_rows(rows, stored, keys, null_safe, probe=probe).dropDuplicates()
+    return new_rows(rows, stored, keys, null_safe, probe=probe, probe_rows=probe_rows).dropDuplicates()

@@ -8,7 +8,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, functions as F
 
-from starfeed.operators.skew import Hot, hot_keys, skew_join
+from starfeed.operators.skew import MIN_ROWS, Hot, hot_keys, skew_join
 from starfeed.workspace import written
 
 # Most keys ever broadcast, after counting them, and the text they may hold on average:
@@ -105,6 +105,7 @@ def new_rows(
     null_safe: bool = True,
     hot: Hot | None = None,
     probe: int | None = None,
+    probe_rows: int = MIN_ROWS,
 ) -> DataFrame:
     """Rows of ``df`` whose key is not among the stored ones; column order is kept.
 
@@ -114,12 +115,13 @@ def new_rows(
     By default one anti-join, which shuffles the whole rows, those of ``hot`` keys split.
     With ``probe`` the keys alone are compared first, and ``df`` is cut to the unseen ones
     (see ``KeySet.cut``): where it is read, if at most that many are unseen, the usual daily case.
+    That takes a second pass over the keys, which a table below ``probe_rows`` rows is not worth.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if stored is None:
         return df
     known = distinct_keys(stored, keys)
-    if probe is not None:
+    if probe is not None and df.count() >= probe_rows:
         unseen = written(
             skew_join(distinct_keys(df, keys), known, keys, "left_anti", null_safe=null_safe), "unseen-keys"
         )

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from starfeed.operators.dims import new_dimension_rows
 from starfeed.operators.facts import fact_orders, fact_profile, inputs_after
 from starfeed.operators.incremental import BROADCAST_KEYS, new_rows
+from starfeed.operators.skew import MIN_ROWS
 from starfeed.plans.load_plan import LOAD_PLAN, ORDER_FACT, ORDER_FACT_DAY, ORDER_FACT_PAIR, RATING_FACT, LoadStep
 from starfeed.sinks import JdbcWarehouse, ParquetWarehouse
 
@@ -56,6 +57,7 @@ def run_daily(
     literal: bool = False,
     lookback_days: int = 0,
     probe: int = BROADCAST_KEYS,
+    probe_rows: int = MIN_ROWS,
     writers: int = 8,
 ) -> dict[str, int]:
     """Load all tables; returns the rows added to each.
@@ -68,6 +70,7 @@ def run_daily(
 
     The dimensions do not depend on each other and are written ``writers`` at a
     time; the facts follow when all are there. ``load_id`` names the load, e.g. its date.
+    ``probe`` and ``probe_rows`` are the limits of ``new_rows`` and ``inputs_after``.
     """
     left_over = warehouse.unfinished()
     marks = [m for _, m in left_over] or [warehouse.mark(ORDER_FACT, ORDER_FACT_DAY)]
@@ -78,7 +81,7 @@ def run_daily(
         name = "dim_ratings" if step.table == RATING_FACT.table else step.table
         keys = step.literal_keys if literal else step.keys
         stored = warehouse.stored(step.table, list(keys)) if keys else None
-        rows = new_dimension_rows(name, inputs, stored, keys, null_safe=not literal, probe=probe)
+        rows = new_dimension_rows(name, inputs, stored, keys, not literal, probe, probe_rows)
         return warehouse.append(step.table, rows, load_id)
 
     with ThreadPoolExecutor(writers) as pool:

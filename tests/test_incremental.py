@@ -32,19 +32,19 @@ def test_after_mark_is_strict_and_optional(spark):
 def test_new_rows(spark, probe):
     df = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), ("c", None), ("c", None)], "v string, k int")
     stored = spark.createDataFrame([(1,), (1,), (None,)], "k int")
-    unseen = new_rows(df, stored, "k", probe=probe)
+    unseen = new_rows(df, stored, "k", probe=probe, probe_rows=0)
     assert unseen.columns == ["v", "k"]
     assert rows(unseen) == [("b", 2), ("b", 3)]
-    raw = new_rows(df, stored, "k", null_safe=False, probe=probe)
+    raw = new_rows(df, stored, "k", null_safe=False, probe=probe, probe_rows=0)
     assert rows(raw) == [("b", 2), ("b", 3), ("c", None), ("c", None)]
-    assert rows(new_rows(df, None, "k", probe=probe)) == rows(df)
+    assert rows(new_rows(df, None, "k", probe=probe, probe_rows=0)) == rows(df)
 
 
 @pytest.mark.parametrize("probe", [None, 100, 0])
 def test_new_rows_by_two_keys(spark, probe):
     df = spark.createDataFrame([(1, "x"), (1, "y"), (2, None)], "k int, t string")
     stored = spark.createDataFrame([(1, "x"), (2, None)], "k int, t string")
-    assert rows(new_rows(df, stored, ["k", "t"], probe=probe)) == [(1, "y")]
+    assert rows(new_rows(df, stored, ["k", "t"], probe=probe, probe_rows=0)) == [(1, "y")]
 
 
 def test_changed_attributes_are_not_new(spark):

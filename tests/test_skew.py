@@ -83,5 +83,5 @@ def test_hot_anti_join(spark):
     stored = spark.createDataFrame([(7,), (None,), (101,)], "k long")
     for null_safe, left in ((True, 9_999), (False, 19_999)):
         assert new_rows(df, stored, "k", null_safe, hot).count() == left
-        assert new_rows(df, stored, "k", null_safe, hot, probe=1_000_000).count() == left
-        assert new_rows(df, stored, "k", null_safe, hot, probe=5).count() == left
+        assert new_rows(df, stored, "k", null_safe, hot, probe=1_000_000, probe_rows=0).count() == left
+        assert new_rows(df, stored, "k", null_safe, hot, probe=5, probe_rows=0).count() == left

@@ -33,13 +33,14 @@ def counts(warehouse):
     return {t: warehouse.stored(t).count() for t in TABLES}
 
 
-def test_two_loads_equal_one(spark, warehouse):
+@pytest.mark.parametrize("probe_rows", [0, 1_000_000])
+def test_two_loads_equal_one(spark, warehouse, probe_rows):
     given = inputs(spark, pedidos=DATED)
     first = run_daily(given, warehouse, "d1")
     assert list(first) == TABLES
     assert counts(warehouse) == first
     assert brief(warehouse.stored("fact_pedidos")) == [r for r in expected_fact() if r[1]]
-    second = run_daily(given, warehouse, "d2")
+    second = run_daily(given, warehouse, "d2", probe_rows=probe_rows)
     assert set(second.values()) == {0}
     assert counts(warehouse) == first
 
