@@ -35,7 +35,7 @@ def canonical(rows, columns):
     return sorted(tuple(cell(r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_equals_oracle(spark, duck, name):
     df = queries()[name](spark, SF_DIR)
     result = duck.execute(oracle_sql()[name])
