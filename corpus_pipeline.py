@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from starfeed.llm.jaccard_join import one_of_each
+from starfeed.llm.packing import pack
 from starfeed.workspace import written
 
 
@@ -13,7 +14,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return one_of_each(docs)
 
 
-STAGES = [("near duplicates", near_duplicates)]
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The kept texts as pieces of windows of 2,048 token ids."""
+    return pack(docs).drop("ids")
+
+
+STAGES = [("near duplicates", near_duplicates), ("packing", packing)]
 
 #: SQL cannot express MinHash banding, the models or the tokenizer; tests hold the stages against brute force.
 ORACLE_SQL = None

@@ -5,15 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from starfeed.llm.jaccard_join import jaccard_classes
+from starfeed.llm.packing import pack
 from starfeed.llm.text import table
 
 
+def op2_concat_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents")).drop("ids")
+
+
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = jaccard_classes(table(spark, sf_dir, "documents"))
     return classes.select("doc_id", "class_id", "n_links", "n_copies")
 
 
 QUERIES = {
+    "op2_concat_and_cut": op2_concat_and_cut,
     "op8_ngram_jaccard": op8_ngram_jaccard,
 }
 
