@@ -6,9 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starfeed.llm.jaccard_join import one_of_each
 from starfeed.llm.packing import pack
+from starfeed.llm.perplexity import judged
 from starfeed.workspace import written
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the rules or lie outside their language's perplexity band go."""
+    return judged(docs).where("kept").select("_row.*")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates stays: the one with the least doc_id."""
     return one_of_each(docs)
@@ -19,7 +25,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs).drop("ids")
 
 
-STAGES = [("near duplicates", near_duplicates), ("packing", packing)]
+STAGES = [("quality rules", quality_rules), ("near duplicates", near_duplicates), ("packing", packing)]
 
 #: SQL cannot express MinHash banding, the models or the tokenizer; tests hold the stages against brute force.
 ORACLE_SQL = None

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starfeed.llm.jaccard_join import jaccard_classes
 from starfeed.llm.packing import pack
+from starfeed.llm.perplexity import judged
 from starfeed.llm.text import table
 
 
@@ -13,6 +14,11 @@ def op2_concat_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents")).drop("ids")
 
 
+def op5_kneser_ney_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = judged(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return rows.select("_row.doc_id", *[c for c in rows.columns if c not in ("_row", "lang")])
+
+
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = jaccard_classes(table(spark, sf_dir, "documents"))
     return classes.select("doc_id", "class_id", "n_links", "n_copies")
@@ -20,6 +26,7 @@ def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_concat_and_cut": op2_concat_and_cut,
+    "op5_kneser_ney_bands": op5_kneser_ney_bands,
     "op8_ngram_jaccard": op8_ngram_jaccard,
 }
 
