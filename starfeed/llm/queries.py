@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starfeed.llm.bpe_automaton import encoded
 from starfeed.llm.jaccard_join import jaccard_classes
 from starfeed.llm.packing import pack
 from starfeed.llm.perplexity import judged
@@ -24,10 +25,15 @@ def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", "class_id", "n_links", "n_copies")
 
 
+def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded(table(spark, sf_dir, "documents"), with_ids=False)
+
+
 QUERIES = {
     "op2_concat_and_cut": op2_concat_and_cut,
     "op5_kneser_ney_bands": op5_kneser_ney_bands,
     "op8_ngram_jaccard": op8_ngram_jaccard,
+    "op10_bpe_automaton": op10_bpe_automaton,
 }
 
 #: DuckDB statements, for the queries that SQL can express.
