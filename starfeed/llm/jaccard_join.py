@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from starfeed.llm.components import components
 from starfeed.llm.text import WORD, WordHashes, map_arrow, mixed
 from starfeed.workspace import written
 
 BLOCK_DOCS, BLOCK_SHINGLES, COLUMNS = 1024, 1_000_000, 2048
+#: How far below the threshold a pair's sketches may agree: with 100 places, five standard deviations.
+SLACK = 0.2
 
 
 def choose_bands(threshold: float, recall: float, most: int = 100) -> tuple[int, int]:
@@ -64,18 +66,22 @@ def _signer(n: int, bands: int, rows: int):
         full = counts > 0
         starts = (np.cumsum(counts) - counts)[full]
         out = np.zeros((int(full.sum()), bands), np.uint64)
+        sketch = np.zeros((len(out), bands * rows), np.uint8)
         for band in range(bands):
             key = np.full(len(out), band + 1, np.uint64)
             for k in range(band * rows, band * rows + rows):
                 if len(starts):
                     least = np.minimum.reduceat((found ^ flips[k]) * odds[k], starts)
                     key = mixed(key * np.uint64(0x100000001B3) + least)
+                    sketch[:, k] = mixed(least) >> np.uint64(56)
             out[:, band] = key
         ends = np.cumsum(np.where(full, bands, 0))
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(out.ravel().view(np.int64)))
+        sketches = np.full(len(full), None, object)
+        sketches[full] = [x.tobytes() for x in sketch]
         return pa.record_batch(
-            [batch.column("doc_id"), batch.column("text_key"), pa.array(counts), lists],
-            ["doc_id", "text_key", "shingles", "bands"],
+            [batch.column("doc_id"), batch.column("text_key"), pa.array(counts), lists, pa.array(sketches, pa.binary())],
+            ["doc_id", "text_key", "shingles", "bands", "sketch"],
         )
 
     return sign
@@ -103,13 +109,70 @@ def _set_writer(n: int):
     return write
 
 
-def _verifier(threshold: float):
-    """Consumes rows sorted by (root, i, j, text_key) and links the texts of blocks i and j of a candidate group."""
+def _grouped(pick: Callable[[list[dict], bool], pa.RecordBatch | None]):
+    """Runs ``pick`` on the rows of each (root, i, j) of a sorted input; its second argument tells whether i = j."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, group = None, {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                now = row["root"], row["i"], row["j"]
+                if now != key:
+                    if len(group) > 1 and (out := pick(list(group.values()), key[1] == key[2])) is not None:
+                        yield out
+                    key, group = now, {}
+                group[row["text_key"]] = row
+        if len(group) > 1 and (out := pick(list(group.values()), key[1] == key[2])) is not None:
+            yield out
 
-    def linked(group: list[dict], i: int, j: int) -> pa.RecordBatch | None:
-        rows = list({r["text_key"]: r for r in group}.values())
-        if len(rows) < 2:
+    return run
+
+
+def _between(rows: list[dict], same_block: bool, close: np.ndarray) -> np.ndarray:
+    """Pairs of different texts; those inside a block belong to the task of that block alone."""
+    if not same_block:
+        side = np.asarray([r["block"] for r in rows])
+        close &= side[:, None] != side[None, :]
+    np.fill_diagonal(close, False)
+    return close
+
+
+def _forest(close: np.ndarray) -> np.ndarray:
+    """For each row the first row that it is connected to."""
+    label = np.arange(len(close))
+    while True:
+        near = np.minimum(label, np.where(close, label[None, :], len(close)).min(1))
+        near = near[near]
+        if (near == label).all():
+            return label
+        label = near
+
+
+def _alike(threshold: float):
+    """Connects texts of one bucket whose sketches agree in at least ``threshold`` of their places."""
+
+    def pick(rows: list[dict], same_block: bool) -> pa.RecordBatch | None:
+        sketches = np.frombuffer(b"".join([r["sketch"] for r in rows]), np.uint8).reshape(len(rows), -1)
+        close = np.zeros((len(rows), len(rows)), bool)
+        step = max(1, 16_000_000 // sketches.size)
+        for at in range(0, len(rows), step):
+            close[at : at + step] = (sketches[at : at + step, None] == sketches[None]).mean(2) >= threshold
+        label = _forest(_between(rows, same_block, close))
+        joined = np.flatnonzero(label != np.arange(len(rows)))
+        if not len(joined):
             return None
+        keys = [r["text_key"] for r in rows]
+        return pa.record_batch(
+            [pa.array([keys[k] for k in joined], pa.binary()), pa.array([keys[label[k]] for k in joined], pa.binary())], ["a", "b"]
+        )
+
+    return _grouped(pick)
+
+
+def _verifier(threshold: float):
+    """Links the texts of a candidate group by their full sets of n-grams."""
+
+    def pick(rows: list[dict], same_block: bool) -> pa.RecordBatch | None:
         sets = [np.frombuffer(r["grams"], np.uint64) for r in rows]
         sizes = np.asarray([len(s) for s in sets], np.float32)
         owner = np.repeat(np.arange(len(rows)), sizes.astype(np.int64))
@@ -124,48 +187,36 @@ def _verifier(threshold: float):
             part = np.zeros((len(rows), COLUMNS), np.float32)
             part[owner[a:b], column[a:b] - low] = 1
             common += part @ part.T
-        close = common >= threshold * (sizes[:, None] + sizes[None, :] - common) - 1e-4
-        side = np.asarray([r["block"] == i for r in rows])
-        if i != j:  # pairs inside a block are the task (i, i)'s
-            close &= side[:, None] != side[None, :]
-        np.fill_diagonal(close, False)
+        close = _between(rows, same_block, common >= threshold * (sizes[:, None] + sizes[None, :] - common) - 1e-4)
         links = close.sum(1)
         some = np.flatnonzero(links)
         if not len(some):
             return None
-        label = np.arange(len(rows))
-        while True:
-            near = np.minimum(label, np.where(close, label[None, :], len(rows)).min(1))
-            near = near[near]
-            if (near == label).all():
-                break
-            label = near
+        label, keys = _forest(close), [r["text_key"] for r in rows]
         copies = np.asarray([r["copies"] for r in rows])
         return pa.record_batch(
             [
-                pa.array([rows[k]["text_key"] for k in some], pa.binary()),
-                pa.array([rows[label[k]]["text_key"] for k in some], pa.binary()),
+                pa.array([keys[k] for k in some], pa.binary()),
+                pa.array([keys[label[k]] for k in some], pa.binary()),
                 pa.array(links[some].astype(np.int64)),
                 pa.array((close.astype(np.int64) @ copies)[some]),
             ],
             ["a", "b", "texts", "docs"],
         )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, group = None, []
-        for batch in batches:
-            for row in batch.to_pylist():
-                now = row["root"], row["i"], row["j"]
-                if now != key and group:
-                    if (out := linked(group, *key[1:])) is not None:
-                        yield out
-                    group = []
-                key = now
-                group.append(row)
-        if group and (out := linked(group, *key[1:])) is not None:
-            yield out
+    return _grouped(pick)
+
+
+def _tasks(rows: DataFrame) -> DataFrame:
+    """Each row to the tasks (root, i, j) of its block and each block of its group, sorted by them."""
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    paired = rows.select("*", other.alias("other")).drop("blocks")
+    paired = paired.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other")
+    return paired.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
 
-    return run
+
+def _block(blocks: str) -> Column:
+    return F.pmod(F.xxhash64("text_key"), blocks).cast("int")
 
 
 def jaccard_classes(
@@ -183,9 +234,10 @@ def jaccard_classes(
     doc_id. ``n_links`` counts the linked documents of other texts, ``n_copies`` the rows with exactly this text,
     ``keeps`` marks the text that stands for its class (repeated rows of one id share the mark).
 
-    Exact copies count once (they are grouped by text before anything is compared). Band hashes join texts into
-    candidate groups; a group is compared block by block, so a task holds two blocks of at most about
-    1,024 texts or a million shingles whatever the size of the group, and only links' counts and a spanning forest leave it.
+    Exact copies count once (they are grouped by text before anything is compared). Texts that share a band and
+    whose MinHash sketches agree well enough form candidate groups; in these, full sets are compared. Buckets and groups
+    are compared block by block, so a task holds two blocks of at most about 1,024 texts or a million shingles whatever
+    the size of the group, and only counts of links and a spanning forest leave it, never all pairs.
 
     Nulls and texts without words have no shingles: each such row is a class of its own with
     no links. A null doc_id never names a class that has another one; a class of null ids only has a null name.
@@ -193,29 +245,32 @@ def jaccard_classes(
     bands, rows = choose_bands(threshold, recall)
     keyed = _keyed(docs, id_col, text_col)
     signed = written(
-        map_arrow(keyed, _signer(n, bands, rows), "doc_id long, text_key binary, shingles long, bands array<long>", "text"),
+        map_arrow(keyed, _signer(n, bands, rows), "doc_id long, text_key binary, shingles long, bands array<long>, sketch binary", "text"),
         "signatures",
     )
     texts = written(
         signed.where("shingles > 0").groupBy("text_key").agg(
             F.min("doc_id").alias("least_id"), F.count("*").alias("copies"), F.max("shingles").alias("shingles"),
-            F.any_value("bands").alias("bands"),
+            F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch"),
         ),
         "texts",
     )
-    banded = texts.select("text_key", F.explode("bands").alias("band"))
-    heads = banded.groupBy("band").agg(F.min("text_key").alias("head"), F.count("*").alias("size")).where("size > 1")
-    stars = banded.join(heads, "band").where("text_key <> head").select(F.col("text_key").alias("a"), F.col("head").alias("b"))
-    grouped = components(stars.distinct()).withColumnRenamed("node", "text_key")
-
-    grouped = grouped.join(texts.drop("bands"), "text_key")
+    banded = texts.select("text_key", F.explode("bands").alias("root"))
+    buckets = banded.groupBy("root").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("text_key")).alias("members")).where("size > 1")
+    buckets = buckets.groupBy("size", "members").agg(F.min("root").alias("root"))  # of buckets with the same texts, one
+    buckets = buckets.select("root", F.ceil(F.col("size") / BLOCK_DOCS).cast("int").alias("blocks"))
+    colliding = banded.join(buckets, "root").join(texts.select("text_key", "sketch"), "text_key")
+    alike = _tasks(colliding.withColumn("block", _block("blocks"))).mapInArrow(_alike(threshold - SLACK), "a binary, b binary")
+    grouped = components(alike).withColumnRenamed("node", "text_key")
+
+    grouped = grouped.join(texts.drop("bands", "sketch"), "text_key")
     blocks = grouped.groupBy("root").agg(
         F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks")
     )
     members = written(
         grouped.join(blocks, "root").select(
             "text_key", "root", "blocks", "copies", F.col("least_id").alias("of_id"),
-            F.pmod(F.xxhash64("text_key"), "blocks").cast("int").alias("block"),
+            _block("blocks").alias("block"),
         ),
         "members",
     )
@@ -227,13 +282,7 @@ def jaccard_classes(
         needed.select("text_key", "root", "blocks", "block", "copies", "text"), _set_writer(n),
         "text_key binary, root binary, blocks int, block int, copies long, grams binary", "text",
     )
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    tasks = (
-        sets.select("*", other.alias("other"))
-        .select("text_key", "root", "block", "copies", "grams", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-        .repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "text_key")
-    )
-    links = written(tasks.mapInArrow(_verifier(threshold), "a binary, b binary, texts long, docs long"), "links")
+    links = written(_tasks(sets).mapInArrow(_verifier(threshold), "a binary, b binary, texts long, docs long"), "links")
 
     counts = links.groupBy(F.col("a").alias("text_key")).agg(F.sum("docs").alias("n_links"))
     roots = components(links.select("a", "b")).withColumnRenamed("node", "text_key")
