@@ -9,6 +9,11 @@ from starfeed.llm.jaccard_join import jaccard_classes
 from starfeed.llm.packing import pack
 from starfeed.llm.perplexity import judged
 from starfeed.llm.text import table
+from starfeed.llm.warc import archive_round_trip
+
+
+def op1_warc_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(table(spark, sf_dir, "pages")).drop("payload", "url")
 
 
 def op2_concat_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +35,7 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc_capture_index": op1_warc_capture_index,
     "op2_concat_and_cut": op2_concat_and_cut,
     "op5_kneser_ney_bands": op5_kneser_ney_bands,
     "op8_ngram_jaccard": op8_ngram_jaccard,
@@ -37,4 +43,18 @@ QUERIES = {
 }
 
 #: DuckDB statements, for the queries that SQL can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_warc_capture_index": """
+        with p as (
+            select page_id, coalesce(html, '') as payload from pages
+        ), d as (
+            select page_id, octet_length(encode(payload))::bigint as payload_bytes, sha1(payload) as payload_digest from p
+        ), h as (
+            select payload_digest, max(page_id) as holder from d where payload_bytes >= 1000 group by payload_digest
+        )
+        select page_id, payload_bytes, payload_digest,
+            case when holder > page_id then 'revisit' else 'response' end as record_type,
+            case when holder > page_id then holder end as refers_to
+        from d left join h using (payload_digest)
+    """,
+}
