@@ -9,6 +9,7 @@ from starfeed.llm.jaccard_join import jaccard_classes
 from starfeed.llm.packing import pack
 from starfeed.llm.perplexity import judged
 from starfeed.llm.text import table
+from starfeed.llm.url_filter import judged as judged_urls
 from starfeed.llm.warc import archive_round_trip
 
 
@@ -25,6 +26,10 @@ def op5_kneser_ney_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("_row.doc_id", *[c for c in rows.columns if c not in ("_row", "lang")])
 
 
+def op6_url_likelihood_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged_urls(table(spark, sf_dir, "pages"))
+
+
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = jaccard_classes(table(spark, sf_dir, "documents"))
     return classes.select("doc_id", "class_id", "n_links", "n_copies")
@@ -38,6 +43,7 @@ QUERIES = {
     "op1_warc_capture_index": op1_warc_capture_index,
     "op2_concat_and_cut": op2_concat_and_cut,
     "op5_kneser_ney_bands": op5_kneser_ney_bands,
+    "op6_url_likelihood_ratio": op6_url_likelihood_ratio,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op10_bpe_automaton": op10_bpe_automaton,
 }
