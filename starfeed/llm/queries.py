@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starfeed.llm.bpe_automaton import encoded
 from starfeed.llm.jaccard_join import jaccard_classes
 from starfeed.llm.packing import pack
 from starfeed.llm.perplexity import judged
+from starfeed.llm.pii import KINDS, count_of, listed, personal_data
 from starfeed.llm.text import table
 from starfeed.llm.url_filter import judged as judged_urls
 from starfeed.llm.warc import archive_round_trip
@@ -35,6 +36,12 @@ def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", "class_id", "n_links", "n_copies")
 
 
+def op9_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = [count_of(F.col("base"), kind).alias(f"n_{kind}") for kind in KINDS]
+    rows = personal_data(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", *counts, F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(table(spark, sf_dir, "documents"), with_ids=False)
 
@@ -45,6 +52,7 @@ QUERIES = {
     "op5_kneser_ney_bands": op5_kneser_ney_bands,
     "op6_url_likelihood_ratio": op6_url_likelihood_ratio,
     "op8_ngram_jaccard": op8_ngram_jaccard,
+    "op9_bootstrapped_pii": op9_bootstrapped_pii,
     "op10_bpe_automaton": op10_bpe_automaton,
 }
 
