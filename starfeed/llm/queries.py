@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starfeed.llm.bpe_automaton import encoded
+from starfeed.llm.hamming_search import sign_code, top_k
 from starfeed.llm.jaccard_join import jaccard_classes
 from starfeed.llm.packing import pack
 from starfeed.llm.perplexity import judged
@@ -31,6 +32,15 @@ def op6_url_likelihood_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged_urls(table(spark, sf_dir, "pages"))
 
 
+def op7_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest codes of each vector whose id is divisible by 20, one row for each neighbour."""
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), sign_code("embedding").alias("code"))
+    near = top_k(rows, rows.where("id % 20 = 0"))
+    return near.select(F.col("id").alias("vec_id"), F.posexplode("neighbours").alias("place", "near")).select(
+        "vec_id", (F.col("place") + 1).alias("rank"), F.col("near.id").alias("neighbour_id"), F.col("near.distance").alias("distance")
+    )
+
+
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = jaccard_classes(table(spark, sf_dir, "documents"))
     return classes.select("doc_id", "class_id", "n_links", "n_copies")
@@ -51,6 +61,7 @@ QUERIES = {
     "op2_concat_and_cut": op2_concat_and_cut,
     "op5_kneser_ney_bands": op5_kneser_ney_bands,
     "op6_url_likelihood_ratio": op6_url_likelihood_ratio,
+    "op7_multi_index_hashing": op7_multi_index_hashing,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_bootstrapped_pii": op9_bootstrapped_pii,
     "op10_bpe_automaton": op10_bpe_automaton,
@@ -71,4 +82,17 @@ ORACLE: dict[str, str] = {
             case when holder > page_id then holder end as refers_to
         from d left join h using (payload_digest)
     """,
+    "op7_multi_index_hashing": """
+        with c as (
+            select vec_id, list_transform(embedding, lambda x: case when x > 0 then '1' else '0' end) as bits from embeddings
+        ), code as (
+            select vec_id, array_to_string(bits, '')::bit as code from c
+        ), pairs as (
+            select q.vec_id, r.vec_id as neighbour_id, bit_count(xor(q.code, r.code))::int as distance
+            from code q join code r on q.vec_id % 20 = 0 and q.vec_id <> r.vec_id
+        ), ranked as (
+            select *, row_number() over (partition by vec_id order by distance, neighbour_id)::int as rank from pairs
+        )
+        select vec_id, rank, neighbour_id, distance from ranked where rank <= 10
+    """,
 }
