@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starfeed.llm.jaccard_join import one_of_each
 from starfeed.llm.packing import pack
 from starfeed.llm.perplexity import judged
+from starfeed.llm.secrets import redacted
 from starfeed.workspace import written
 
 
@@ -20,12 +21,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return one_of_each(docs)
 
 
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked in the texts; ``n_chars`` follows them."""
+    return redacted(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The kept texts as pieces of windows of 2,048 token ids."""
     return pack(docs).drop("ids")
 
 
-STAGES = [("quality rules", quality_rules), ("near duplicates", near_duplicates), ("packing", packing)]
+STAGES = [("quality rules", quality_rules), ("near duplicates", near_duplicates), ("secret scan", secret_scan), ("packing", packing)]
 
 #: SQL cannot express MinHash banding, the models or the tokenizer; tests hold the stages against brute force.
 ORACLE_SQL = None

@@ -202,7 +202,9 @@ def _repeated_lines(text: str) -> int:
     return len(lines) - len(set(lines))
 
 
-MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, log_perplexity double"
+MEASURES = {
+    "n_words": "long", "word_chars": "long", "n_symbols": "long", "n_dup_lines": "long", "n_repeat_words": "long", "log_perplexity": "double"
+}
 
 
 def measured(docs: DataFrame, model: KneserNey, lang: str = "lang", text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -215,7 +217,9 @@ def measured(docs: DataFrame, model: KneserNey, lang: str = "lang", text: str =
     source = docs.select(F.struct(*keep).alias("_row"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     schema = T.StructType([source.schema["_row"], source.schema["lang"]])
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = [x.split()[0] for x in MEASURES.split(", ")]
+    for name, kind in MEASURES.items():
+        schema = schema.add(name, kind)
+    names = list(MEASURES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str | None, dict[str, float]] = {}
@@ -242,7 +246,7 @@ def measured(docs: DataFrame, model: KneserNey, lang: str = "lang", text: str =
                 ["_row", "lang", *names],
             )
 
-    return source.mapInArrow(run, T.StructType([*schema.fields, *T._parse_datatype_string(f"struct<{MEASURES}>").fields]))
+    return source.mapInArrow(run, schema)
 
 
 def rule_failed() -> Column:
