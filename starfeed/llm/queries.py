@@ -10,6 +10,7 @@ from starfeed.llm.jaccard_join import jaccard_classes
 from starfeed.llm.packing import pack
 from starfeed.llm.perplexity import judged
 from starfeed.llm.pii import KINDS, count_of, listed, personal_data
+from starfeed.llm.pitman_yor import scored
 from starfeed.llm.secrets import findings
 from starfeed.llm.text import table
 from starfeed.llm.url_filter import judged as judged_urls
@@ -28,6 +29,10 @@ def op3_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return findings(table(spark, sf_dir, "documents"))
 
 
+def op4_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scored(table(spark, sf_dir, "documents"))
+
+
 def op5_kneser_ney_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = judged(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return rows.select("_row.doc_id", *[c for c in rows.columns if c not in ("_row", "lang")])
@@ -65,6 +70,7 @@ QUERIES = {
     "op1_warc_capture_index": op1_warc_capture_index,
     "op2_concat_and_cut": op2_concat_and_cut,
     "op3_secret_forest": op3_secret_forest,
+    "op4_pitman_yor": op4_pitman_yor,
     "op5_kneser_ney_bands": op5_kneser_ney_bands,
     "op6_url_likelihood_ratio": op6_url_likelihood_ratio,
     "op7_multi_index_hashing": op7_multi_index_hashing,
