@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starfeed.llm.components import components
-from starfeed.llm.text import WORD, WordHashes, map_arrow, mixed
+from starfeed.llm.text import WORD, WordHashes, columns, map_arrow, mixed
 from starfeed.workspace import written
 
 BLOCK_DOCS, BLOCK_SHINGLES, COLUMNS = 1024, 1_000_000, 2048
@@ -110,7 +110,11 @@ def _set_writer(n: int):
 
 
 def _grouped(pick: Callable[[list[dict], bool], pa.RecordBatch | None]):
-    """Runs ``pick`` on the rows of each (root, i, j) of a sorted input; its second argument tells whether i = j."""
+    """Runs ``pick`` on the rows of each (root, i, j) of a sorted input, in the order of their texts' keys, so that
+    groups that meet in many buckets get one and the same root; its second argument tells whether i = j."""
+
+    def picked(group: dict, key: tuple) -> pa.RecordBatch | None:
+        return pick([group[k] for k in sorted(group)], key[1] == key[2]) if len(group) > 1 else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, group = None, {}
@@ -118,11 +122,11 @@ def _grouped(pick: Callable[[list[dict], bool], pa.RecordBatch | None]):
             for row in batch.to_pylist():
                 now = row["root"], row["i"], row["j"]
                 if now != key:
-                    if len(group) > 1 and (out := pick(list(group.values()), key[1] == key[2])) is not None:
+                    if (out := picked(group, key)) is not None:
                         yield out
                     key, group = now, {}
                 group[row["text_key"]] = row
-        if len(group) > 1 and (out := pick(list(group.values()), key[1] == key[2])) is not None:
+        if (out := picked(group, key)) is not None:
             yield out
 
     return run
@@ -275,7 +279,8 @@ def jaccard_classes(
         "members",
     )
     same = (keyed["text_key"] == members["text_key"]) & keyed["doc_id"].eqNullSafe(members["of_id"])
-    needed = keyed.join(members, same).select(
+    # always by shuffle: one move of the texts, whatever the number of members
+    needed = keyed.join(members.hint("merge"), same).select(
         members["text_key"], "of_id", "text", "root", "blocks", "block", "copies"
     ).groupBy("text_key", "of_id").agg(*[F.first(c).alias(c) for c in ("text", "root", "blocks", "block", "copies")]).drop("of_id")
     sets = map_arrow(
@@ -308,9 +313,9 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     classes = jaccard_classes(docs, **options).where("keeps").select("text_key", "doc_id")
     classes = written(classes, "kept")
     key = F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
-    marked = docs.select(F.struct(*docs.columns).alias("_row"), key.alias("_key"), F.col("doc_id").cast("long").alias("_id"))
+    marked = docs.select(F.struct(*columns(docs)).alias("_row"), key.alias("_key"), F.col("doc_id").cast("long").alias("_id"))
     wordless = F.length(F.regexp_replace(F.coalesce(F.col("_row.text"), F.lit("")), "[\\x20\\x09-\\x0D]", "")) == 0
     worded = marked.where(~wordless).join(
-        classes, (marked["_key"] == classes["text_key"]) & marked["_id"].eqNullSafe(classes["doc_id"]), "left_semi"
+        classes.hint("merge"), (marked["_key"] == classes["text_key"]) & marked["_id"].eqNullSafe(classes["doc_id"]), "left_semi"
     ).groupBy("_key", "_id").agg(F.first("_row").alias("_row"))
     return worded.select("_row.*").union(marked.where(wordless).select("_row.*"))

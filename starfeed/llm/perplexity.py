@@ -12,7 +12,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from starfeed.llm.text import WORD, chunks, mixed
+from starfeed.llm.text import WORD, chunks, columns, mixed
 from starfeed.workspace import written
 
 ORDER = 5
@@ -169,13 +169,13 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text", order: int =
             langs = np.asarray([hashes.setdefault(x, _lang_hash(x)) for x in batch.column("lang").to_pylist()], np.uint64)
             fold = lambda part: _folds(part.ravel(), part.shape[1])[-1][part.shape[1] - 1 :: part.shape[1]] if part.shape[1] else np.zeros(len(part), np.uint64)
             yield pa.record_batch(
-                [pa.array(_slot(fold(codes), langs, k)), pa.array(_slot(fold(codes[:, :-1]), langs, k - 1)),
-                 pa.array(_slot(fold(codes[:, 1:]), langs, k - 1)), batch.column("n"), pa.array((langs >> np.uint64(52)).astype(np.int64))],
+                [*(pa.array(x.astype(np.int32)) for x in (_slot(fold(codes), langs, k), _slot(fold(codes[:, :-1]), langs, k - 1), _slot(fold(codes[:, 1:]), langs, k - 1))),
+                 batch.column("n"), pa.array((langs >> np.uint64(52)).astype(np.int32))],
                 ["slot", "context", "tail", "n", "lang_slot"],
             )
 
     for k in range(order, 0, -1):
-        rows = frame.mapInArrow(slots, "slot long, context long, tail long, n long, lang_slot long")
+        rows = frame.mapInArrow(slots, "slot int, context int, tail int, n long, lang_slot int")
         tables.append(
             rows.groupBy("slot").agg(F.sum("n").alias("n"), *[F.max(c).alias(c) for c in ("context", "tail", "lang_slot")]).toArrow()
         )
@@ -213,8 +213,7 @@ def measured(docs: DataFrame, model: KneserNey, lang: str = "lang", text: str =
     ``log_perplexity`` is the mean of minus the log probability over the words, null without words.
     A null text has no words, and a null language is one of its own.
     """
-    keep = docs.columns if keep is None else keep
-    source = docs.select(F.struct(*keep).alias("_row"), F.col(lang).alias("lang"), F.col(text).alias("text"))
+    source = docs.select(F.struct(*(columns(docs) if keep is None else keep)).alias("_row"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     schema = T.StructType([source.schema["_row"], source.schema["lang"]])
     shared = docs.sparkSession.sparkContext.broadcast(model)
     for name, kind in MEASURES.items():

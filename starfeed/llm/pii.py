@@ -154,7 +154,8 @@ def discovered(mentions: DataFrame, rounds: int = ROUNDS, least_seeds: int = LEA
     right word, and both. A graph joins patterns to entities. A seed scores 1 for its own kind and 0 for
     the others. In each round a pattern's score for a kind is the mean score of all its entities, smoothed, and 0 if fewer than
     ``least_seeds`` different seeds of the kind have it; an unknown entity's score is the chance
-    that one of its patterns is right. Taken are unknown entities that score ``confident`` for one kind.
+    that one of its patterns is right. Taken are unknown entities that score ``confident`` for one kind, by two patterns
+    at least, and hardly anything for the others.
 
     Edges are counted in each task before they are shuffled, and a common context is a sum, never a list.
     """
@@ -175,14 +176,15 @@ def discovered(mentions: DataFrame, rounds: int = ROUNDS, least_seeds: int = LEA
         ]
         scores = scores.select("context", *each)
         entities = unknown.join(scores, "context").groupBy("entity").agg(
-            *[(1 - F.exp(F.sum(F.log1p(-F.least(F.col(f"score{k}"), F.lit(0.999)))))).alias(f"score{k}") for k in range(len(KINDS))]
+            *[(1 - F.exp(F.sum(F.log1p(-F.least(F.col(f"score{k}"), F.lit(0.999)))))).alias(f"score{k}") for k in range(len(KINDS))],
+            *[F.count_if(F.col(f"score{k}") >= 0.5).alias(f"patterns{k}") for k in range(len(KINDS))],
         )
         entities = written(entities, "entities")
         gained = unknown.join(entities, "entity").groupBy("context").agg(*[F.sum(f"score{k}").alias(f"gain{k}") for k in range(len(KINDS))])
-    best = F.array_max(F.array(*[F.struct(F.col(f"score{k}").alias("score"), F.lit(k).alias("kind")) for k in range(len(KINDS))]))
+    best = F.array_max(F.array(*[F.struct(F.col(f"score{k}").alias("score"), F.lit(k).alias("kind"), F.col(f"patterns{k}").alias("patterns")) for k in range(len(KINDS))]))
     total = reduce(lambda a, b: a + b, [F.col(f"score{k}") for k in range(len(KINDS))])
     taken = entities.select("entity", best.alias("best"), total.alias("total")).where(
-        (F.col("best.score") >= confident) & (F.col("best.score") >= confident * F.col("total"))
+        (F.col("best.score") >= confident) & (F.col("best.score") >= confident * F.col("total")) & (F.col("best.patterns") >= 2)
     )
     return taken.select("entity", F.col("best.kind").alias("kind"))
 

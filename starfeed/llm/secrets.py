@@ -13,7 +13,7 @@ from pyspark.ml.classification import RandomForestClassificationModel, RandomFor
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from starfeed.llm.text import WORD, chunks
+from starfeed.llm.text import WORD, chunks, columns
 from starfeed.workspace import written
 
 DICTIONARY_WORDS = 20_000
@@ -145,7 +145,7 @@ class Reader:
         return out
 
 
-def with_candidates(docs: DataFrame, words: list[str], keep: list[str], text: str, path: str, sample_words: bool) -> DataFrame:
+def with_candidates(docs: DataFrame, words: list[str], keep: list[Column], text: str, path: str, sample_words: bool) -> DataFrame:
     """``_row`` (the ``keep`` columns) and ``found``, the candidates of each row. A null text has none; a null path is empty."""
     known = docs.sparkSession.sparkContext.broadcast(words)  # DICTIONARY_WORDS at most
     source = docs.select(F.struct(*keep).alias("_row"), F.col(text).alias("text"), F.col(path).cast("string").alias("path"))
@@ -191,7 +191,7 @@ def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
     """
     words = dictionary(docs, text_col)
     source = docs.withColumn("_id", F.col(id_col).cast("long"))
-    rows = with_candidates(source, words, ["_id"], text_col, path_col, True)
+    rows = with_candidates(source, words, [F.col("_id")], text_col, path_col, True)
     found = written(rows.select(F.col("_row._id").alias("doc_id"), F.explode("found").alias("c")).select("doc_id", "c.*"), "candidates")
     forest = train(found.where("label is not null") if labelled is None else labelled)
     return _judged(found.where("kind <> 'word'"), forest).select(
@@ -212,7 +212,7 @@ def redacted(docs: DataFrame, text_col: str = "text", path_col: str = "source")
     """``docs`` with each secret replaced by ``MASK``; all rows and columns stay. Rows without
     candidates, by far the most, are not shuffled."""
     words = dictionary(docs, text_col)
-    rows = with_candidates(docs, words, docs.columns, text_col, path_col, True)
+    rows = with_candidates(docs, words, columns(docs), text_col, path_col, True)
     rows = written(rows.withColumn("_n", F.monotonically_increasing_id()), "scanned")
     found = rows.select("_n", F.explode("found").alias("c")).select("_n", "c.*")
     forest = train(found.where("label is not null"))
@@ -221,5 +221,5 @@ def redacted(docs: DataFrame, text_col: str = "text", path_col: str = "source")
     has = F.exists("found", lambda c: c["kind"] != "word")
     marked = rows.where(has).join(spans, "_n", "left")
     new = F.when(F.size("spans") > 0, _masked(F.col(f"_row.{text_col}"), F.col("spans"))).otherwise(F.col(f"_row.{text_col}"))
-    changed = marked.select(*[new.alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in docs.columns])
+    changed = marked.select(*[new.alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in docs.columns])
     return rows.where(~has).select("_row.*").union(changed)

@@ -9,11 +9,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-#: A-Z only, as the contracts ask: other letters keep their case.
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 CHUNK_CHARS = 4_000_000
 
 
@@ -21,8 +19,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def ascii_lower(text: str) -> str:
-    return text.lower() if text.isascii() else text.translate(LOWER)
+def columns(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, whatever their names."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
 
 
 class WordHashes(dict):
