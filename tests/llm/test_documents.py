@@ -1,0 +1,400 @@
+"""The operators on documents against brute-force versions, on odd rows and on a small table."""
+
+import collections
+import hashlib
+import math
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from odd import LONG, ODD, PROSE, documents
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from starfeed.llm.bpe_automaton import AutomatonEncoder, encoded
+from starfeed.llm.jaccard_join import choose_bands, jaccard_classes, one_of_each
+from starfeed.llm.packing import cut, pack, placed, sequences, tokenized
+from starfeed.llm.perplexity import END, START, judged, train as train_kneser_ney
+from starfeed.llm.pii import discovered, listed, personal_data
+from starfeed.llm.pitman_yor import _source, held_out, scored, seat, train as train_pitman_yor
+from starfeed.llm.secrets import FEATURES, Reader, findings, redacted
+
+SMALL = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def small(spark):
+    return spark.read.parquet(f"{SMALL}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def texts(small):
+    return {r["doc_id"]: r["text"] or "" for r in small.collect()}
+
+
+# ---- near duplicates ------------------------------------------------------------------
+
+
+def shingle_set(text):
+    words = WORD.findall((text or "").lower())
+    return frozenset(zip(*[words[i:] for i in range(5)])) if len(words) >= 5 else frozenset([tuple(words)] if words else [])
+
+
+def brute_classes(rows):
+    """{row number: (least id of the class, links to other texts)} for (id, text) rows."""
+    sets = [shingle_set(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    links = collections.Counter()
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            if i != j and a and b and len(a & b) >= 0.8 * len(a | b):
+                links[i] += rows[i][1] != rows[j][1]
+                parent[max(root(i), root(j))] = min(root(i), root(j))
+    groups = collections.defaultdict(list)
+    for i in range(len(rows)):
+        groups[root(i)].append(rows[i][0])
+    return {i: (min((x for x in groups[root(i)] if x is not None), default=None), links[i]) for i in range(len(rows))}
+
+
+def test_classes_equal_brute_force(spark, small):
+    rows = [(r["doc_id"], r["text"]) for r in small.collect()]
+    expected = brute_classes(rows)
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard_classes(small).collect()}
+    assert got == {rows[i][0]: v for i, v in expected.items()}
+
+
+def test_classes_of_odd_rows(spark):
+    got = collections.Counter((r["doc_id"], r["class_id"], r["n_links"], r["n_copies"]) for r in jaccard_classes(documents(spark)).collect())
+    expected = brute_classes([(r[0], r[1]) for r in ODD])
+    copies = collections.Counter(r[1] for r in ODD if shingle_set(r[1]))
+    assert got == collections.Counter((r[0], *expected[i], copies.get(r[1], 1)) for i, r in enumerate(ODD))
+
+
+def test_one_of_each_keeps_all_columns(spark):
+    docs = documents(spark)
+    kept = one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == [-5, 1, 4, 5, 6, 7, 8, 9, 10, 11]
+    assert kept.count() == 11
+
+
+def test_large_groups_are_compared_in_blocks(spark, monkeypatch):
+    from starfeed.llm import jaccard_join
+
+    monkeypatch.setattr(jaccard_join, "BLOCK_DOCS", 3)
+    base = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join(base[:k] + [f"x{i}"] + base[k + 1 :]), "en", "s") for i, k in enumerate(range(0, 300, 25))]
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard_classes(documents(spark, rows)).collect()}
+    assert got == {i: v for i, v in brute_classes([(r[0], r[1]) for r in rows]).items()}
+
+
+def test_bands_meet_the_recall():
+    for threshold in (0.5, 0.8, 0.95):
+        bands, rows = choose_bands(threshold, 0.999, 200)
+        assert bands * rows <= 200 and 1 - (1 - threshold**rows) ** bands >= 0.999
+
+
+# ---- packing --------------------------------------------------------------------------
+
+
+def expected_ids(text):
+    return Tokenizer.from_file(VOCABULARY).encode(text or "", add_special_tokens=False).ids + [1]
+
+
+@pytest.mark.parametrize("window", [2048, 7])
+def test_packing_round_trip(spark, window):
+    docs = documents(spark).repartition(3)
+    tokens = tokenized(docs)
+    pieces = cut(placed(tokens), window)
+    rows = sorted(pieces.collect(), key=lambda r: (r["sequence_id"], r["offset"]))
+    sizes = collections.Counter()
+    for r in rows:
+        assert r["offset"] == sizes[r["sequence_id"]]
+        sizes[r["sequence_id"]] += r["length"]
+    assert all(sizes[s] == window for s in range(max(sizes)))
+    whole = np.concatenate([np.frombuffer(r["ids"], "<u4") for r in rows])
+    ends = [r for r in rows if r["start"] + r["length"] == r["doc_tokens"]]
+    assert len(ends) == len(ODD) and sum(sizes.values()) == sum(len(expected_ids(r[1])) for r in ODD)
+    stream, at = collections.Counter(), 0
+    for r in ends:
+        end = at + r["doc_tokens"]
+        stream[tuple(whole[at:end])] += 1
+        at = end
+    assert stream == collections.Counter(tuple(expected_ids(r[1])) for r in ODD)
+    assert all(zlib.crc32(r["ids"]) == r["ids_crc32"] for r in rows)
+    if window == 2048:
+        put_together = {r["sequence_id"]: r["ids"] for r in sequences(pieces).collect()}
+        assert np.concatenate([put_together[i] for i in sorted(put_together)]).tolist() == whole.tolist()
+
+
+# ---- encoding -------------------------------------------------------------------------
+
+
+def test_encoding_equals_the_library(spark, small):
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    rows = encoded(documents(spark).select("doc_id", "text", "w").unionByName(small.select("doc_id", "text", F.lit("").alias("w"))))
+    got = collections.Counter((r["doc_id"], r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in rows.collect())
+    expected = collections.Counter()
+    for doc_id, text in [(r[0], r[1]) for r in ODD] + [(r["doc_id"], r["text"]) for r in small.collect()]:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids
+        digest = hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        expected[doc_id, len(ids), digest, hashlib.sha256(tokenizer.decode(ids, skip_special_tokens=False).encode()).hexdigest()] += 1
+    assert got == expected
+
+
+def test_automaton_on_repeats_and_ties():
+    tokenizer, encoder = Tokenizer.from_file(VOCABULARY), AutomatonEncoder(VOCABULARY)
+    rng = np.random.default_rng(5)
+    words = ["a" * n for n in range(60)] + ["ab" * 40, "=-" * 300, " " * 500]
+    words += ["".join(rng.choice(list("estrinao "), 30)) for _ in range(2000)]
+    assert encoder.encode(words) == [e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False)]
+
+
+# ---- quality --------------------------------------------------------------------------
+
+
+def base_measures(text):
+    words = WORD.findall(text or "")
+    windows = collections.Counter(zip(words, words[1:], words[2:]))
+    covered = {i + k for i in range(len(words) - 2) for k in range(3) if windows[tuple(words[i : i + 3])] > 1}
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    n = len(words)
+    return n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(covered), n < 50 or 100 * len(covered) > 50 * n
+
+
+def test_quality_measures(spark, small):
+    for docs, rows in ((documents(spark), [(r[0], r[1]) for r in ODD]), (small, [(r["doc_id"], r["text"]) for r in small.collect()])):
+        got = judged(docs).collect()
+        names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+        assert collections.Counter((r["_row"]["doc_id"], *(r[n] for n in names)) for r in got) == collections.Counter((i, *base_measures(t)) for i, t in rows)
+        assert not any(r["kept"] and r["base_failed"] for r in got)
+        assert got[0]["_row"].asDict().keys() == set(docs.columns)
+
+
+def plain_kneser_ney(words, order):
+    """word -> natural log probability, by dictionaries."""
+    grams = [collections.Counter() for _ in range(order + 1)]
+    for w in words:
+        w = START * (order - 1) + w + END
+        grams[order].update(w[i : i + order] for i in range(len(w) - order + 1))
+    for k in range(order - 1, 0, -1):
+        grams[k].update(g[1:] for g in grams[k + 1])
+
+    def discount(k, n):
+        t = [sum(c == i for c in grams[k].values()) for i in range(1, 5)]
+        y = t[0] / max(t[0] + 2 * t[1], 1) if t[0] else 0.5
+        i = min(n, 3) - 1
+        d = i + 1 - (i + 2) * y * t[i + 1] / t[i] if t[i] else 0.5 * (i + 1)
+        return min(max(d, 0.05 * (i + 1)), 0.95 * (i + 1))
+
+    discounts = [None] + [[discount(k, n) for n in (1, 2, 3)] for k in range(1, order + 1)]
+    followers = [collections.defaultdict(dict) for _ in range(order + 1)]
+    for k in range(1, order + 1):
+        for g, c in grams[k].items():
+            followers[k][g[:-1]][g[-1]] = c
+
+    def p(context, char):
+        if not context and char is None:
+            return 0
+        k = len(context) + 1
+        lower = p(context[1:], char) if context else 1 / (len(grams[1]) + 1)
+        seen = followers[k].get(context)
+        if not seen:
+            return lower
+        cut = lambda c: discounts[k][min(c, 3) - 1]
+        total = sum(seen.values())
+        c = seen.get(char, 0)
+        return (c - cut(c) if c else 0) / total + sum(map(cut, seen.values())) / total * lower
+
+    def word(w):
+        w = START * (order - 1) + w + END
+        return sum(math.log(p(w[i : i + order - 1], w[i + order - 1])) for i in range(len(w) - order + 1))
+
+    return word
+
+
+def test_kneser_ney_equals_dictionaries(spark):
+    rows = [(i, t, "en", "s") for i, t in enumerate(PROSE * 3 + ["banana bandana cabana", "fox foxes box"])]
+    model = train_kneser_ney(documents(spark, rows))
+    plain = plain_kneser_ney([w for r in rows for w in WORD.findall(r[1])], 5)
+    import xxhash
+
+    words = ["the", "fox", "banana", "unseen", "zzz", "a", "bandanas"]
+    got = model.log_probabilities(words, np.full(len(words), xxhash.xxh3_64_intdigest("en"), np.uint64))
+    assert got == pytest.approx([plain(w) for w in words], rel=1e-4)
+
+
+def test_bands_reject_noise_and_keep_prose(spark):
+    rng = np.random.default_rng(3)
+    vocabulary = sorted(set(" ".join(PROSE).split()))
+    rows = [(i, " ".join(rng.choice(vocabulary, 120)), "en", "s") for i in range(60)]
+    rows += [(100 + i, " ".join("".join(rng.choice(list("qxzjkvw0123456789#%"), 9)) for _ in range(120)), "en", "s") for i in range(2)]
+    kept = {r["_row"]["doc_id"]: r["kept"] for r in judged(documents(spark, rows)).collect()}
+    assert all(kept[i] for i in range(60)) and not kept[100] and not kept[101]
+
+
+# ---- secrets --------------------------------------------------------------------------
+
+
+def test_secrets_are_found_and_numbers_left(spark):
+    rows = [(200 + i, f"the value of it is {4041894974608700 + i} and password=b7db7aa4a5fcc{i:05d} and AKIASJDZWJNP6ZRY{i:04d} end", "en", "s") for i in range(60)]
+    rows += list(ODD)
+    got = findings(documents(spark, rows)).collect()
+    by_text = {(r[0], r[1]) for r in rows}
+    text = {i: t for i, t in by_text if i is not None}
+    for r in got:
+        value = text[r["doc_id"]][r["start"] : r["end"]]
+        assert r["is_secret"] == (not value.isdigit()), (value, r)
+    assert sum(r["is_secret"] for r in got) == 2 * 60 + 2
+    masked = {r["doc_id"]: r["text"] for r in redacted(documents(spark, rows)).collect()}
+    assert masked[200] == "the value of it is 4041894974608700 and password=[SECRET] and [SECRET] end"
+    assert masked[11] == 'token = "[SECRET]" [SECRET] 4041894974608795 10.2.3.4'
+    assert masked[9] == LONG and masked[6] is None
+    assert redacted(documents(spark, rows)).columns == documents(spark).columns
+
+
+def test_held_out_accuracy_of_the_forest(spark):
+    """Labelled findings of made-up values: the forest is trained on two thirds and tested on the rest."""
+    from pyspark.ml.functions import array_to_vector
+
+    from starfeed.llm.secrets import train
+
+    rng = np.random.default_rng(1)
+    reader = Reader(sorted(set(" ".join(PROSE).split())))
+    rows = []
+    for i in range(600):
+        if i % 2:
+            value = "".join(rng.choice(list("0123456789abcdef"), 32))
+        else:
+            value = "_".join(rng.choice(sorted(reader.words), 4)) + str(rng.integers(10))
+        rows.append((i, i % 2, reader.features(value, bool(rng.integers(2)), False, "the", "and", "src/a")))
+    df = spark.createDataFrame(rows, "i int, label int, features array<double>")
+    assert len(rows[0][2]) == len(FEATURES)
+    forest = train(df.where("i % 3 > 0"))
+    tested = forest.transform(df.where("i % 3 = 0").withColumn("vector", array_to_vector("features")))
+    assert tested.where("prediction = label").count() >= 0.95 * tested.count()
+
+
+# ---- personal data --------------------------------------------------------------------
+
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(digits))) % 10 == 0
+
+
+def base_spans(text):
+    out = []
+    for kind, pattern in PATTERNS.items():
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub(r"\D", "", m.group())
+            valid = {"email": True, "ip": kind != "ip" or max(map(int, m.group().split("."))) < 256, "card": 16 <= len(digits) <= 19 and luhn(digits), "phone": 8 <= len(digits) <= 15}
+            if valid[kind]:
+                out.append(f"{kind}:{m.start()}:{m.end()}")
+    return out
+
+
+TRICKY = [
+    "a@b.c_d@e.f x%@y-.z. .@..q 1.2.3.4.5.6.7.8 300.1.1.1 001.002.003.0255 +1 (988) 555-2485) +12 3 ++44 20 7946 0958-",
+    "4041 8949 7460 8795, 4041-8949-7460-8795 4041  8949 😀 4041894974608795x 00 a@b a@b.c@d.e é@é.fr +1(988)555.2485.9 9.9.9.9",
+    "🙂" * 50 + " mail me: x.y+z@mail8.example.com. or 10.0.0.1, " + "1.2.3.4 " * 700,
+]
+
+
+def test_base_spans(spark):
+    rows = ODD + [(100 + i, t, "en", "s") for i, t in enumerate(TRICKY)]
+    got = collections.Counter((r["doc_id"], r["b"]) for r in personal_data(documents(spark, rows)).select("doc_id", listed(F.col("base")).alias("b")).collect())
+    assert got == collections.Counter((r[0], ",".join(base_spans(r[1]))) for r in rows)
+
+
+def test_contexts_discover_identifiers_that_no_pattern_finds(spark):
+    words = " ".join(PROSE).split()
+    rows = [(i, f"{words[i % 40]} write to e-mail: person{i}@mail.example.com or {words[(i * 7) % 40]}", "en", "s") for i in range(40)]
+    rows += [(100, "the e-mail: person77(at)mail.example2 or so", "en", "s"), (101, "room 77b or so", "en", "s")]
+    got = {r["doc_id"]: r["s"] for r in personal_data(documents(spark, rows)).select("doc_id", listed(F.col("spans")).alias("s")).collect()}
+    assert got[100] == "email:12:37" and got[101] == ""
+    assert got[0] == ",".join(base_spans(rows[0][1]))
+
+
+def test_contexts_shared_by_kinds_discover_nothing(spark):
+    mentions = [(k, f"entity{k}-{i}", "the", "and") for k in range(4) for i in range(20)] + [(-1, "stranger1", "the", "and")]
+    assert discovered(spark.createDataFrame(mentions, "kind int, entity string, left string, right string")).count() == 0
+
+
+# ---- language model -------------------------------------------------------------------
+
+
+def base_scores(rows):
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tokens = [(i, WORD.findall((t or "").translate(lower)) + [None]) for i, t in rows]
+    counts = collections.Counter(w for i, x in tokens if not held_out(i) for w in x)
+    n, v = sum(counts.values()), len(counts)
+    return collections.Counter(
+        (i, held_out(i), len(x), sum(counts[w] > 0 for w in x), n, round(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in x), 6)) for i, x in tokens
+    )
+
+
+@pytest.mark.parametrize("sent_words", [1 << 17, 5])
+def test_base_scores(spark, small, sent_words):
+    for docs, rows in ((documents(spark), [(r[0], r[1]) for r in ODD]), (small, [(r["doc_id"], r["text"]) for r in small.collect()])):
+        got = scored(docs, sent_words=sent_words).collect()
+        assert collections.Counter((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in got) == base_scores(rows)
+        assert all(math.isfinite(r["score"]) and r["score"] <= 0 for r in got)
+
+
+def test_sent_and_joined_words_score_alike(spark, small):
+    one, other = ({r["doc_id"]: r["score"] for r in scored(small, sent_words=n).collect()} for n in (1 << 17, 5))
+    assert one == pytest.approx(other, rel=1e-5)
+
+
+def test_the_model_beats_the_base_on_held_out_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = scored(docs).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert rows[0] > 0.97 * rows[1]
+
+
+def test_probabilities_sum_to_one(spark, small):
+    model = train_pitman_yor(_source(small, "doc_id", "text"))
+    words, totals = model.words.collect(), model.totals
+    parent = totals.parent(np.asarray([r["c0"] for r in words]), np.asarray([r["t0"] for r in words]))
+    unknown = totals.parent(np.zeros(1), np.zeros(1))[0]
+    assert parent.sum() + unknown == pytest.approx(1, rel=1e-6)
+    for u in range(len(model.markers) + 1):
+        direct = sum((p & ((1 << 40) - 1)) - 0.8 * t for r in words for p, t in zip(r["pairs"], r["t"]) if p >> 40 == u)
+        assert direct / (1 + totals.customers[u]) + totals.back_off()[u] == pytest.approx(1, rel=1e-5)
+
+
+def test_seating_follows_the_restaurant_process():
+    """Mean tables against those of customers seated one at a time."""
+    rng = np.random.default_rng(0)
+    n, a, gain, d = 40, 1.5, 0.2, 0.6
+    one_by_one = []
+    for _ in range(4000):
+        t = 1
+        for k in range(1, n):
+            new = a + gain * t
+            t += rng.random() < new / (k - d * t + new)
+        one_by_one.append(t)
+    t, weight = seat(np.full(4000, n), np.full(4000, a), np.full(4000, gain), d, rng)
+    assert abs(t.mean() - np.mean(one_by_one)) < 0.25 and np.isfinite(weight).all()
+
+
+def test_empty_tables(spark):
+    none = documents(spark, [])
+    assert jaccard_classes(none).count() == one_of_each(none).count() == pack(none).count() == encoded(none).count() == 0
+    assert judged(none).count() == findings(none).count() == redacted(none).count() == personal_data(none).count() == scored(none).count() == 0
