@@ -43,7 +43,7 @@ def _segment(code: Column, shift: int, width: int) -> Column:
 
 def _first_ids(rows: DataFrame, k: int) -> DataFrame:
     """(code, ids): the k + 1 least ids of each code. Rows of one code are first cut down in salted parts."""
-    salted = rows.select("code", "id", F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("salt"))
+    salted = rows.select("code", "id").distinct().select("code", "id", F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("salt"))
     ranked = salted.withColumn("n", F.expr("row_number() over (partition by code, salt order by id)")).where(F.col("n") <= k + 1)
     ranked = ranked.withColumn("n", F.expr("row_number() over (partition by code order by id)")).where(F.col("n") <= k + 1)
     return ranked.groupBy("code").agg(F.array_sort(F.collect_list("id")).alias("ids"))
@@ -53,8 +53,8 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """(id, code, neighbours) for each row of ``queries``: its k nearest rows of ``rows`` by Hamming
     distance, itself not among them, as an array of (distance, id) in that order; ties go to the least id.
 
-    Both have id (long) and code (long). Rows without a code are neither searched nor found, and such a query has no neighbours. The
-    neighbours of an id that occurs more than once exclude all its rows.
+    Both have id (long) and code (long). Rows without a code or an id are not found, and a query without a code has no neighbours.
+    Repeated rows are found once; the neighbours of an id exclude all rows of that id.
 
     Equal codes are searched for and found once, so a code that a third of the rows share is one entry. Codes are
     cut into m segments, each with its buckets. At radius r a query looks into all buckets within r bits

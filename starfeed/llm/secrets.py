@@ -176,11 +176,12 @@ def train(labelled: DataFrame, rows: int = TRAINING_ROWS) -> RandomForestClassif
 
 
 def _judged(candidates: DataFrame, forest: RandomForestClassificationModel | None) -> DataFrame:
-    """Adds ``probability``; without a forest there is nothing that speaks against a candidate."""
+    """Adds ``probability``: what the label says, else the forest; without one nothing speaks against a candidate."""
     if forest is None:
-        return candidates.withColumn("probability", F.lit(1.0))
+        return candidates.withColumn("probability", F.coalesce(F.col("label").cast("double"), F.lit(1.0)))
     scored = forest.transform(candidates.withColumn("vector", array_to_vector("features")))
-    return scored.withColumn("probability", vector_to_array("probability")[1]).drop("vector", "rawPrediction", "prediction")
+    scored = scored.withColumn("probability", F.coalesce(F.col("label").cast("double"), vector_to_array("probability")[1]))
+    return scored.drop("vector", "rawPrediction", "prediction")
 
 
 def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source", labelled: DataFrame | None = None) -> DataFrame:
