@@ -20,7 +20,8 @@ TODAS = """
 
 DIMS = {
     "dim_clientes": f"select distinct * from ({USUARIOS})",
-    "dim_wallets": "select distinct c_custkey as cliente_id, c_acctbal as saldo from customer",
+    "dim_wallets": """
+      select distinct c_custkey as cliente_id, c_acctbal as saldo, c_name, c_nationkey, c_mktsegment from customer""",
     "dim_productos": """
       select distinct p_partkey as producto_id, p_brand as catalogo_id, p_name as nombre,
              p_type as categoria, p_retailprice as precio from part""",
@@ -42,7 +43,7 @@ DIMS = {
     "dim_catalogos": "select distinct n_nationkey as catalogo_id, n_name, n_regionkey from nation",
     "dim_promociones": """
       select distinct p_partkey as promocion_id, p_name, p_brand, p_type, p_size, p_retailprice from part""",
-    "dim_imagenes_producto": "select distinct page_id as imagen_id, url from pages",
+    "dim_imagenes_producto": "select distinct page_id as imagen_id, url, html from pages",
     "dim_datos_contacto": "select distinct s_suppkey as contacto_id, s_name, s_nationkey, s_acctbal from supplier",
     "dim_fecha": """
       select fecha, cast(year(fecha) as int) as anio, cast(month(fecha) as int) as mes,
@@ -203,6 +204,10 @@ ORACLE: dict[str, str] = {
     "repeated_keys": repeated_keys(),
     "src_csv_roundtrip": "select * from documents",
     "src_csv_catalog": fact(),
+    "src_csv_misfits": """
+      select 'ratings' as tabla, 'r-' || event_id as id, (event_id % 5) + cast(0.5 as double) as numero from events
+      union all
+      select 'transacciones', 't-' || event_id, cast(event_id || '.00012345' as double) from events""",
     "sink_roundtrip": fact(),
     "full_load_counts": load_counts(ALL_TABLES),
     "next_load_counts": load_counts(ADDED),
@@ -218,11 +223,13 @@ ORACLE: dict[str, str] = {
     "stream_status": """
       select cast(event_id as varchar) as pedido_id, event_type as estado, ts as "timestamp" from events""",
     "stream_two_feeds": """
-      select 'ubicaciones_realtime' as tabla, cast(user_id as varchar) as clave, ts as "timestamp" from events
+      select cast(user_id as varchar) as repartidor_id, value as latitud, cast(event_id as double) as longitud,
+             ts as "timestamp", 'ubicaciones_realtime' as tabla, null::varchar as pedido_id, null::varchar as estado
+      from events
       union all
-      select 'estado_pedidos_realtime', cast(event_id as varchar), ts from events""",
+      select null, null, null, ts, 'estado_pedidos_realtime', cast(event_id as varchar), event_type from events""",
     "latest_by_key": """
-      select event_id, ts, user_id, event_type, value from events
+      select * from events
       qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1""",
     "stream_upsert": f"""
       {LOCATION_MESSAGES} qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1""",

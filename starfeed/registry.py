@@ -252,13 +252,27 @@ def src_csv_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, df in given.items():
         raw = {new: old for old, new in SOURCES[name].renames.items()}
         write_csv(df.withColumnsRenamed(raw), source_path(base, name))
-    # this data keeps prices as doubles and catalogues as brand names
-    kept = {name: {f.name: f.dataType for f in df.schema} for name, df in given.items()}
-    prices = {
-        "productos": {"catalogo_id": kept["productos"]["catalogo_id"]},
-        "pedido_productos": {"precio_unitario": kept["pedido_productos"]["precio_unitario"]},
-    }
-    return fact_orders(load_sources(spark, base, FACT_INPUTS, extra_types=prices))
+    read = load_sources(spark, base, FACT_INPUTS)  # catalogues are brand names here: that column becomes text
+    return fact_orders(read, fact_profile(read))
+
+
+def src_csv_misfits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text ids, half ratings and fractions of a cent, none of which the catalogue's types hold."""
+    base, events = work_dir(spark, "extracts"), testdata.table(spark, sf_dir, "events")
+    ratings = events.select(
+        F.format_string("r-%d", "event_id").alias("id"), F.format_string("%d.5", F.col("event_id") % 5).alias("puntaje")
+    )
+    transactions = events.select(
+        F.format_string("t-%d", "event_id").alias("id"), F.format_string("%d.00012345", "event_id").alias("amount")
+    )
+    write_csv(ratings, source_path(base, "ratings"))
+    write_csv(transactions, source_path(base, "transacciones"))
+    read = load_sources(spark, base, ["ratings", "transacciones"])
+    parts = [
+        read[name].select(F.lit(name).alias("tabla"), "id", F.col(column).alias("numero"))
+        for name, column in (("ratings", "puntaje"), ("transacciones", "amount"))
+    ]
+    return parts[0].unionAll(parts[1])
 
 
 def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -387,17 +401,15 @@ def stream_two_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
         work_dir(spark, "checkpoint"),
         available_now=True,
     )
-    parts = [
-        logs[feed.topic]
-        .read(spark)
-        .select(F.lit(feed.table).alias("tabla"), F.col(feed.key).alias("clave"), "timestamp")
+    locations, statuses = (
+        logs[feed.topic].read(spark).drop("ingestion_time").withColumn("tabla", F.lit(feed.table))
         for feed in (LOCATIONS, STATUSES)
-    ]
-    return plain_time(parts[0].unionAll(parts[1]))
+    )
+    return plain_time(locations.unionByName(statuses, allowMissingColumns=True))
 
 
 def latest_by_key_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = testdata.table(spark, sf_dir, "events").drop("props")
+    events = testdata.table(spark, sf_dir, "events")
     return latest_by_key(events, "user_id", ["ts", "event_id"])
 
 
@@ -440,6 +452,7 @@ QUERIES: dict[str, Query] = {
     "repeated_keys": repeated_keys_query,
     "src_csv_roundtrip": src_csv_roundtrip,
     "src_csv_catalog": src_csv_catalog,
+    "src_csv_misfits": src_csv_misfits,
     "sink_roundtrip": sink_roundtrip,
     "full_load_counts": full_load_counts,
     "next_load_counts": next_load_counts,

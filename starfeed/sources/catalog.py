@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from starfeed.sources.csv import read_csv
 
 LONG, INT, TEXT, REAL = T.LongType(), T.IntegerType(), T.StringType(), T.DoubleType()
-TIME, FLAG, MONEY = T.TimestampType(), T.BooleanType(), T.DecimalType(18, 2)
+TIME, FLAG = T.TimestampType(), T.BooleanType()
 
 
 @dataclass(frozen=True)
 class Source:
-    """One extract: its file, the types of its known raw columns, the names the
-    star schema uses instead, and whether a text field may hold line breaks."""
+    """One extract: its file, the types its known raw columns have if all values fit them (see
+    ``read_csv``), the names the star schema uses instead, and whether a text field may hold line breaks."""
 
     file: str
     columns: Mapping[str, T.DataType]
@@ -34,7 +34,7 @@ SOURCES: dict[str, Source] = {
     "wallets": Source("cliente_wallets", {"id": LONG}),
     "productos": Source(
         "marketplace_productos",
-        {"producto_id": LONG, "catalogo_id": LONG, "nombre_producto": TEXT, "categoria": TEXT, "precio": MONEY},
+        {"producto_id": LONG, "catalogo_id": LONG, "nombre_producto": TEXT, "categoria": TEXT, "precio": REAL},
     ),
     "pedidos": Source(
         "cliente_pedidos",
@@ -46,19 +46,24 @@ SOURCES: dict[str, Source] = {
     ),
     "pedido_productos": Source(
         "cliente_pedido_productos",
-        {"pedido_id": LONG, "producto_id": LONG, "precio_unitario": MONEY},
+        {"pedido_id": LONG, "producto_id": LONG, "precio_unitario": REAL},
+        multi_line=False,
     ),
     "asignaciones": Source(
-        "delivery_asignaciones", {"pedidoId": LONG, "repartidorId": LONG}, {"pedidoId": "pedido_id"}
+        "delivery_asignaciones", {"pedidoId": LONG, "repartidorId": LONG}, {"pedidoId": "pedido_id"}, multi_line=False
     ),
     "repartidores": Source(
         "delivery_repartidores", {"id": LONG, "nombre": TEXT, "estado": TEXT}, {"id": "repartidor_id"}
     ),
     "ubicaciones": Source(
-        "delivery_ubicaciones", {"repartidorId": LONG, "latitud": REAL, "longitud": REAL, "timestamp": TIME}
+        "delivery_ubicaciones",
+        {"repartidorId": LONG, "latitud": REAL, "longitud": REAL, "timestamp": TIME},
+        multi_line=False,
     ),
     "sesiones": Source(
-        "delivery_sesiones", {"repartidorId": LONG, "fecha_inicio": TIME, "fecha_expiracion": TIME, "activa": FLAG}
+        "delivery_sesiones",
+        {"repartidorId": LONG, "fecha_inicio": TIME, "fecha_expiracion": TIME, "activa": FLAG},
+        multi_line=False,
     ),
     "ratings": Source(
         "delivery_ratings",
@@ -72,7 +77,7 @@ SOURCES: dict[str, Source] = {
         "blockchain_transactions",
         {
             "id": LONG, "origin_user_id": LONG, "destination_user_id": LONG, "transaction_date": TIME,
-            "currency_type": TEXT, "amount": MONEY, "concept": TEXT,
+            "currency_type": TEXT, "amount": REAL, "concept": TEXT,
         },
     ),
     "blockchain_wallets": Source("blockchain_wallets", {"id": LONG}),

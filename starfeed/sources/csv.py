@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+WIDE = T.DecimalType(38, 18)
+# What a column becomes if values do not fit its declared type: the first that holds all of them, text at last.
+WIDER: dict[str, tuple[T.DataType, ...]] = {
+    "int": (T.LongType(), T.DoubleType(), WIDE),
+    "bigint": (T.DecimalType(38, 0), T.DoubleType(), WIDE),
+    "double": (WIDE,),
+}
 
 
 def read_csv(
@@ -17,9 +25,10 @@ def read_csv(
     padded with NULL and surplus fields dropped.
 
     ``types`` declares the known columns. They are bound by header name, so column
-    order does not matter; columns it does not name pass through as text. A value
-    that does not fit its type becomes NULL. With ``types=None`` Spark infers all
-    types, at the price of one more pass over the data.
+    order does not matter; columns it does not name pass through as text. No value is lost to
+    a type: a column with values that do not fit becomes wider, text in the end (see
+    ``fitting_types``), which takes one more pass over the data, as inference does. With ``types=None`` Spark
+    infers all types.
 
     ``multi_line`` allows line breaks inside quoted fields. Such a file cannot be
     split, so a large extract should come as a folder of many files (or be read
@@ -35,6 +44,60 @@ def read_csv(
     if types is None:
         return reader.option("inferSchema", True).csv(path)
     header = reader.csv(path).columns
-    schema = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in header])
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
     # enforceSchema=False: a file in the folder with another header is an error, not a silent shift
-    return reader.schema(schema).option("enforceSchema", False).csv(path)
+    raw = reader.schema(schema).option("enforceSchema", False).csv(path)
+    return as_types(raw, fitting_types(raw, types))
+
+
+def as_types(raw: DataFrame, types: Mapping[str, T.DataType]) -> DataFrame:
+    """Text columns in the given types, which must fit; a blank is NULL unless the column stays text."""
+    return raw.select(*[_parsed(F.col(f"`{c}`"), types.get(c, T.StringType())).alias(c) for c in raw.columns])
+
+
+def fitting_types(raw: DataFrame, types: Mapping[str, T.DataType]) -> dict[str, T.DataType]:
+    """For each declared column of a table of texts the first type that holds all its values: the declared
+    one, one of ``WIDER``, or text. One aggregate over all columns."""
+    ladders = {c: (t, *WIDER.get(t.simpleString(), ())) for c, t in types.items() if c in raw.columns and t != T.StringType()}
+    if not ladders:
+        return {}
+    counts = [
+        F.count_if(misfit(F.col(f"`{c}`"), t)).alias(f"{i}_{k}")
+        for i, (c, ladder) in enumerate(ladders.items())
+        for k, t in enumerate(ladder)
+    ]
+    row = raw.agg(*counts).first()
+    return {
+        c: next((t for k, t in enumerate(ladder) if not row[f"{i}_{k}"]), T.StringType())
+        for i, (c, ladder) in enumerate(ladders.items())
+    }
+
+
+def misfits(raw: DataFrame, types: Mapping[str, T.DataType]) -> DataFrame:
+    """(columna, desajustes): how many values of each declared column its type would lose."""
+    counts = raw.agg(*[F.count_if(misfit(F.col(f"`{c}`"), t)).alias(c) for c, t in types.items() if c in raw.columns])
+    pairs = F.array(*[F.struct(F.lit(c).alias("columna"), F.col(f"`{c}`").alias("desajustes")) for c in counts.columns])
+    return counts.select(F.explode(pairs).alias("p")).select("p.*")
+
+
+def misfit(text: Column, kind: T.DataType) -> Column:
+    """Whether a value would be lost or changed as ``kind``."""
+    value = F.trim(text)
+    parsed = value.try_cast(kind)
+    lost = parsed.isNull()
+    if isinstance(kind, T.DecimalType):
+        # more digits than the type has places for are rounded off; exponents are not looked into
+        fraction = F.length(F.regexp_extract(value, r"\.([0-9]*?)0*$", 1))
+        lost = lost | (fraction > kind.scale) | F.rlike(value, F.lit("[eE]"))
+    elif isinstance(kind, T.DoubleType):
+        # up to 15 digits a double gives back; of longer ones those it prints itself
+        digits = F.length(F.regexp_replace(F.regexp_replace(value, "[eE].*$", ""), "[^0-9]", ""))
+        lost = lost | ((digits > 15) & (parsed.cast("string") != value))
+    return (F.length(value) > 0) & lost
+
+
+def _parsed(text: Column, kind: T.DataType) -> Column:
+    if kind == T.StringType():
+        return text
+    value = F.trim(text)
+    return F.when(F.length(value) > 0, value.try_cast(kind))

@@ -60,7 +60,7 @@ def _usuarios(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # input -> (table, row condition or None, columns as SQL expressions or ["*"])
 _PROJECTIONS = {
-    "wallets": ("customer", None, ["c_custkey as id", "c_acctbal as saldo"]),
+    "wallets": ("customer", None, ["c_custkey as id", "c_acctbal as saldo", "c_name", "c_nationkey", "c_mktsegment"]),
     "productos": (
         "part", None,
         ["p_partkey as producto_id", "p_brand as catalogo_id", "p_name as nombre_producto",
@@ -116,7 +116,7 @@ _PROJECTIONS = {
         "part", None,
         ["p_partkey as promocion_id", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
     ),
-    "imagenes_producto": ("pages", None, ["page_id as imagen_id", "url"]),
+    "imagenes_producto": ("pages", None, ["page_id as imagen_id", "url", "html"]),
     "datos_contacto": (
         "supplier", None, ["s_suppkey as contacto_id", "s_name", "s_nationkey", "s_acctbal"],
     ),

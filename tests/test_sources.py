@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import types as T
 
-from starfeed.sources import SOURCES, land, load_sources, read_csv, source_path
+from starfeed.sources import SOURCES, land, load_sources, misfits, read_csv, source_path
 
 
 def write(path, text):
@@ -23,11 +23,42 @@ def test_paths():
 
 
 def test_quotes_line_breaks_and_ragged_rows(spark, tmp_path):
-    path = write(tmp_path / "a.csv", 'id,t\n1,"two\nlines, and ""quotes"""\n2\n3,x,surplus\nno,y\n')
+    path = write(tmp_path / "a.csv", 'id,t\n1,"two\nlines, and ""quotes"""\n2\n3,x,surplus\n,y\n')
     got = {r["t"]: r["id"] for r in read_csv(spark, path, {"id": T.LongType()}).collect()}
     assert got == {'two\nlines, and "quotes"': 1, None: 2, "x": 3, "y": None}
 
 
+LONG, INT, REAL, MONEY = T.LongType(), T.IntegerType(), T.DoubleType(), T.DecimalType(18, 2)
+
+
+@pytest.mark.parametrize(
+    "declared, texts, kind, values",
+    [
+        (REAL, ["0.00012345", "1.239"], "double", [0.00012345, 1.239]),
+        (MONEY, ["0.00012345", "1.2"], "string", ["0.00012345", "1.2"]),
+        (MONEY, ["1.20", "3"], "decimal(18,2)", [Decimal("1.20"), Decimal("3.00")]),
+        (INT, ["4.5", "3"], "double", [4.5, 3.0]),
+        (INT, ["4", "30000000000"], "bigint", [4, 30000000000]),
+        (LONG, ["3f2a-uu", "7"], "string", ["3f2a-uu", "7"]),
+        (LONG, ["9" * 25, "7"], "decimal(38,0)", [Decimal("9" * 25), Decimal(7)]),
+        (REAL, ["0.123456789012345678", "2"], "decimal(38,18)", [Decimal("0.123456789012345678"), Decimal(2)]),
+        (REAL, ["0.1234567890123456789", "2"], "string", ["0.1234567890123456789", "2"]),
+        (LONG, [" 5 ", ""], "bigint", [5, None]),
+    ],
+)
+def test_no_value_is_lost_to_a_type(spark, tmp_path, declared, texts, kind, values):
+    path = write(tmp_path / "a.csv", "x,k\n" + "".join(f'"{t}",{i}\n' for i, t in enumerate(texts)))
+    df = read_csv(spark, path, {"x": declared})
+    assert df.dtypes[0] == ("x", kind)
+    assert [r["x"] for r in df.orderBy("k").collect()] == values
+
+
+def test_misfits_are_counted(spark):
+    raw = spark.createDataFrame([("1", "a"), ("x", "2.5"), (None, "2")], "id string, n string")
+    got = misfits(raw, {"id": LONG, "n": INT})
+    assert {r["columna"]: r["desajustes"] for r in got.collect()} == {"id": 1, "n": 2}
+
+
 def test_columns_are_bound_by_name(spark, tmp_path):
     path = write(tmp_path / "a.csv", "extra,id\nz,5\n")
     df = read_csv(spark, path, {"id": T.LongType()})
@@ -63,7 +94,7 @@ def test_load_renames_and_types(spark, tmp_path, folders):
         "pedido_id", "cliente_id_pedido", "estado_pedido", "fechaCreacion", "metodoPago", "otra",
     ]
     assert got["pedidos"].first()["fechaCreacion"] == datetime(2024, 3, 31, 10)
-    assert got["productos"].first()["precio"] == Decimal("12.50")
+    assert got["productos"].first()["precio"] == 12.5
     landed = land(got, str(tmp_path / "landed"))
     assert tuple(landed["wallets"].first()) == (1, 2.5)
     assert landed["pedidos"].schema == got["pedidos"].schema
