@@ -8,8 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, functions as F
 
 from starfeed.functions import calendar_columns, to_day
-from starfeed.operators.incremental import new_rows
-from starfeed.operators.skew import MIN_ROWS
+from starfeed.operators.incremental import PROBE_ROWS, new_rows
 
 
 @dataclass(frozen=True)
@@ -93,7 +92,7 @@ def new_dimension_rows(
     keys: Sequence[str],
     null_safe: bool = True,
     probe: int | None = None,
-    probe_rows: int = MIN_ROWS,
+    probe_rows: int = PROBE_ROWS,
 ) -> DataFrame:
     """The rows of a dimension whose key is not stored (see ``new_rows``). Known keys go
     before duplicates do, so only new rows are shuffled whole."""

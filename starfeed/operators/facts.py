@@ -110,9 +110,8 @@ def fact_orders(inputs: Mapping[str, DataFrame], profile: FactProfile = FactProf
 
     The narrow line rows meet the products before the wide order rows, so order text
     is shuffled at order grain only, and orders, assignments and lines meet on one
-    shared partitioning by order. An input for which ``profile`` names hot keys must be
-    read straight from files: its rows are told apart by position, which repeats
-    exactly when a lost task is run again.
+    shared partitioning by order. An input for which ``profile`` names hot keys is written out with a number
+    for each row, which tells its rows apart in the same way when a lost task is run again.
     """
     pedidos = inputs["pedidos"]
     columns = {
@@ -176,7 +175,7 @@ def fact_orders(inputs: Mapping[str, DataFrame], profile: FactProfile = FactProf
 
 
 def _tagged(df: DataFrame, tag: str | None) -> DataFrame:
-    return df if tag is None else df.withColumn(tag, F.monotonically_increasing_id())
+    return df if tag is None else written(df.withColumn(tag, F.monotonically_increasing_id()), "tagged")
 
 
 def fact_ratings(inputs: Mapping[str, DataFrame]) -> DataFrame:

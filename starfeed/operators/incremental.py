@@ -8,13 +8,15 @@ from typing import Any
 
 from pyspark.sql import DataFrame, functions as F
 
-from starfeed.operators.skew import MIN_ROWS, Hot, hot_keys, skew_join
+from starfeed.operators.skew import Hot, hot_keys, skew_join
 from starfeed.workspace import written
 
 # Most keys ever broadcast, after counting them, and the text they may hold on average:
 # about 50 MB of numbers or 150 MB of text on each executor.
 BROADCAST_KEYS = 2_000_000
 BROADCAST_TEXT = 40
+# Rows from which on keys are compared before whole rows are: a second pass over fewer is not worth it.
+PROBE_ROWS = 250_000
 
 
 @dataclass(frozen=True)
@@ -105,7 +107,7 @@ def new_rows(
     null_safe: bool = True,
     hot: Hot | None = None,
     probe: int | None = None,
-    probe_rows: int = MIN_ROWS,
+    probe_rows: int = PROBE_ROWS,
 ) -> DataFrame:
     """Rows of ``df`` whose key is not among the stored ones; column order is kept.
 

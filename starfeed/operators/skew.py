@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 Hot = Mapping[Any, int]  # key -> number of slots its rows are spread over
 
 
-MIN_ROWS = 1_000_000  # below this, no key is worth splitting
+MIN_ROWS = 250_000  # so many rows of one key any task takes in its stride
 
 
 def hot_keys(
@@ -27,25 +27,24 @@ def hot_keys(
     min_rows: int = MIN_ROWS,
     rows: int | None = None,
 ) -> dict[str, dict[Any, int]]:
-    """Per column, the keys that hold more than ``share`` of the rows, each with the
-    number of slots that brings its rows down to about that share. The usual share
-    is four times what a shuffle task gets on average, between 0.05 % and 2 %.
+    """Per column, the keys that hold more than ``share`` of the rows and more than ``min_rows``, each with the
+    number of slots that brings its rows down to about that. The usual share
+    is four times what a shuffle task gets on average, 2 % at most.
 
-    Each task keeps a sketch of bounded size, so nothing is shuffled by key, and at
+    Each task keeps a sketch whose size follows the share, so nothing is shuffled by key, and at
     most ``1/share`` keys reach the driver. Keys well above the share are always
     found; the result only steers how rows are spread, never which rows join.
-    Below ``min_rows`` rows only a count is run, or nothing where ``rows`` gives it.
+    No sketch is made where no key can have that many rows, by the count or by ``rows``.
     """
     total = df.count() if rows is None else rows
-    if total < min_rows or not columns:
-        return {c: {} for c in columns}
     if share is None:
-        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        share = min(0.02, max(0.0005, 4 / tasks))
-    most = math.ceil(1 / share)
+        share = min(0.02, 4 / int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    worth = max(total * share, min_rows)
+    if total <= worth or not columns:
+        return {c: {} for c in columns}
+    most = math.ceil(total / worth)
     sketches = [F.expr(f"approx_top_k(`{c}`, {most}, {20 * most})").alias(c) for c in columns]
     found = df.agg(*sketches).first()
-    worth = total * share
     return {c: {e["item"]: math.ceil(e["count"] / worth) for e in found[c] if e["count"] > worth} for c in columns}
 
 

@@ -173,6 +173,8 @@ ORACLE: dict[str, str] = {
       select f.* from f, m where fecha_pedido > since and not exists (
         select 1 from f g where g.fecha_pedido > since and g.fecha_pedido < date '2000-01-01'
           and g."metodoPago" <> 'CRIPTO' and g.pedido_id = f.pedido_id and g.producto_id = f.producto_id)""",
+    "fact_pedidos_split": fact(),
+    "fact_incremental_shuffle": f"select * from ({fact()}) f where fecha_pedido > ({MARK})",
     "fact_ratings": DIMS["dim_ratings"],
     **DIMS,
     "join_inner_using": """
@@ -197,6 +199,9 @@ ORACLE: dict[str, str] = {
     "anti_new_customers": f"""
       select * from ({DIMS['dim_clientes']}) d where cliente_id not in (
         select c_custkey from customer where c_mktsegment <> 'BUILDING')""",
+    "anti_probe_shuffle": f"""
+      select * from ({DIMS['dim_clientes']}) d where cliente_id not in (
+        select c_custkey from customer where c_mktsegment <> 'BUILDING')""",
     "anti_nonunique_key": f"""
       select * from ({DIMS['dim_ubicaciones']}) d where "repartidorId" not in (
         select user_id from events where event_type = 'signup' and ts < '2024-01-03')""",
@@ -211,6 +216,8 @@ ORACLE: dict[str, str] = {
     "sink_roundtrip": fact(),
     "full_load_counts": load_counts(ALL_TABLES),
     "next_load_counts": load_counts(ADDED),
+    "loaded_fact_pedidos": fact(),
+    **{f"loaded_{name}": DIMS[name] for name in ("dim_fecha", "dim_pedidos_delivery", "dim_imagenes_producto")},
     "json_parse": "select event_id, cast(props ->> 'k' as int) as k from events",
     "json_malformed": """
       select event_id,

@@ -11,43 +11,42 @@ from pyspark.sql import DataFrame
 
 from starfeed.operators.dims import new_dimension_rows
 from starfeed.operators.facts import fact_orders, fact_profile, inputs_after
-from starfeed.operators.incremental import BROADCAST_KEYS, new_rows
-from starfeed.operators.skew import MIN_ROWS
+from starfeed.operators.incremental import BROADCAST_KEYS, PROBE_ROWS, new_rows
+from starfeed.operators.skew import hot_keys
 from starfeed.plans.load_plan import LOAD_PLAN, ORDER_FACT, ORDER_FACT_DAY, ORDER_FACT_PAIR, RATING_FACT, LoadStep
 from starfeed.sinks import JdbcWarehouse, ParquetWarehouse
+from starfeed.workspace import written
 
 Warehouse = ParquetWarehouse | JdbcWarehouse
 
 
-def facts_after(inputs: Mapping[str, DataFrame], mark: Any, probe: int) -> DataFrame:
+def facts_after(inputs: Mapping[str, DataFrame], mark: Any, probe: int, **limits: Any) -> DataFrame:
     part = inputs_after(inputs, mark, probe)
-    return fact_orders(part, fact_profile(part))
+    return fact_orders(part, fact_profile(part, **limits))
 
 
 def new_order_facts(
     inputs: Mapping[str, DataFrame],
     warehouse: Warehouse,
     mark: Any,
-    resume: bool = False,
     lookback_days: int = 0,
     probe: int = BROADCAST_KEYS,
 ) -> DataFrame:
     """The order facts to add after ``mark``.
 
-    ``resume``: a load from this mark was cut off, so the copies it did store are taken
-    off, row by row. ``lookback_days`` reads that many days before the mark
-    again and adds the (order, product) pairs that are not stored, such as
-    late orders of a day that was loaded already.
+    ``lookback_days`` reads that many days before the mark again and adds the (order, product) pairs
+    that are not stored, such as late orders of a day that was loaded already. The narrow lines are
+    compared with the stored pairs, and only lines of unseen pairs meet the other inputs.
     """
-    if resume:
-        rows = facts_after(inputs, mark, probe)
-        stored = warehouse.stored(ORDER_FACT, rows.columns, after=mark)
-        return rows if stored is None else rows.exceptAll(stored)
-    if mark is not None and lookback_days:
-        since = mark - timedelta(days=lookback_days)
-        stored = warehouse.stored(ORDER_FACT, list(ORDER_FACT_PAIR), after=since)
-        return new_rows(facts_after(inputs, since, probe), stored, ORDER_FACT_PAIR)
-    return facts_after(inputs, mark, probe)
+    if mark is None or not lookback_days:
+        return facts_after(inputs, mark, probe)
+    since = mark - timedelta(days=lookback_days)
+    stored = warehouse.stored(ORDER_FACT, list(ORDER_FACT_PAIR), after=since)
+    part = inputs_after(inputs, since, probe)
+    hot = hot_keys(part["pedido_productos"], ["pedido_id"])["pedido_id"]
+    lines = new_rows(part["pedido_productos"], stored, ORDER_FACT_PAIR, hot=hot)
+    part = {**part, "pedido_productos": written(lines, "unseen-lines")}
+    return fact_orders(part, fact_profile(part))
 
 
 def run_daily(
@@ -57,13 +56,13 @@ def run_daily(
     literal: bool = False,
     lookback_days: int = 0,
     probe: int = BROADCAST_KEYS,
-    probe_rows: int = MIN_ROWS,
+    probe_rows: int = PROBE_ROWS,
     writers: int = 8,
 ) -> dict[str, int]:
     """Load all tables; returns the rows added to each.
 
-    ``inputs`` are tables read from files (see ``sources.land``). Running it again on
-    the same inputs adds nothing. ``literal`` keeps the plain
+    ``inputs`` are best tables read from files (see ``sources.land``). Running it again on
+    the same inputs adds nothing, and a load that was cut off is as if it had not been begun. ``literal`` keeps the plain
     rules instead: wallets and the ratings dimension are appended whole each time,
     locations and sessions are keyed by driver alone, and rows with a NULL key are
     added each time.
@@ -72,10 +71,8 @@ def run_daily(
     time; the facts follow when all are there. ``load_id`` names the load, e.g. its date.
     ``probe`` and ``probe_rows`` are the limits of ``new_rows`` and ``inputs_after``.
     """
-    left_over = warehouse.unfinished()
-    marks = [m for _, m in left_over] or [warehouse.mark(ORDER_FACT, ORDER_FACT_DAY)]
-    mark = None if None in marks else min(marks)
-    warehouse.begin(load_id, mark)
+    warehouse.begin(load_id)
+    mark = warehouse.mark(ORDER_FACT, ORDER_FACT_DAY)
 
     def load(step: LoadStep) -> int:
         name = "dim_ratings" if step.table == RATING_FACT.table else step.table
@@ -86,8 +83,8 @@ def run_daily(
 
     with ThreadPoolExecutor(writers) as pool:
         added = dict(zip([s.table for s in LOAD_PLAN], pool.map(load, LOAD_PLAN)))
-    facts = new_order_facts(inputs, warehouse, mark, bool(left_over), lookback_days, probe)
+    facts = new_order_facts(inputs, warehouse, mark, lookback_days, probe)
     added[ORDER_FACT] = warehouse.append(ORDER_FACT, facts, load_id)
     added[RATING_FACT.table] = load(RATING_FACT)
-    warehouse.finish(load_id, mark, added)
+    warehouse.finish(load_id, added)
     return added

@@ -29,7 +29,7 @@ from starfeed.operators import (
     skew_join,
 )
 from starfeed.operators.dims import DIMENSIONS
-from starfeed.operators.incremental import BROADCAST_KEYS
+from starfeed.operators.incremental import BROADCAST_KEYS, PROBE_ROWS
 from starfeed.plans import LOAD_PLAN, LoadStep, run_daily
 from starfeed.plans.daily import facts_after, new_order_facts
 from starfeed.sinks import ParquetWarehouse
@@ -74,7 +74,7 @@ def whole_fact(inputs: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def balanced_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """A join on ``key`` that splits the keys heavy on either side."""
+    """A join on ``key`` that splits the keys heavy on either side, which are tables from files."""
     with ThreadPoolExecutor(2) as pool:
         left_hot, right_hot = pool.map(lambda df: hot_keys(df, [key])[key], (left, right))
     return skew_join(left, right, key, how, left_hot, right_hot)
@@ -107,7 +107,9 @@ def stored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_pedidos_first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = ParquetWarehouse(spark, work_dir(spark, "warehouse"))
-    return new_order_facts(fact_inputs(spark, sf_dir), warehouse, warehouse.mark("fact_pedidos", "fecha_pedido"))
+    inputs = fact_inputs(spark, sf_dir)
+    inputs["asignaciones"] = written(inputs["asignaciones"], "assignments")
+    return new_order_facts(inputs, warehouse, warehouse.mark("fact_pedidos", "fecha_pedido"))
 
 
 def fact_pedidos_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,14 +120,28 @@ def fact_pedidos_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fact_pedidos_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Urgent orders arrive late: the stored load has none of them, up to the end of 1999."""
     inputs = fact_inputs(spark, sf_dir)
+    inputs["asignaciones"] = written(inputs["asignaciones"], "assignments")
     orders = inputs["pedidos"].where("fechaCreacion < '2000-01-01' and metodoPago <> 'CRIPTO'")
     warehouse = ParquetWarehouse(spark, work_dir(spark, "warehouse"))
-    rows = warehouse.append("fact_pedidos", fact_orders({**inputs, "pedidos": orders}), "first")
-    warehouse.finish("first", None, {"fact_pedidos": rows})
+    stored = {**inputs, "pedidos": orders}
+    rows = warehouse.append("fact_pedidos", fact_orders(stored, fact_profile(stored)), "first")
+    warehouse.finish("first", {"fact_pedidos": rows})
     mark = warehouse.mark("fact_pedidos", "fecha_pedido")
     return new_order_facts(inputs, warehouse, mark, lookback_days=60)
 
 
+def fact_pedidos_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order fact with every key above the share split and no dimension broadcast."""
+    inputs = daily_inputs(spark, sf_dir)
+    return fact_orders(inputs, fact_profile(inputs, probe=0, share=0.0005, min_rows=0))
+
+
+def fact_incremental_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The increment when more orders are new than may be broadcast."""
+    mark = high_water_mark(stored_orders(spark, sf_dir), "fecha_pedido")
+    return facts_after(fact_inputs(spark, sf_dir), mark, 0, probe=0, share=0.0005, min_rows=0)
+
+
 def fact_ratings_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_ratings(testdata.load(spark, sf_dir, ["ratings"]))
 
@@ -142,13 +158,14 @@ def join_inner_using(spark: SparkSession, sf_dir: str) -> DataFrame:
 def join_inner_on(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = testdata.load(spark, sf_dir, ["pedidos", "usuarios"])
     orders = inputs["pedidos"].select("pedido_id", F.col("cliente_id_pedido").alias("cliente_id"))
-    return balanced_join(orders, inputs["usuarios"].select("cliente_id", "nombre"), "cliente_id")
+    customers = written(inputs["usuarios"].select("cliente_id", "nombre"), "customers")
+    return balanced_join(orders, customers, "cliente_id")
 
 
 def join_left_using(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = testdata.load(spark, sf_dir, ["pedidos", "asignaciones"])
     orders = inputs["pedidos"].select("pedido_id", "estado_pedido")
-    return balanced_join(orders, inputs["asignaciones"], "pedido_id", "left")
+    return balanced_join(orders, written(inputs["asignaciones"], "assignments"), "pedido_id", "left")
 
 
 def join_left_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,9 +206,17 @@ def anti_new_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimension_news("dim_clientes", ["cliente_id"], testdata.load(spark, sf_dir, ["usuarios"]))
 
 
-def dimension_news(name: str, keys: Sequence[str], inputs: Mapping[str, DataFrame]) -> DataFrame:
+def anti_probe_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, keys first and then the rows by shuffle, as for a large table with many new keys."""
+    inputs = testdata.load(spark, sf_dir, ["usuarios"])
+    return dimension_news("dim_clientes", ["cliente_id"], inputs, probe=0, probe_rows=0)
+
+
+def dimension_news(
+    name: str, keys: Sequence[str], inputs: Mapping[str, DataFrame], probe: int = BROADCAST_KEYS, probe_rows: int = PROBE_ROWS
+) -> DataFrame:
     stored = build_dimension(name, inputs).where(STORED_BEFORE[name])
-    return new_dimension_rows(name, inputs, stored, keys, probe=BROADCAST_KEYS)
+    return new_dimension_rows(name, inputs, stored, keys, probe=probe, probe_rows=probe_rows)
 
 
 def anti_nonunique_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,10 +303,19 @@ def src_csv_misfits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = ParquetWarehouse(spark, work_dir(spark, "warehouse"))
     rows = warehouse.append("fact_pedidos", fact_pedidos(spark, sf_dir), "first")
-    warehouse.finish("first", None, {"fact_pedidos": rows})
+    warehouse.finish("first", {"fact_pedidos": rows})
     return warehouse.stored("fact_pedidos")
 
 
+def loaded_rows(name: str) -> Query:
+    """The rows of a table after the two loads that ``next_load_counts`` counts."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return two_loads(spark, sf_dir)[0].stored(name)
+
+    return run
+
+
 def counts_table(spark: SparkSession, added: dict[str, int]) -> DataFrame:
     return spark.createDataFrame(list(added.items()), "tabla string, filas long")
 
@@ -291,8 +325,8 @@ def full_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts_table(spark, run_daily(daily_inputs(spark, sf_dir), warehouse, "first"))
 
 
-def next_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What a load adds to one made when the year 2000 had not begun."""
+def two_loads(spark: SparkSession, sf_dir: str) -> tuple[ParquetWarehouse, dict[str, int]]:
+    """A load made when the year 2000 had not begun, and another on all inputs; what the second one adds."""
     inputs = daily_inputs(spark, sf_dir)
     before = {
         **inputs,
@@ -301,7 +335,11 @@ def next_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     warehouse = ParquetWarehouse(spark, work_dir(spark, "warehouse"))
     run_daily(before, warehouse, "first")
-    return counts_table(spark, run_daily(inputs, warehouse, "second"))
+    return warehouse, run_daily(inputs, warehouse, "second")
+
+
+def next_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts_table(spark, two_loads(spark, sf_dir)[1])
 
 
 # ---- messages and streams -------------------------------------------------------------------
@@ -434,6 +472,8 @@ QUERIES: dict[str, Query] = {
     "fact_pedidos_first_load": fact_pedidos_first_load,
     "fact_pedidos_incremental": fact_pedidos_incremental,
     "fact_pedidos_lookback": fact_pedidos_lookback,
+    "fact_pedidos_split": fact_pedidos_split,
+    "fact_incremental_shuffle": fact_incremental_shuffle,
     "fact_ratings": fact_ratings_query,
     **{name: dimension(name) for name in DIMENSIONS},
     "join_inner_using": join_inner_using,
@@ -447,6 +487,7 @@ QUERIES: dict[str, Query] = {
     "high_water_mark": high_water_mark_query,
     "is_empty": is_empty,
     "anti_new_customers": anti_new_customers,
+    "anti_probe_shuffle": anti_probe_shuffle,
     "anti_nonunique_key": anti_nonunique_key,
     "incremental_dims": incremental_dims,
     "repeated_keys": repeated_keys_query,
@@ -456,6 +497,10 @@ QUERIES: dict[str, Query] = {
     "sink_roundtrip": sink_roundtrip,
     "full_load_counts": full_load_counts,
     "next_load_counts": next_load_counts,
+    "loaded_fact_pedidos": loaded_rows("fact_pedidos"),
+    "loaded_dim_fecha": loaded_rows("dim_fecha"),
+    "loaded_dim_pedidos_delivery": loaded_rows("dim_pedidos_delivery"),
+    "loaded_dim_imagenes_producto": loaded_rows("dim_imagenes_producto"),
     "json_parse": json_parse,
     "json_malformed": json_malformed,
     "stream_locations": stream_locations,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from datetime import date
 from typing import Any
@@ -12,16 +13,27 @@ from starfeed.sources.jdbc import Database
 from starfeed.workspace import written
 
 LOG = "load_log"
+ATTEMPT = "load_attempt"
+# The key of each table, by whose ranges it is read in parallel where it is a number or a date.
+SPLIT_ON = {
+    "dim_clientes": "cliente_id", "dim_wallets": "cliente_id", "dim_productos": "producto_id",
+    "dim_repartidores": "repartidor_id", "dim_ubicaciones": "timestamp", "dim_sesiones": "fecha_inicio",
+    "dim_transacciones": "id", "dim_wallets_blockchain": "id", "dim_tenants": "tenant_id",
+    "dim_catalogos": "catalogo_id", "dim_promociones": "promocion_id", "dim_imagenes_producto": "imagen_id",
+    "dim_datos_contacto": "contacto_id", "dim_fecha": "fecha", "dim_ratings": "rating_id",
+    "dim_pedidos_delivery": "pedido_id", "fact_pedidos": "pedido_id", "fact_ratings": "rating_id",
+}
 
 
 class JdbcWarehouse:
     """Tables of one database, appended to over JDBC.
 
-    Several tables cannot be published at once over JDBC. Each load therefore notes in
-    the load log the mark it starts from, and that it finished. If it did not, the
-    next load goes back to that mark and adds what is missing (see ``plans.daily``).
+    Several tables cannot be published at once over JDBC. Each row therefore carries the attempt that wrote it, and
+    the load log says which attempts began and which finished. Readers leave out the rows of attempts that
+    did not finish, so a load that was cut off is invisible, does not move the mark, and is run again
+    from the start as another attempt. What it left may be deleted at any time.
 
-    ``split_on`` names, per table, a unique number column to read it in parallel by.
+    ``split_on`` names, per table, the column to read it in parallel by (see ``SPLIT_ON``).
     ``days`` names, per table, its date column.
     """
 
@@ -35,23 +47,27 @@ class JdbcWarehouse:
     ):
         self.spark = spark
         self.database = database
-        self.split_on = dict(split_on or {})
+        self.split_on = {**SPLIT_ON, **(split_on or {})}
         self.partitions = partitions
         self.days = {"fact_pedidos": "fecha_pedido"} if days is None else dict(days)
+        self._attempts: dict[str, int] = {}
 
     def stored(self, table: str, columns: Sequence[str] | None = None, after: date | None = None) -> DataFrame | None:
         if not self.database.exists(self.spark, table):
             return None
         df = self.database.read(self.spark, table, None, self.split_on.get(table), self.partitions)
+        if cut_off := self.unfinished():
+            df = df.where(~F.col(ATTEMPT).isin(cut_off))  # runs in the database, as does the next
         if after is not None:
-            df = df.where(F.col(self.days[table]) > F.lit(after))  # runs in the database
-        return df if columns is None else df.select(*columns)
+            df = df.where(F.col(self.days[table]) > F.lit(after))
+        return df.drop(ATTEMPT) if columns is None else df.select(*columns)
 
     def mark(self, table: str, column: str) -> Any:
         """The largest ``column``, found by the database itself."""
         if not self.database.exists(self.spark, table):
             return None
-        row = self.database.largest(self.spark, table, column)
+        cut_off = ", ".join(map(str, self.unfinished()))
+        row = self.database.largest(self.spark, table, column, f'"{ATTEMPT}" not in ({cut_off})' if cut_off else "1 = 1")
         if row["n"] and row["mark"] is None:
             raise ValueError(f"stored rows have no {column}: cannot tell what is loaded")
         return row["mark"]
@@ -59,24 +75,33 @@ class JdbcWarehouse:
     def append(self, table: str, df: DataFrame, load_id: str) -> int:
         """Work the rows out first, as files, and then copy them: what is new must not be
         asked of the table again while it is being written, as a lost task would."""
-        return self.database.append(written(df, f"staged-{table}"), table)
+        if load_id not in self._attempts:
+            raise ValueError(f"load {load_id} has not begun")
+        marked = df.withColumn(ATTEMPT, F.lit(self._attempts[load_id]))
+        return self.database.append(written(marked, f"staged-{table}"), table)
 
-    def unfinished(self) -> list[tuple[str, Any]]:
-        """Loads that began and did not finish, with the mark each started from."""
+    def unfinished(self) -> list[int]:
+        """The attempts that began and did not finish: those cut off, and one that is running."""
         if not self.database.exists(self.spark, LOG):
             return []
-        log = self.database.read(self.spark, LOG)
-        ends = F.max(F.col("finished").cast("int")).alias("done")
-        loads = log.groupBy("load_id").agg(ends, F.max("mark").alias("mark")).where("done = 0")
-        return [(row["load_id"], row["mark"]) for row in loads.collect()]
-
-    def begin(self, load_id: str, mark: Any) -> None:
-        self._note([(load_id, mark, False)])
-
-    def finish(self, load_id: str, mark: Any, rows: Mapping[str, int]) -> None:
-        done = [load for load, _ in self.unfinished()]
-        self._note([(load, mark, True) for load in {load_id, *done}])
-
-    def _note(self, lines: list[tuple[str, Any, bool]]) -> None:
-        log = self.spark.createDataFrame(lines, "load_id string, mark date, finished boolean")
+        attempts = self.database.read(self.spark, LOG).groupBy("attempt").agg(F.max(F.col("finished").cast("int")).alias("done"))
+        return sorted(row["attempt"] for row in attempts.where("done = 0").collect())
+
+    def begin(self, load_id: str) -> None:
+        if self.database.exists(self.spark, LOG):
+            # compared here and not in the database, where text may be of a type that cannot be compared
+            same = F.concat("load_id", F.lit("")) == load_id
+            done = self.database.read(self.spark, LOG).where(same).where(F.col("finished"))
+            if not done.isEmpty():
+                raise ValueError(f"load {load_id} is finished; running it again would add nothing but copies")
+        self._attempts[load_id] = uuid.uuid4().int >> 66  # 62 bits
+        self._note(load_id, False)
+
+    def finish(self, load_id: str, rows: Mapping[str, int]) -> None:
+        """Publish the load: all its tables at once."""
+        self._note(load_id, True)
+
+    def _note(self, load_id: str, finished: bool) -> None:
+        line = [(load_id, self._attempts[load_id], finished)]
+        log = self.spark.createDataFrame(line, "load_id string, attempt long, finished boolean")
         self.database.append(log.coalesce(1), LOG)

@@ -6,13 +6,13 @@ from collections.abc import Mapping, Sequence
 from datetime import date
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from starfeed.operators.incremental import high_water_mark
 from starfeed.workspace import read_if_there
 
 LOG = "load_log"
-LOG_COLUMNS = "load_id string, table string, rows long"
+LOG_COLUMNS = "load_id string, table string, rows long, mark date"
 MONTH = "anio_mes"
 
 
@@ -21,7 +21,8 @@ class ParquetWarehouse:
 
     A load becomes visible as a whole when its lines are added to the load log, after
     its last table is written. A load that was cut off stays invisible, does not move
-    the mark, and running it again under its ``load_id`` replaces what it left behind.
+    the mark, and running it again under its ``load_id`` replaces what it left behind. The log
+    also has the latest date that a load brought to a dated table, so that finding the mark opens no data file.
 
     ``months`` names, per table, the date column whose month the table is partitioned by.
     """
@@ -30,14 +31,12 @@ class ParquetWarehouse:
         self.spark = spark
         self.root = root.rstrip("/")
         self.months = {"fact_pedidos": "fecha_pedido"} if months is None else dict(months)
+        self._latest: dict[tuple[str, str], date | None] = {}
 
-    def loads(self) -> dict[str, dict[str, int]]:
-        """Table -> finished load -> rows. One short line per table and load."""
+    def loads(self, condition: str = "true") -> list[Row]:
+        """The lines of the load log that meet the condition: one short line per table and load."""
         log = read_if_there(self.spark, f"{self.root}/{LOG}", LOG_COLUMNS)
-        found: dict[str, dict[str, int]] = {}
-        for line in log.collect() if log is not None else []:
-            found.setdefault(line["table"], {})[line["load_id"]] = line["rows"]
-        return found
+        return [] if log is None else log.where(condition).collect()
 
     def stored(self, table: str, columns: Sequence[str] | None = None, after: date | None = None) -> DataFrame | None:
         """The rows of all finished loads; None if there is no such table. ``after``
@@ -53,8 +52,12 @@ class ParquetWarehouse:
         return df if columns is None else df.select(*columns)
 
     def mark(self, table: str, column: str) -> Any:
-        monthly = MONTH if self.months.get(table) == column else None
-        return high_water_mark(self._read(table), column, partition=monthly)
+        """The largest ``column``. For a table's date column the log has it; rows without any date are an error."""
+        dated = self.months.get(table) == column
+        filled = self.loads(f"table = '{table}' and rows > 0") if dated else []
+        if filled and all(line["mark"] is not None for line in filled):
+            return max(line["mark"] for line in filled)
+        return high_water_mark(self._read(table), column, partition=MONTH if dated else None)
 
     def append(self, table: str, df: DataFrame, load_id: str) -> int:
         """Write this load's rows of one table, replacing those of an earlier try."""
@@ -66,26 +69,27 @@ class ParquetWarehouse:
             # rebalance: whole files per month, a month with very many rows split over tasks
             dated = df.withColumn(MONTH, F.year(day) * 100 + F.month(day)).hint("rebalance", MONTH)
             dated.write.mode("overwrite").partitionBy(MONTH).parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path).count()  # from the file footers
-
-    def unfinished(self) -> list[Any]:
-        return []
-
-    def begin(self, load_id: str, mark: Any) -> None:
-        if any(load_id in loads for loads in self.loads().values()):
+        rows = self.spark.read.schema(df.schema).parquet(path).count()  # from the file footers
+        if day is not None and rows:
+            own = self.spark.read.parquet(path).where(F.col(day).isNotNull())
+            self._latest[load_id, table] = high_water_mark(own, day, partition=MONTH)
+        return rows
+
+    def begin(self, load_id: str) -> None:
+        if any(line["load_id"] == load_id for line in self.loads()):
             raise ValueError(f"load {load_id} is finished; writing it again would replace its rows")
 
-    def finish(self, load_id: str, mark: Any, rows: Mapping[str, int]) -> None:
+    def finish(self, load_id: str, rows: Mapping[str, int]) -> None:
         """Publish the load: all its tables at once."""
-        lines = [(load_id, table, n) for table, n in rows.items()]
+        lines = [(load_id, table, n, self._latest.get((load_id, table))) for table, n in rows.items()]
         log = self.spark.createDataFrame(lines, LOG_COLUMNS)
         log.coalesce(1).write.mode("append").parquet(f"{self.root}/{LOG}")
 
     def _read(self, table: str) -> DataFrame | None:
-        loads = self.loads().get(table)
+        loads = self.loads(f"table = '{table}'")
         if not loads:
             return None
-        filled = [load for load, rows in loads.items() if rows] or list(loads)[:1]
+        filled = [line["load_id"] for line in loads if line["rows"]] or [loads[0]["load_id"]]
         base = f"{self.root}/{table}"
         reader = self.spark.read.option("basePath", base)
         return reader.parquet(*[f"{base}/load_id={load}" for load in filled]).drop("load_id")

@@ -8,6 +8,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F, types as T
 
 
+SPLITTABLE = (T.NumericType, T.DateType, T.TimestampType)
+
+
 @dataclass(frozen=True)
 class Database:
     """How to reach a database over JDBC.
@@ -44,9 +47,9 @@ class Database:
     def exists(self, spark: SparkSession, table: str) -> bool:
         return not self.query(spark, self.lookup.format(table=table)).isEmpty()
 
-    def largest(self, spark: SparkSession, table: str, column: str) -> Row:
-        """``mark`` = max(column) and ``n`` = count(*), computed by the database."""
-        return self.query(spark, f'select max("{column}") as "mark", count(*) as "n" from {table}').first()
+    def largest(self, spark: SparkSession, table: str, column: str, where: str = "1 = 1") -> Row:
+        """``mark`` = max(column) and ``n`` = count(*) of the rows that meet ``where``, computed by the database."""
+        return self.query(spark, f'select max("{column}") as "mark", count(*) as "n" from {table} where {where}').first()
 
     def read(
         self,
@@ -56,11 +59,11 @@ class Database:
         split_on: str | None = None,
         partitions: int = 32,
     ) -> DataFrame:
-        """A stored table; only ``columns`` are fetched. With ``split_on``, a numeric, date
-        or timestamp column without heavy values, it is read over ``partitions`` connections
-        in equal ranges."""
+        """A stored table; only ``columns`` are fetched. With ``split_on``, a column
+        without heavy values, it is read over ``partitions`` connections in equal ranges if the
+        column is a number, a date or a timestamp."""
         reader = spark.read.format("jdbc").options(**self.settings()).option("dbtable", table)
-        if split_on is not None:
+        if split_on is not None and isinstance(reader.load().schema[split_on].dataType, SPLITTABLE):
             ends = self.query(
                 spark, f'select min("{split_on}") as "low", max("{split_on}") as "high" from {table}'
             ).first()

@@ -47,13 +47,24 @@ def third_of_all(spark, n=30_000):
 
 
 def test_hot_keys_are_found_with_fitting_pieces(spark):
-    hot = hot_keys(third_of_all(spark), ["k"], share=0.02, min_rows=1000)["k"]
+    hot = hot_keys(third_of_all(spark), ["k"], share=0.02, min_rows=0)["k"]
     assert set(hot) == {7, None}
     assert 16 <= hot[7] <= 17
 
 
-def test_small_tables_have_no_hot_keys(spark):
+def test_keys_of_few_rows_are_not_hot(spark):
     assert hot_keys(third_of_all(spark), ["k"]) == {"k": {}}
+    assert set(hot_keys(third_of_all(spark), ["k"], min_rows=9_000)["k"]) == {7, None}
+
+
+def test_the_share_follows_the_number_of_tasks(spark):
+    """With very many tasks a key far below 0.05 % of the rows is still split."""
+    df = spark.range(200_000).select(F.when(F.col("id") % 4000 == 0, -1).otherwise(F.col("id")).alias("k"))
+    spark.conf.set("spark.sql.shuffle.partitions", "40000")
+    try:
+        assert set(hot_keys(df, ["k"], min_rows=0)["k"]) == {-1}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
 def test_hot_rows_spread_over_tasks(spark):
@@ -63,7 +74,7 @@ def test_hot_rows_spread_over_tasks(spark):
     try:
         df = third_of_all(spark)
         dims = spark.createDataFrame([(7, "a")], "k long, name string")
-        hot = hot_keys(df, ["k"], share=0.02, min_rows=1000)["k"]
+        hot = hot_keys(df, ["k"], share=0.02, min_rows=0)["k"]
 
         def largest_task(joined):
             sizes = joined.groupBy(F.spark_partition_id()).count()
@@ -79,7 +90,7 @@ def test_hot_rows_spread_over_tasks(spark):
 
 def test_hot_anti_join(spark):
     df = third_of_all(spark)
-    hot = hot_keys(df, ["k"], share=0.02, min_rows=1000)["k"]
+    hot = hot_keys(df, ["k"], share=0.02, min_rows=0)["k"]
     stored = spark.createDataFrame([(7,), (None,), (101,)], "k long")
     for null_safe, left in ((True, 9_999), (False, 19_999)):
         assert new_rows(df, stored, "k", null_safe, hot).count() == left

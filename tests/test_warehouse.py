@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from fixtures import D0, D1, D2, T2, INPUTS, brief, expected_fact, inputs
+from fixtures import D1, D2, T2, INPUTS, brief, expected_fact, inputs
 from starfeed.operators import fact_orders
 from starfeed.plans import LOAD_PLAN, run_daily
 from starfeed.sinks import JdbcWarehouse, ParquetWarehouse
@@ -108,19 +108,54 @@ def test_fact_is_pruned_by_month(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(anio_mes" in plan
 
 
-def test_a_cut_off_database_load_is_completed(spark, database):
-    warehouse = JdbcWarehouse(spark, database)
-    given = inputs(spark, pedidos=DATED)
-    early = inputs(spark, pedidos=[r for r in DATED if r[0] == 1000])
-    run_daily(early, warehouse, "d1")
-    # the next load stored some of its rows, the latest ones among them, and stopped
-    warehouse.begin("d2", D0)
-    partial = fact_orders(given).where(F.col("fecha_pedido") > F.lit(D0)).orderBy(F.desc("fecha_pedido")).limit(4)
-    warehouse.append("fact_pedidos", partial, "d2")
-    assert warehouse.unfinished() == [("d2", D0)]
-    run_daily(given, warehouse, "d3")
-    assert brief(warehouse.stored("fact_pedidos")) == [r for r in expected_fact() if r[1]]
-    assert warehouse.unfinished() == []
+def cut_off(monkeypatch, warehouse, after):
+    """Makes the warehouse stop once ``after`` is half written."""
+    append = warehouse.append
+
+    def stops(table, df, load_id):
+        if table != after:
+            return append(table, df, load_id)
+        append(table, df.limit(max(1, df.count() // 2)), load_id)
+        raise RuntimeError("no room")
+
+    monkeypatch.setattr(warehouse, "append", stops)
+
+
+def same_tables(a, b):
+    for table in TABLES:
+        x, y = a.stored(table), b.stored(table)
+        assert sorted(map(str, x.select(sorted(x.columns)).collect())) == sorted(map(str, y.select(sorted(x.columns)).collect())), table
+
+
+@pytest.mark.parametrize(
+    "table, options",
+    [("dim_clientes", {}), ("fact_pedidos", {}), ("fact_ratings", {"literal": True}), ("fact_pedidos", {"lookback_days": 10})],
+)
+def test_a_load_cut_off_ends_like_an_undisturbed_one(spark, tmp_path, database, monkeypatch, table, options):
+    """Repeated keys in the dimensions, an order whose state changes between the tries, and late orders."""
+    warehouse, whole = JdbcWarehouse(spark, database), ParquetWarehouse(spark, str(tmp_path / "whole"))
+    early = inputs(spark, pedidos=[r for r in DATED if r[0] != 1000 and r[3] < T2])
+    changed = [(*r[:2], "LISTO", *r[3:]) for r in DATED]
+    for w in (warehouse, whole):
+        run_daily(early, w, "d1", **options)
+    with monkeypatch.context() as patch:
+        cut_off(patch, warehouse, table)
+        with pytest.raises(RuntimeError, match="no room"):
+            run_daily(inputs(spark, pedidos=DATED), warehouse, "d2", **options)
+    assert len(warehouse.unfinished()) == 1
+    assert warehouse.mark("fact_pedidos", "fecha_pedido") == whole.mark("fact_pedidos", "fecha_pedido")
+    for w in (warehouse, whole):
+        run_daily(inputs(spark, pedidos=changed), w, "d2", **options)
+        with pytest.raises(ValueError, match="finished"):
+            run_daily(inputs(spark, pedidos=changed), w, "d2", **options)
+    same_tables(warehouse, whole)
+
+
+def test_the_mark_opens_no_data_file(spark, tmp_path, monkeypatch):
+    warehouse = ParquetWarehouse(spark, str(tmp_path))
+    run_daily(inputs(spark, pedidos=DATED), warehouse, "d1")
+    monkeypatch.setattr(warehouse, "_read", lambda table: pytest.fail("reads the table"))
+    assert warehouse.mark("fact_pedidos", "fecha_pedido") == D2
 
 
 def test_jdbc_reads(spark, database):
