@@ -227,6 +227,7 @@ ORACLE: dict[str, str] = {
       from events""",
     "stream_locations": LOCATION_MESSAGES,
     "stream_replay": LOCATION_MESSAGES,
+    "stream_restart": f"{LOCATION_MESSAGES} union all {LOCATION_MESSAGES}",
     "stream_status": """
       select cast(event_id as varchar) as pedido_id, event_type as estado, ts as "timestamp" from events""",
     "stream_two_feeds": """

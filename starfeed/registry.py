@@ -10,6 +10,7 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starfeed.functions import message_fields, to_day
@@ -418,15 +419,29 @@ def stream_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every micro-batch arrives twice, as after a failure before its commit."""
-    log = ParquetLog(work_dir(spark, "replayed"))
+    """The query fails when its batch is stored but not yet committed, and restarts from its checkpoint."""
+    log, checkpoint = ParquetLog(work_dir(spark, "replayed")), work_dir(spark, "checkpoint")
     rows = parse_messages(location_messages(event_stream(spark, sf_dir)), LOCATIONS)
 
-    def write_twice(batch: DataFrame, batch_id: int) -> None:
-        log.write(batch, batch_id)
+    def write_and_fail(batch: DataFrame, batch_id: int) -> None:
         log.write(batch, batch_id)
+        raise RuntimeError("lost before the commit")
+
+    try:
+        start_feed(rows, write_and_fail, checkpoint, available_now=True).awaitTermination()
+    except StreamingQueryException as lost:
+        if "lost before the commit" not in str(lost):
+            raise
+    start_feed(rows, log.write, checkpoint, available_now=True).awaitTermination()
+    return plain_time(log.read(spark).drop("ingestion_time"))
 
-    start_feed(rows, write_twice, work_dir(spark, "checkpoint"), available_now=True).awaitTermination()
+
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second query, with a checkpoint of its own, reads all messages into the log of the first: both keep their rows."""
+    log = ParquetLog(work_dir(spark, "restarted"))
+    rows = parse_messages(location_messages(event_stream(spark, sf_dir)), LOCATIONS)
+    for _ in range(2):
+        start_feed(rows, log.write, work_dir(spark, "checkpoint"), available_now=True).awaitTermination()
     return plain_time(log.read(spark).drop("ingestion_time"))
 
 
@@ -506,6 +521,7 @@ QUERIES: dict[str, Query] = {
     "stream_locations": stream_locations,
     "stream_status": stream_status,
     "stream_replay": stream_replay,
+    "stream_restart": stream_restart,
     "stream_two_feeds": stream_two_feeds,
     "latest_by_key": latest_by_key_query,
     "stream_upsert": stream_upsert,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -9,48 +10,69 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from starfeed.sources.jdbc import Database
 from starfeed.workspace import written
 
-BATCH = "batch_id"
+QUERY, BATCH = "query_id", "batch_id"
+
+
+def query_id(batch: DataFrame) -> str:
+    """The id of the streaming query that runs this batch: kept in its checkpoint, and another one with a new checkpoint.
+    Batches written by hand are of one query named so."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "by-hand"
 
 
 @dataclass(frozen=True)
 class ParquetLog:
-    """One folder per micro-batch, replaced when the batch is run again. A path
-    belongs to one query and its checkpoint."""
+    """One folder per query and micro-batch, replaced when the batch is run again. Any number of
+    queries, one after the other or at once, may write to a path, each with its own checkpoint."""
 
     path: str
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{self.path}/{BATCH}={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{self.path}/{QUERY}={query_id(batch)}/{BATCH}={batch_id}")
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path).drop(BATCH)
+        return spark.read.parquet(self.path).drop(QUERY, BATCH)
 
 
 @dataclass(frozen=True)
 class JdbcLog:
-    """A database table with a batch number. A batch found in the table of finished batches
-    is skipped; of one that was cut off, only the missing rows are added."""
+    """A database table whose rows carry their query and batch. The table of batches notes when one
+    begins and when it is done: one that is done is skipped, and only of one that had begun before
+    are stored rows looked for and the missing ones added."""
 
     database: Database
     table: str
     stamp: str = "ingestion_time"  # differs when a batch is run again
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
-        spark, here = batch.sparkSession, F.col(BATCH) == batch_id
-        finished = f"{self.table}_batches"
-        if self.database.exists(spark, finished):
-            if not self.database.read(spark, finished).where(here).isEmpty():
-                return
-        if self.database.exists(spark, self.table):
+        spark, number = batch.sparkSession, _number(query_id(batch))
+        here = (F.col(QUERY) == number) & (F.col(BATCH) == batch_id)
+        notes = f"{self.table}_batches"
+        states = set()
+        if self.database.exists(spark, notes):
+            states = {row["done"] for row in self.database.read(spark, notes).where(here).select("done").collect()}
+        if True in states:
+            return
+        if not states:
+            self._note(spark, notes, number, batch_id, False)
+        elif self.database.exists(spark, self.table):
+            told_by = [c for c in batch.columns if c != self.stamp]
             stored = self.database.read(spark, self.table).where(here)
-            if not stored.isEmpty():
-                told_by = [c for c in batch.columns if c != self.stamp]
-                missing = batch.select(told_by).exceptAll(stored.select(told_by))
-                # worked out before the table changes, which a lost task would otherwise see
-                missing = written(missing, "missing-messages")
-                batch = missing.withColumn(self.stamp, F.current_timestamp()).select(batch.columns)
-        self.database.append(batch.withColumn(BATCH, F.lit(batch_id)), self.table)
-        self.database.append(spark.createDataFrame([(batch_id,)], f"{BATCH} long").coalesce(1), finished)
+            missing = batch.select(told_by).exceptAll(stored.select(told_by))
+            # worked out before the table changes, which a lost task would otherwise see
+            missing = written(missing, "missing-messages")
+            batch = missing.withColumn(self.stamp, F.current_timestamp()).select(batch.columns)
+        marked = batch.withColumns({QUERY: F.lit(number), BATCH: F.lit(batch_id).cast("long")})
+        self.database.append(marked, self.table)
+        self._note(spark, notes, number, batch_id, True)
+
+    def _note(self, spark: SparkSession, notes: str, number: int, batch_id: int, done: bool) -> None:
+        line = spark.createDataFrame([(number, batch_id, done)], f"{QUERY} long, {BATCH} long, done boolean")
+        self.database.append(line.coalesce(1), notes)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return self.database.read(spark, self.table).drop(BATCH)
+        return self.database.read(spark, self.table).drop(QUERY, BATCH)
+
+
+def _number(query: str) -> int:
+    """A query's id as a number of 62 bits, which any database can compare."""
+    return int.from_bytes(hashlib.sha256(query.encode()).digest()[:8], "big") >> 2

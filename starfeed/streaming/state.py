@@ -8,19 +8,22 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starfeed.operators.latest import latest_by_key
+from starfeed.streaming.logs import BATCH, QUERY, query_id
 from starfeed.workspace import read_if_there
 
 
 @dataclass(frozen=True)
 class LatestState:
     """Upserts on Parquet. Each micro-batch is reduced to one row per key and stored as
-    a change; every ``fold_every`` batches, called an era, the changes are merged into a new
-    full state. A batch so costs what it changes, and a reader takes the last full
+    a change; every ``fold_every`` batches the changes of the running era are merged into a new
+    full state, and the next era begins. A batch so costs what it changes, and a reader takes the last full
     state and the changes of the running era, never the whole history.
 
     ``order`` names the columns that decide which message is the last one; they must
     leave no ties. Late messages do not displace later ones. Messages without a key
-    have no state. A path belongs to one query and its checkpoint.
+    have no state. Eras are counted in the state itself, so a query with a new checkpoint, or another
+    ``fold_every``, goes on where the state is; one query writes at a time. A batch
+    that is run again after its era was folded becomes a change of the running era, which alters nothing.
     """
 
     path: str
@@ -29,10 +32,11 @@ class LatestState:
     fold_every: int = 20
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
-        spark, era = batch.sparkSession, batch_id // self.fold_every
+        spark = batch.sparkSession
+        era = self._folded(spark) + 1
         changes = latest_by_key(batch.where(F.col(self.key).isNotNull()), self.key, self.order)
-        changes.write.mode("overwrite").parquet(f"{self._changes(era)}/batch_id={batch_id}")
-        if (batch_id + 1) % self.fold_every == 0 and era > self._folded(spark):
+        changes.write.mode("overwrite").parquet(f"{self._changes(era)}/{QUERY}={query_id(batch)}/{BATCH}={batch_id}")
+        if (batch_id + 1) % self.fold_every == 0:
             self._state(spark, era - 1).write.mode("overwrite").parquet(self._full(era))
             done = spark.createDataFrame([(era,)], "era long")
             done.coalesce(1).write.mode("append").parquet(f"{self.path}/folded")
@@ -48,7 +52,7 @@ class LatestState:
             if full is None:
                 raise ValueError(f"no state at {self.path} yet")
             return full
-        changes = changes.drop("batch_id")
+        changes = changes.drop(QUERY, BATCH)
         return latest_by_key(changes if full is None else full.unionByName(changes), self.key, self.order)
 
     def _folded(self, spark: SparkSession) -> int:

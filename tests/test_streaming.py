@@ -99,11 +99,21 @@ def test_database_log_takes_a_batch_once(spark, tmp_path, database):
     assert log.read(spark).count() == 5
 
 
-def test_database_log_completes_a_batch_cut_off(spark, database):
+def test_database_log_completes_a_batch_cut_off(spark, database, monkeypatch):
     bodies = [say(pedido_id=str(i % 3), estado="x") for i in range(6)]
     df = spark.createDataFrame([(b,) for b in bodies], "value string")
     batch, log = parse_messages(df, STATUSES), JdbcLog(database, STATUSES.table)
-    database.append(batch.limit(2).withColumn("batch_id", F.lit(0)), STATUSES.table)
+    append = Database.append
+
+    def cut_off(self, df, table):
+        append(self, df.limit(2) if table == STATUSES.table else df, table)
+        if table == STATUSES.table:
+            raise RuntimeError("no room")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Database, "append", cut_off)
+        with pytest.raises(RuntimeError, match="no room"):
+            log.write(batch, 0)
     log.write(batch, 0)
     log.write(batch, 0)
     log.write(batch, 1)
@@ -125,6 +135,28 @@ def test_latest_state(spark, tmp_path, fold_every):
     assert {r["repartidor_id"]: r["latitud"] for r in state.read(spark).collect()} == want
 
 
+def test_a_new_checkpoint_keeps_what_is_stored(spark, tmp_path, database):
+    put(spark, tmp_path / "in", 0, [location("a", 1.0, 1), location("b", 1.0, 1)])
+    put(spark, tmp_path / "in", 1, [location("a", 2.0, 5)])
+    put(spark, tmp_path / "new", 0, [location("a", 9.0, 9)])
+    logs = [ParquetLog(str(tmp_path / "out")), JdbcLog(database, LOCATIONS.table)]
+    state = LatestState(str(tmp_path / "state"), "repartidor_id", ["timestamp", "latitud"], 1)
+    for number, write in enumerate([*(log.write for log in logs), state.write]):
+        run(spark, tmp_path / "in", LOCATIONS, write, tmp_path / f"cp{number}")
+        run(spark, tmp_path / "new", LOCATIONS, write, tmp_path / f"cp{number}-new")
+    for log in logs:
+        assert sorted(r["latitud"] for r in log.read(spark).collect()) == [1.0, 1.0, 2.0, 9.0]
+    assert {r["repartidor_id"]: r["latitud"] for r in state.read(spark).collect()} == {"a": 9.0, "b": 1.0}
+
+
+def test_fold_every_may_change(spark, tmp_path):
+    for i, every in enumerate([1, 3, 2]):
+        put(spark, tmp_path / "in", i, [location("a", float(i), i), location(f"k{i}", 0.0, 0)])
+        state = LatestState(str(tmp_path / "out"), "repartidor_id", ["timestamp", "latitud"], every)
+        run(spark, tmp_path / "in", LOCATIONS, state.write, tmp_path / "cp")
+    assert {r["repartidor_id"]: r["latitud"] for r in state.read(spark).collect()} == {"a": 2.0, "k0": 0.0, "k1": 0.0, "k2": 0.0}
+
+
 def test_two_feeds_at_once(spark, tmp_path):
     put(spark, tmp_path / "a", 0, [location("a", 1.0, 5)])
     put(spark, tmp_path / "b", 0, [say(pedido_id="1", estado="LISTO", timestamp="2024-01-01T00:00:00Z")])
