@@ -55,17 +55,25 @@ class FactProfile:
         return f"_row_{name}" if any(self.hot.get(name, {}).values()) else None
 
 
-def fact_profile(inputs: Mapping[str, DataFrame], probe: int = BROADCAST_KEYS, **limits: Any) -> FactProfile:
-    """Size up the dimensions, then look for hot keys on the columns that will be
-    shuffled (see ``hot_keys``); several inputs at a time."""
+def small_dimensions(inputs: Mapping[str, DataFrame], probe: int = BROADCAST_KEYS) -> frozenset[str]:
+    """The dimensions that may be broadcast, after counting them, all at a time."""
 
     def is_small(name: str) -> bool:
         columns = ["producto_id", "catalogo_id"] if name == "productos" else [DIMENSION_KEYS[name][0]]
         return key_set(inputs[name].select(*columns), probe).few
 
+    with ThreadPoolExecutor(len(DIMENSION_KEYS)) as pool:
+        return frozenset(n for n, yes in zip(DIMENSION_KEYS, pool.map(is_small, DIMENSION_KEYS)) if yes)
+
+
+def fact_profile(
+    inputs: Mapping[str, DataFrame], probe: int = BROADCAST_KEYS, small: frozenset[str] | None = None, **limits: Any
+) -> FactProfile:
+    """Size up the dimensions, unless ``small`` names those to broadcast, then look for hot keys on the columns that
+    will be shuffled (see ``hot_keys``); several inputs at a time."""
     with ThreadPoolExecutor(len(FACT_INPUTS)) as pool:
         counted = pool.map(lambda name: inputs[name].count(), LARGE)
-        small = frozenset(n for n, yes in zip(DIMENSION_KEYS, pool.map(is_small, DIMENSION_KEYS)) if yes)
+        small = small_dimensions(inputs, probe) if small is None else small
         rows = dict(zip(LARGE, counted))
         shuffled = {name: list(columns) for name, columns in LARGE.items()}
         for name, (key, referrer, column) in DIMENSION_KEYS.items():

@@ -10,7 +10,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 
 from starfeed.operators.dims import new_dimension_rows
-from starfeed.operators.facts import fact_orders, fact_profile, inputs_after
+from starfeed.operators.facts import fact_orders, fact_profile, inputs_after, small_dimensions
 from starfeed.operators.incremental import BROADCAST_KEYS, PROBE_ROWS, new_rows
 from starfeed.operators.skew import hot_keys
 from starfeed.plans.load_plan import LOAD_PLAN, ORDER_FACT, ORDER_FACT_DAY, ORDER_FACT_PAIR, RATING_FACT, LoadStep
@@ -20,9 +20,14 @@ from starfeed.workspace import written
 Warehouse = ParquetWarehouse | JdbcWarehouse
 
 
-def facts_after(inputs: Mapping[str, DataFrame], mark: Any, probe: int, **limits: Any) -> DataFrame:
-    part = inputs_after(inputs, mark, probe)
-    return fact_orders(part, fact_profile(part, **limits))
+def facts_after(
+    inputs: Mapping[str, DataFrame], mark: Any, probe: int, dimension_probe: int = BROADCAST_KEYS, **limits: Any
+) -> DataFrame:
+    """The order facts dated after ``mark``. The dimensions are sized up while the large inputs are cut."""
+    with ThreadPoolExecutor(1) as pool:
+        small = pool.submit(small_dimensions, inputs, dimension_probe)
+        part = inputs_after(inputs, mark, probe)
+        return fact_orders(part, fact_profile(part, small=small.result(), **limits))
 
 
 def new_order_facts(

@@ -140,7 +140,7 @@ def fact_pedidos_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fact_incremental_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The increment when more orders are new than may be broadcast."""
     mark = high_water_mark(stored_orders(spark, sf_dir), "fecha_pedido")
-    return facts_after(fact_inputs(spark, sf_dir), mark, 0, probe=0, share=0.0005, min_rows=0)
+    return facts_after(fact_inputs(spark, sf_dir), mark, 0, dimension_probe=0, share=0.0005, min_rows=0)
 
 
 def fact_ratings_query(spark: SparkSession, sf_dir: str) -> DataFrame:
