@@ -107,4 +107,33 @@ ORACLE: dict[str, str] = {
         )
         select vec_id, rank, neighbour_id, distance from ranked where rank <= 10
     """,
+    "op8_ngram_jaccard": r"""
+        with recursive w as (
+            select doc_id, text, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws
+            from documents
+        ), s as (
+            select doc_id, unnest(list_distinct(
+                case when len(ws) >= 5 then list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+                     when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end)) as gram
+            from w
+        ), sizes as (
+            select doc_id, count(*) as n from s group by doc_id
+        ), common as (
+            select a.doc_id as x, b.doc_id as y, count(*) as c from s a join s b using (gram) where a.doc_id <> b.doc_id group by x, y
+        ), links as (
+            select x, y from common join sizes nx on nx.doc_id = x join sizes ny on ny.doc_id = y where c >= 0.8 * (nx.n + ny.n - c)
+        ), reach as (
+            select doc_id as x, doc_id as y from documents
+            union
+            select r.x, l.y from reach r join links l on r.y = l.x
+        ), classes as (
+            select x as doc_id, min(y) as class_id from reach group by x
+        ), different as (
+            select x as doc_id, count(*) as n_links from links
+            join documents a on a.doc_id = x join documents b on b.doc_id = y where a.text <> b.text group by x
+        )
+        select doc_id, class_id, coalesce(n_links, 0)::bigint as n_links,
+            case when len(ws) > 0 then count(*) over (partition by w.text) else 1 end as n_copies
+        from w join classes using (doc_id) left join different using (doc_id)
+    """,
 }
