@@ -63,6 +63,20 @@ def map_arrow(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch
     return df.mapInArrow(run, schema)
 
 
+def most_frequent(counted: DataFrame, n: str, most: int) -> DataFrame:
+    """The rows with the highest ``n``, at most ``most`` of them. They are cut off at a sixteenth of an octave of ``n``, by a
+    histogram of a thousand bars at most, so that no task and no driver sorts through what all tasks hold. ``counted`` is read twice."""
+    step = F.floor(F.log2(n) * 16).cast("int")
+    bars = counted.groupBy(step.alias("step")).agg(F.count("*").alias("rows")).collect()
+    total, least = 0, None
+    for bar in sorted(bars, key=lambda b: -b["step"]):
+        total += bar["rows"]
+        if total > most:
+            break
+        least = bar["step"]
+    return counted.where(F.lit(False)) if least is None else counted.where(step >= least)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection on 64-bit numbers that spreads them evenly."""
     x = x ^ (x >> np.uint64(31))
