@@ -13,7 +13,7 @@ from pyspark.ml.classification import RandomForestClassificationModel, RandomFor
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from starfeed.llm.text import WORD, chunks, columns
+from starfeed.llm.text import WORD, chunks, columns, most_frequent
 from starfeed.workspace import written
 
 DICTIONARY_WORDS = 20_000
@@ -43,7 +43,7 @@ _ARROW = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind"
 
 
 def dictionary(docs: DataFrame, text: str = "text", size: int = DICTIONARY_WORDS) -> list[str]:
-    """The ``size`` most frequent words of letters of all documents, lower-cased; ties by the word. Counted in
+    """The most frequent words of letters of all documents, lower-cased, ``size`` at most. Counted in
     each task before the shuffle; ``size`` words reach the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,7 +63,7 @@ def dictionary(docs: DataFrame, text: str = "text", size: int = DICTIONARY_WORDS
         yield flush()
 
     counted = docs.select(F.col(text).alias("text")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r["word"] for r in counted.orderBy(F.desc("n"), "word").limit(size).collect()]
+    return sorted(r["word"] for r in most_frequent(written(counted, "words"), "n", size).select("word").collect())
 
 
 class Reader:
@@ -164,13 +164,14 @@ def with_candidates(docs: DataFrame, words: list[str], keep: list[Column], text:
 
 
 def train(labelled: DataFrame, rows: int = TRAINING_ROWS) -> RandomForestClassificationModel | None:
-    """A forest from labelled findings (label 0 or 1, features): at most ``rows`` of either kind, the ones
+    """A forest from labelled findings (label 0 or 1, features): at most about ``rows`` of either kind, the ones
     whose features hash lowest, so that the choice is the same in each run. None if one kind is missing."""
-    mark = F.xxhash64("features")
-    picked = [labelled.where(F.col("label") == k).select("label", "features").orderBy(mark, "features").limit(rows) for k in (0, 1)]
-    sample = written(picked[0].unionByName(picked[1]).withColumn("label", F.col("label").cast("double")), "labelled")
-    if sample.select("label").distinct().count() < 2:
+    counts = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
+    if not counts.get(0) or not counts.get(1):
         return None
+    share = F.when(F.col("label") == 0, min(1.0, rows / counts[0])).otherwise(min(1.0, rows / counts[1]))
+    picked = labelled.where("label in (0, 1)").where(F.pmod(F.xxhash64("features"), F.lit(1 << 40)) < share * (1 << 40))
+    sample = written(picked.select(F.col("label").cast("double").alias("label"), "features"), "labelled")
     forest = RandomForestClassifier(featuresCol="vector", numTrees=TREES, maxDepth=DEPTH, seed=SEED)
     return forest.fit(sample.select("label", array_to_vector("features").alias("vector")))
 
