@@ -24,7 +24,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from starfeed.llm.text import chunks
+from starfeed.llm.text import chunks, map_batches
 from starfeed.llm.vocabulary import SplitWords, Vocabulary
 
 NEVER = np.iinfo(np.int32).max
@@ -239,4 +239,4 @@ def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voc
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     schema = "doc_id long, ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return source.mapInArrow(run, schema if with_ids else schema.replace("ids array<int>, ", "", 1))
+    return map_batches(source, run, schema if with_ids else schema.replace("ids array<int>, ", "", 1))

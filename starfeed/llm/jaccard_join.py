@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starfeed.llm.components import components
-from starfeed.llm.text import WORD, WordHashes, columns, map_arrow, mixed
+from starfeed.llm.text import WORD, WordHashes, columns, map_arrow, map_batches, mixed
 from starfeed.workspace import written
 
 BLOCK_DOCS, BLOCK_SHINGLES, COLUMNS = 1024, 1_000_000, 2048
@@ -264,7 +264,7 @@ def jaccard_classes(
     buckets = buckets.groupBy("size", "members").agg(F.min("root").alias("root"))  # of buckets with the same texts, one
     buckets = buckets.select("root", F.ceil(F.col("size") / BLOCK_DOCS).cast("int").alias("blocks"))
     colliding = banded.join(buckets, "root").join(texts.select("text_key", "sketch"), "text_key")
-    alike = _tasks(colliding.withColumn("block", _block("blocks"))).mapInArrow(_alike(threshold - SLACK), "a binary, b binary")
+    alike = map_batches(_tasks(colliding.withColumn("block", _block("blocks"))), _alike(threshold - SLACK), "a binary, b binary")
     grouped = components(alike).withColumnRenamed("node", "text_key")
 
     grouped = grouped.join(texts.drop("bands", "sketch"), "text_key")
@@ -287,7 +287,7 @@ def jaccard_classes(
         needed.select("text_key", "root", "blocks", "block", "copies", "text"), _set_writer(n),
         "text_key binary, root binary, blocks int, block int, copies long, grams binary", "text",
     )
-    links = written(_tasks(sets).mapInArrow(_verifier(threshold), "a binary, b binary, texts long, docs long"), "links")
+    links = written(map_batches(_tasks(sets), _verifier(threshold), "a binary, b binary, texts long, docs long"), "links")
 
     counts = links.groupBy(F.col("a").alias("text_key")).agg(F.sum("docs").alias("n_links"))
     roots = components(links.select("a", "b")).withColumnRenamed("node", "text_key")

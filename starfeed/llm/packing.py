@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from starfeed.llm.text import chunks
+from starfeed.llm.text import chunks, map_batches
 from starfeed.llm.vocabulary import Encoder
 from starfeed.workspace import written
 
@@ -43,7 +43,7 @@ def tokenized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", v
             offset = int(ends[-1])
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return written(source.mapInArrow(run, "doc_id long, ids binary, part int, part_offset long"), "tokens")
+    return written(map_batches(source, run, "doc_id long, ids binary, part int, part_offset long"), "tokens")
 
 
 def placed(tokens: DataFrame) -> DataFrame:
@@ -83,7 +83,7 @@ def cut(placed_tokens: DataFrame, window: int = WINDOW) -> DataFrame:
                 [pa.array(v, pa.binary() if k == "ids" else pa.int64()) for k, v in out.items()], list(out)
             )
 
-    return placed_tokens.mapInArrow(run, schema)
+    return map_batches(placed_tokens, run, schema)
 
 
 def pack(docs: DataFrame, window: int = WINDOW, **options) -> DataFrame:

@@ -12,7 +12,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from starfeed.llm.text import WORD, chunks, columns, mixed
+from starfeed.llm.text import WORD, chunks, map_batches, mixed, rows_with, unpacked
 from starfeed.workspace import written
 
 ORDER = 5
@@ -81,7 +81,8 @@ def _grams(docs: DataFrame, lang: str, text: str, order: int) -> DataFrame:
         if words:
             yield flush()
 
-    counted = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).mapInArrow(run, "lang string, gram string, n long")
+    source = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    counted = map_batches(source, run, "lang string, gram string, n long")
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -175,7 +176,7 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text", order: int =
             )
 
     for k in range(order, 0, -1):
-        rows = frame.mapInArrow(slots, "slot int, context int, tail int, n long, lang_slot int")
+        rows = map_batches(frame, slots, "slot int, context int, tail int, n long, lang_slot int")
         tables.append(
             rows.groupBy("slot").agg(F.sum("n").alias("n"), *[F.max(c).alias(c) for c in ("context", "tail", "lang_slot")]).toArrow()
         )
@@ -213,8 +214,9 @@ def measured(docs: DataFrame, model: KneserNey, lang: str = "lang", text: str =
     ``log_perplexity`` is the mean of minus the log probability over the words, null without words.
     A null text has no words, and a null language is one of its own.
     """
-    source = docs.select(F.struct(*(columns(docs) if keep is None else keep)).alias("_row"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    schema = T.StructType([source.schema["_row"], source.schema["lang"]])
+    fields = {"lang": lang, "text": text}
+    source = rows_with(docs, None if keep is None else [F.col(c) for c in keep], fields)
+    schema = T.StructType([source.schema["_row"], T.StructField("lang", T.StringType())])
     shared = docs.sparkSession.sparkContext.broadcast(model)
     for name, kind in MEASURES.items():
         schema = schema.add(name, kind)
@@ -222,8 +224,8 @@ def measured(docs: DataFrame, model: KneserNey, lang: str = "lang", text: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str | None, dict[str, float]] = {}
-        for batch in chunks(batches, "text"):
-            if sum(map(len, known.values())) > 400_000:
+        for batch in chunks(unpacked(batches, fields), "text"):
+            if sum(map(len, known.values())) > 200_000:
                 known.clear()
             rows = []
             langs, texts = (batch.column(c).to_pylist() for c in ("lang", "text"))
@@ -233,7 +235,7 @@ def measured(docs: DataFrame, model: KneserNey, lang: str = "lang", text: str =
                 fresh.setdefault(name, set()).update(words)
             for name, words in fresh.items():
                 new = sorted(words - known.setdefault(name, {}).keys())
-                for part in (new[i : i + 50_000] for i in range(0, len(new), 50_000)):
+                for part in (new[i : i + 20_000] for i in range(0, len(new), 20_000)):
                     known[name].update(zip(part, shared.value.log_probabilities(part, np.full(len(part), _lang_hash(name), np.uint64)).tolist()))
             for name, words, x in zip(langs, found, texts):
                 chars = sum(map(len, words))
@@ -245,7 +247,7 @@ def measured(docs: DataFrame, model: KneserNey, lang: str = "lang", text: str =
                 ["_row", "lang", *names],
             )
 
-    return source.mapInArrow(run, schema)
+    return map_batches(source, run, schema)
 
 
 def rule_failed() -> Column:

@@ -13,7 +13,7 @@ from pyspark.ml.classification import RandomForestClassificationModel, RandomFor
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from starfeed.llm.text import WORD, chunks, columns, most_frequent
+from starfeed.llm.text import WORD, chunks, map_batches, most_frequent, rows_with, unpacked
 from starfeed.workspace import written
 
 DICTIONARY_WORDS = 20_000
@@ -62,7 +62,7 @@ def dictionary(docs: DataFrame, text: str = "text", size: int = DICTIONARY_WORDS
                 yield flush()
         yield flush()
 
-    counted = docs.select(F.col(text).alias("text")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = map_batches(docs.select(F.col(text).alias("text")), run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return sorted(r["word"] for r in most_frequent(written(counted, "words"), "n", size).select("word").collect())
 
 
@@ -145,22 +145,23 @@ class Reader:
         return out
 
 
-def with_candidates(docs: DataFrame, words: list[str], keep: list[Column], text: str, path: str, sample_words: bool) -> DataFrame:
-    """``_row`` (the ``keep`` columns) and ``found``, the candidates of each row. A null text has none; a null path is empty."""
+def with_candidates(docs: DataFrame, words: list[str], keep: list[Column] | None, text: str, path: str, sample_words: bool) -> DataFrame:
+    """``_row`` (the ``keep`` columns, or all) and ``found``, the candidates of each row. A null text has none; a null path is empty."""
     known = docs.sparkSession.sparkContext.broadcast(words)  # DICTIONARY_WORDS at most
-    source = docs.select(F.struct(*keep).alias("_row"), F.col(text).alias("text"), F.col(path).cast("string").alias("path"))
+    fields = {"text": text, "path": path}
+    source = rows_with(docs, keep, fields)
     schema = T.StructType([source.schema["_row"], T.StructField("found", CANDIDATE)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(known.value)
-        for batch in chunks(batches, "text"):
+        for batch in chunks(unpacked(batches, fields), "text"):
             found = [
-                [dict(zip(("start", "end", "kind", "label", "features"), c)) for c in reader.candidates(x, p or "", sample_words)] if x else []
+                [dict(zip(("start", "end", "kind", "label", "features"), c)) for c in reader.candidates(x, "" if p is None else str(p), sample_words)] if x else []
                 for x, p in zip(batch.column("text").to_pylist(), batch.column("path").to_pylist())
             ]
             yield pa.record_batch([batch.column("_row"), pa.array(found, _ARROW)], ["_row", "found"])
 
-    return source.mapInArrow(run, schema)
+    return map_batches(source, run, schema)
 
 
 def train(labelled: DataFrame, rows: int = TRAINING_ROWS) -> RandomForestClassificationModel | None:
@@ -214,7 +215,7 @@ def redacted(docs: DataFrame, text_col: str = "text", path_col: str = "source")
     """``docs`` with each secret replaced by ``MASK``; all rows and columns stay. Rows without
     candidates, by far the most, are not shuffled."""
     words = dictionary(docs, text_col)
-    rows = with_candidates(docs, words, columns(docs), text_col, path_col, True)
+    rows = with_candidates(docs, words, None, text_col, path_col, True)
     rows = written(rows.withColumn("_n", F.monotonically_increasing_id()), "scanned")
     found = rows.select("_n", F.explode("found").alias("c")).select("_n", "c.*")
     forest = train(found.where("label is not null"))

@@ -12,7 +12,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 2_000_000
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +39,22 @@ class WordHashes(dict):
         return value
 
 
+def rows_with(docs: DataFrame, keep: list[Column] | None, fields: dict[str, str]) -> DataFrame:
+    """A struct ``_row`` of the ``keep`` columns and the ``fields`` (name -> column) beside it. Without ``keep`` the
+    struct has all columns, and ``unpacked`` takes the fields from it, so that no text is sent to Python twice."""
+    if keep is None:
+        return docs.select(F.struct(*columns(docs)).alias("_row"))
+    return docs.select(F.struct(*keep).alias("_row"), *[F.col(c).alias(name) for name, c in fields.items()])
+
+
+def unpacked(batches: Iterable[pa.RecordBatch], fields: dict[str, str]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_columns == 1:
+            row = batch.column("_row")
+            batch = pa.record_batch([row, *(row.field(c) for c in fields.values())], ["_row", *fields])
+        yield batch
+
+
 def chunks(batches: Iterable[pa.RecordBatch], text: str, chars: int = CHUNK_CHARS) -> Iterator[pa.RecordBatch]:
     """Cuts Arrow batches so that each piece holds about ``chars`` characters of text, and at least one row."""
     for batch in batches:
@@ -53,6 +70,13 @@ def _offsets(column: pa.Array) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(lengths)])
 
 
+def map_batches(df: DataFrame, function, schema) -> DataFrame:
+    """``mapInArrow`` with batches of at most ``BATCH_BYTES``: ten thousand long texts would be
+    a batch of a gigabyte. Sets the session's limit, which also holds for what it runs later."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(function, schema)
+
+
 def map_arrow(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, text: str) -> DataFrame:
     """``mapInArrow`` over pieces of bounded text size."""
 
@@ -60,7 +84,7 @@ def map_arrow(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch
         for piece in chunks(batches, text):
             yield function(piece)
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)
 
 
 def most_frequent(counted: DataFrame, n: str, most: int) -> DataFrame:

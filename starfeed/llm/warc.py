@@ -22,7 +22,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starfeed.llm.text import chunks
+from starfeed.llm.text import chunks, map_batches
 from starfeed.workspace import work_dir, written
 
 LEAST_REVISIT = 1000  # bytes; equal payloads below it are all stored
@@ -129,7 +129,7 @@ def write_archives(pages: DataFrame, folder: str | None = None) -> DataFrame:
         if out is not None:
             out.close()
 
-    return written(records.mapInArrow(run, CAPTURES), "captures")
+    return written(map_batches(records, run, CAPTURES), "captures")
 
 
 _CAPTURE_SCHEMA = pa.schema(
@@ -191,7 +191,7 @@ def build_index(captures: DataFrame, archives: str, folder: str | None = None) -
                 f.write("\n".join(map(json.dumps, directory)).encode())
             yield pa.record_batch([pa.array([directory[0][0]]), pa.array([directory[0][1]], pa.int64()), pa.array([name])], ["key", "page_id", "name"])
 
-    shards = written(ordered.mapInArrow(run, "key string, page_id long, name string"), "shards").collect()
+    shards = written(map_batches(ordered, run, "key string, page_id long, name string"), "shards").collect()
     return Index(folder, archives, sorted((r["key"], r["page_id"], r["name"]) for r in shards))
 
 
@@ -242,7 +242,7 @@ def look_up(wanted: DataFrame, index: Index) -> DataFrame:
                     at += 1
             yield pa.RecordBatch.from_pylist([dict(zip(_CAPTURE_SCHEMA.names, x)) for x in out], _CAPTURE_SCHEMA)
 
-    return ordered.mapInArrow(run, CAPTURES)
+    return map_batches(ordered, run, CAPTURES)
 
 
 def read_records(captures: DataFrame, archives: str) -> DataFrame:
@@ -292,7 +292,7 @@ def read_records(captures: DataFrame, archives: str) -> DataFrame:
         yield made()
 
     near = captures.select("file", "offset", "length", F.floor(F.col("offset") / (16 * READ_AHEAD)).alias("stretch"))
-    return near.repartition("file", "stretch").sortWithinPartitions("file", "offset").mapInArrow(run, schema)
+    return map_batches(near.repartition("file", "stretch").sortWithinPartitions("file", "offset"), run, schema)
 
 
 def archive_round_trip(pages: DataFrame) -> DataFrame:
