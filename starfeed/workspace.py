@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 
 def work_dir(spark: SparkSession, label: str) -> str:
     """A new folder name below the shared folder the session names in
-    ``spark.checkpoint.dir``. A machine-local folder stands in only where one process runs all."""
+    ``spark.checkpoint.dir``. A machine-local folder stands in only in the local modes, where
+    all executors are on the driver's machine and see it."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local") or master.startswith("local-cluster"):
+        if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="starfeed-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
