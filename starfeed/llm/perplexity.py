@@ -19,6 +19,8 @@ ORDER = 5
 #: n-grams are told apart by this many bits of their hash: that bounds the model to 2^22 entries
 #: an order whatever the corpus, at the price of rare collisions.
 SLOT_BITS = 22
+#: So many languages' bands, 50 bytes each, are broadcast after they were counted; more are joined by shuffle.
+MOST_SENT = 100_000
 START, END = "\x02", "\x03"
 SYMBOLS = re.compile(r"[#*$%&|<>]")
 MULTIPLIER = np.uint64(0x100000001B3)
@@ -269,9 +271,10 @@ def judged(docs: DataFrame, width: float = 8.0, keep: list[str] | None = None, *
     documents that fail the rules and those outside their language's perplexity band. Repeated rows fare alike; a
     language whose documents all fail the rules has no band, and needs none."""
     rows = written(measured(docs, train(docs, **options), keep=keep, **options), "measured")
-    limits = bands(rows, width)
+    limits = written(bands(rows, width), "bands")
+    if limits.count() <= MOST_SENT:
+        limits = F.broadcast(limits)
     inside = F.coalesce(F.col("log_perplexity").between(F.col("low"), F.col("high")), F.lit(True))
-    # one row for each language that occurs; Spark broadcasts it only while it is small
     return rows.join(limits, rows["lang"].eqNullSafe(limits["band_lang"]), "left").select(
         *rows.columns, rule_failed().alias("base_failed"), (~rule_failed() & inside).alias("kept")
     )
