@@ -95,6 +95,11 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def _id_key(column: str) -> Column:
+    """An id as text, empty for a null one: equal ids are equal keys, so that a join and a grouping by it share one shuffle."""
+    return F.coalesce(F.col(column).cast("long").cast("string"), F.lit(""))
+
+
 def _set_writer(n: int):
     hashes = WordHashes()
 
@@ -278,11 +283,10 @@ def jaccard_classes(
         ),
         "members",
     )
-    same = (keyed["text_key"] == members["text_key"]) & keyed["doc_id"].eqNullSafe(members["of_id"])
     # always by shuffle: one move of the texts, whatever the number of members
-    needed = keyed.join(members.hint("merge"), same).select(
-        members["text_key"], "of_id", "text", "root", "blocks", "block", "copies"
-    ).groupBy("text_key", "of_id").agg(*[F.first(c).alias(c) for c in ("text", "root", "blocks", "block", "copies")]).drop("of_id")
+    needed = keyed.withColumn("id_key", _id_key("doc_id")).join(
+        members.withColumn("id_key", _id_key("of_id")).hint("merge"), ["text_key", "id_key"]
+    ).groupBy("text_key", "id_key").agg(*[F.first(c).alias(c) for c in ("text", "root", "blocks", "block", "copies")])
     sets = map_arrow(
         needed.select("text_key", "root", "blocks", "block", "copies", "text"), _set_writer(n),
         "text_key binary, root binary, blocks int, block int, copies long, grams binary", "text",
@@ -310,12 +314,11 @@ def jaccard_classes(
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row for each near-duplicate class, all columns kept. Rows without words all stay."""
-    classes = jaccard_classes(docs, **options).where("keeps").select("text_key", "doc_id")
-    classes = written(classes, "kept")
+    classes = jaccard_classes(docs, **options).where("keeps").select(F.col("text_key").alias("_key"), _id_key("doc_id").alias("_id"))
+    classes = written(classes.distinct(), "kept")
     key = F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
-    marked = docs.select(F.struct(*columns(docs)).alias("_row"), key.alias("_key"), F.col("doc_id").cast("long").alias("_id"))
+    marked = docs.select(F.struct(*columns(docs)).alias("_row"), key.alias("_key"), _id_key("doc_id").alias("_id"))
     wordless = F.length(F.regexp_replace(F.coalesce(F.col("_row.text"), F.lit("")), "[\\x20\\x09-\\x0D]", "")) == 0
-    worded = marked.where(~wordless).join(
-        classes.hint("merge"), (marked["_key"] == classes["text_key"]) & marked["_id"].eqNullSafe(classes["doc_id"]), "left_semi"
-    ).groupBy("_key", "_id").agg(F.first("_row").alias("_row"))
+    worded = marked.where(~wordless).join(classes.hint("merge"), ["_key", "_id"], "left_semi")
+    worded = worded.groupBy("_key", "_id").agg(F.first("_row").alias("_row"))
     return worded.select("_row.*").union(marked.where(wordless).select("_row.*"))
