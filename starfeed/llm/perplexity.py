@@ -21,6 +21,10 @@ ORDER = 5
 SLOT_BITS = 22
 #: So many languages' bands, 50 bytes each, are broadcast after they were counted; more are joined by shuffle.
 MOST_SENT = 100_000
+#: Robust deviations of log perplexity: none counts as less than this, nor as less than half of the languages' mean; that of a
+#: language with fewer distinct texts than FEW_TEXTS not as less than the mean.
+LEAST_DEVIATION = 0.1
+FEW_TEXTS = 30
 START, END = "\x02", "\x03"
 SYMBOLS = re.compile(r"[#*$%&|<>]")
 MULTIPLIER = np.uint64(0x100000001B3)
@@ -205,15 +209,19 @@ def _repeated_lines(text: str) -> int:
     return len(lines) - len(set(lines))
 
 
+def _text_hash(text: str | None) -> int:
+    return (xxhash.xxh3_64_intdigest((text or "").encode("utf-8", "surrogatepass")) ^ 0x8000000000000000) - 0x8000000000000000
+
+
 MEASURES = {
-    "n_words": "long", "word_chars": "long", "n_symbols": "long", "n_dup_lines": "long", "n_repeat_words": "long", "log_perplexity": "double"
+    "n_words": "long", "word_chars": "long", "n_symbols": "long", "n_dup_lines": "long", "n_repeat_words": "long", "log_perplexity": "double", "text_hash": "long"
 }
 
 
 def measured(docs: DataFrame, model: KneserNey, lang: str = "lang", text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """A struct ``_row`` of the ``keep`` columns (all, if not given), the language, and the measures of each text.
 
-    ``log_perplexity`` is the mean of minus the log probability over the words, null without words.
+    ``log_perplexity`` is the mean of minus the log probability over the words, null without words. ``text_hash`` tells texts apart.
     A null text has no words, and a null language is one of its own.
     """
     fields = {"lang": lang, "text": text}
@@ -242,8 +250,8 @@ def measured(docs: DataFrame, model: KneserNey, lang: str = "lang", text: str =
             for name, words, x in zip(langs, found, texts):
                 chars = sum(map(len, words))
                 score = -math.fsum(map(known[name].__getitem__, words)) / len(words) if words else None
-                rows.append((len(words), chars, len(SYMBOLS.findall(x or "")), _repeated_lines(x) if words else 0, _repeats(words), score))
-            columns = list(zip(*rows)) if rows else [()] * 6
+                rows.append((len(words), chars, len(SYMBOLS.findall(x or "")), _repeated_lines(x) if words else 0, _repeats(words), score, _text_hash(x)))
+            columns = list(zip(*rows)) if rows else [()] * len(names)
             yield pa.record_batch(
                 [batch.column("_row"), batch.column("lang"), *(pa.array(c, pa.float64() if n == "log_perplexity" else pa.int64()) for n, c in zip(names, columns))],
                 ["_row", "lang", *names],
@@ -258,11 +266,16 @@ def rule_failed() -> Column:
 
 
 def bands(rows: DataFrame, width: float) -> DataFrame:
-    """(lang, low, high): the median log perplexity of a language's documents that pass the
-    rules, ``width`` robust deviations down and up. Sketches of bounded size, summed up in each task first."""
-    passed = rows.where(~rule_failed())
-    middle = passed.groupBy("lang").agg(F.percentile_approx("log_perplexity", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 10_000).alias("q"))
-    spread = width * (F.col("q")[2] - F.col("q")[0]) / 1.349
+    """(lang, low, high): the median log perplexity of a language's distinct texts that pass the rules, ``width`` robust deviations
+    down and up. Copies count once, so a text that makes up most of a language does not narrow its band, and a deviation that near
+    copies or few texts make small is raised by that of the other languages. Sketches of bounded size, summed up in each task first."""
+    once = rows.where(~rule_failed()).groupBy("lang", "text_hash").agg(F.min("log_perplexity").alias("score"))
+    quantiles = F.percentile_approx("score", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 10_000)
+    middle = written(once.groupBy("lang").agg(F.count("*").alias("texts"), quantiles.alias("q")), "quantiles")
+    own = (F.col("q")[2] - F.col("q")[0]) / 1.349
+    mean = middle.agg(F.sum(own * F.col("texts")) / F.sum("texts")).first()[0] or 0.0
+    least = F.when(F.col("texts") < FEW_TEXTS, F.lit(mean)).otherwise(F.lit(mean / 2))
+    spread = width * F.greatest(own, least, F.lit(LEAST_DEVIATION))
     return middle.select(F.col("lang").alias("band_lang"), (F.col("q")[1] - spread).alias("low"), (F.col("q")[1] + spread).alias("high"))
 
 
@@ -276,5 +289,5 @@ def judged(docs: DataFrame, width: float = 8.0, keep: list[str] | None = None, *
         limits = F.broadcast(limits)
     inside = F.coalesce(F.col("log_perplexity").between(F.col("low"), F.col("high")), F.lit(True))
     return rows.join(limits, rows["lang"].eqNullSafe(limits["band_lang"]), "left").select(
-        *rows.columns, rule_failed().alias("base_failed"), (~rule_failed() & inside).alias("kept")
+        *[c for c in rows.columns if c != "text_hash"], rule_failed().alias("base_failed"), (~rule_failed() & inside).alias("kept")
     )

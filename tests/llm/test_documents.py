@@ -243,6 +243,19 @@ def test_bands_reject_noise_and_keep_prose(spark):
     assert all(kept[i] for i in range(60)) and not kept[100] and not kept[101]
 
 
+def test_bands_stay_wide_beside_copies_and_near_copies(spark):
+    rng = np.random.default_rng(5)
+    vocabulary = sorted(set(" ".join(PROSE).split()))
+    prose = lambda: " ".join(rng.choice(vocabulary, 120))
+    rows = [(i, prose(), "en", "s") for i in range(60)]
+    rows += [(1000 + i, PROSE[0] + " " + " ".join(vocabulary), "en", "s") for i in range(300)]
+    rows += [(2000 + i, prose(), "fr", "s") for i in range(40)] + [(2100 + i, PROSE[1] + " " + " ".join(vocabulary) + f" {i}", "fr", "s") for i in range(120)]
+    rows += [(3000, prose(), "de", "s")] + [(3001 + i, " ".join(vocabulary), "de", "s") for i in range(3)]
+    rows += [(4000 + i, " ".join("".join(rng.choice(list("qxzjkvw0123456789#%"), 9)) for _ in range(120)), "en", "s") for i in range(2)]
+    got = {r["_row"]["doc_id"]: r for r in judged(documents(spark, rows)).collect()}
+    assert {i for i, r in got.items() if not r["base_failed"] and not r["kept"]} == {4000, 4001}
+
+
 # ---- secrets --------------------------------------------------------------------------
 
 
