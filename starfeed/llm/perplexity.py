@@ -16,9 +16,6 @@ from starfeed.llm.text import WORD, chunks, map_batches, mixed, rows_with, unpac
 from starfeed.workspace import written
 
 ORDER = 5
-#: n-grams are told apart by this many bits of their hash: that bounds the model to 2^22 entries
-#: an order whatever the corpus, at the price of rare collisions.
-SLOT_BITS = 22
 #: So many languages' bands, 50 bytes each, are broadcast after they were counted; more are joined by shuffle.
 MOST_SENT = 100_000
 #: Robust deviations of log perplexity: none counts as less than this, nor as less than half of the languages' mean; that of a
@@ -30,9 +27,10 @@ SYMBOLS = re.compile(r"[#*$%&|<>]")
 MULTIPLIER = np.uint64(0x100000001B3)
 
 
-def _slot(folded: np.ndarray, lang: np.ndarray, size: int) -> np.ndarray:
+def _key(folded: np.ndarray, lang: np.ndarray, size: int) -> np.ndarray:
+    """The 64-bit hash that stands for a language's n-gram of ``size`` characters, as a signed number."""
     sized = np.uint64((size + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
-    return (mixed(folded + lang + sized) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+    return mixed(folded + lang + sized).view(np.int64)
 
 
 def _lang_hash(lang: str | None) -> int:
@@ -92,27 +90,37 @@ def _grams(docs: DataFrame, lang: str, text: str, order: int) -> DataFrame:
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+class Hashed:
+    """Values by 64-bit hash: hashes sorted as unsigned numbers, and where those begin that share their first bits, one or so each."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        at = np.argsort(keys.view(np.uint64))
+        self.keys, self.values = keys[at], values[at]
+        self.bits = max(1, math.ceil(math.log2(len(keys) + 1)))
+        sizes = np.bincount((self.keys.view(np.uint64) >> np.uint64(64 - self.bits)).astype(np.int64), minlength=1 << self.bits)
+        self.first = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32 if len(keys) < 1 << 31 else np.int64)
+
+
 class KneserNey:
-    """Interpolated modified Kneser-Ney probabilities in sorted hash arrays, one pair of arrays for each order:
-    n-gram slots with log probabilities, and context slots with log back-off weights."""
+    """Interpolated modified Kneser-Ney probabilities by hash, one pair of tables for each order:
+    hashes of n-grams with log probabilities, and of contexts with log back-off weights."""
 
     def __init__(self, tables: list[pa.Table], order: int):
         self.order = order
         self.uniform = math.log(1 / (len(tables[0]) + 1))
-        self.grams: list[tuple[np.ndarray, np.ndarray]] = []
-        self.contexts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.grams: list[Hashed] = []
+        self.contexts: list[Hashed] = []
         for k, table in enumerate(tables, 1):
-            slot, context, tail, n, group = (table.column(c).to_numpy() for c in ("slot", "context", "tail", "n", "lang_slot"))
-            at = np.argsort(slot)
-            slot, context, tail, n, group = slot[at], context[at], tail[at], n[at].astype(float), group[at]
+            key, context, tail, n, group = (table.column(c).to_numpy() for c in ("key", "context", "tail", "n", "lang_key"))
+            n = n.astype(float)
             discount = self._discounts(n, group)
             first, place = np.unique(context, return_inverse=True)
             total = np.bincount(place, n, len(first))
             weight = np.bincount(place, discount, len(first)) / np.maximum(total, 1e-300)
-            lower = np.full(len(slot), math.exp(self.uniform)) if k == 1 else np.exp(self._found(k - 1, tail))
+            lower = np.full(len(key), math.exp(self.uniform)) if k == 1 else np.exp(self._found(k - 1, tail))
             p = (n - discount) / total[place] + weight[place] * lower
-            self.grams.append((slot.astype(np.int32), np.log(p).astype(np.float32)))
-            self.contexts.append((first.astype(np.int32), np.log(np.maximum(weight, 1e-9)).astype(np.float32)))
+            self.grams.append(Hashed(key, np.log(p).astype(np.float32)))
+            self.contexts.append(Hashed(first, np.log(np.maximum(weight, 1e-9)).astype(np.float32)))
 
     @staticmethod
     def _discounts(n: np.ndarray, group: np.ndarray) -> np.ndarray:
@@ -125,16 +133,24 @@ class KneserNey:
         each = [np.clip(d, 0.05 * (i + 1), 0.95 * (i + 1)) for i, d in enumerate(each)]
         return np.where(n == 1, each[0][place], np.where(n == 2, each[1][place], each[2][place]))
 
-    def _found(self, k: int, slots: np.ndarray) -> np.ndarray:
-        keys, values = self.grams[k - 1]
-        return values[np.minimum(np.searchsorted(keys, slots), len(keys) - 1)]
+    def _found(self, k: int, wanted: np.ndarray) -> np.ndarray:
+        return self._look(self.grams[k - 1], wanted)[1]
 
     @staticmethod
-    def _look(keys: np.ndarray, values: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(keys):
-            return np.zeros(len(slots), bool), np.zeros(len(slots), np.float32)
-        at = np.minimum(np.searchsorted(keys, slots), len(keys) - 1)
-        return keys[at] == slots, values[at]
+    def _look(table: Hashed, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each hash is in the table, and its value (any, if not)."""
+        if not len(table.keys):
+            return np.zeros(len(wanted), bool), np.zeros(len(wanted), np.float32)
+        bucket = (wanted.view(np.uint64) >> np.uint64(64 - table.bits)).astype(np.int64)
+        at, end = table.first[bucket], table.first[bucket + 1]
+        at = np.minimum(at, len(table.keys) - 1)
+        hit = table.keys[at] == wanted
+        todo = np.flatnonzero(~hit & (at + 1 < end))
+        while len(todo):
+            at[todo] += 1
+            hit[todo] = table.keys[at[todo]] == wanted[todo]
+            todo = todo[~hit[todo] & (at[todo] + 1 < end[todo])]
+        return hit, table.values[at]
 
     def log_probabilities(self, words: list[str], langs: np.ndarray) -> np.ndarray:
         """Natural log probability of each word with its end, in the model of its language hash."""
@@ -149,12 +165,12 @@ class KneserNey:
         for k in range(self.order, 0, -1):
             todo = np.flatnonzero(open_)
             p, l = at[todo], lang[at[todo]]
-            hit, value = self._look(*self.grams[k - 1], _slot(folds[k][p], l, k).astype(np.int32))
+            hit, value = self._look(self.grams[k - 1], _key(folds[k][p], l, k))
             result[todo[hit]] = weight[todo[hit]] + value[hit]
             open_[todo[hit]] = False
             miss = todo[~hit]
             p = at[miss]
-            known, value = self._look(*self.contexts[k - 1], _slot(folds[k - 1][p - 1], lang[p], k - 1).astype(np.int32))
+            known, value = self._look(self.contexts[k - 1], _key(folds[k - 1][p - 1], lang[p], k - 1))
             weight[miss] += np.where(known, value, 0)
         result[open_] = weight[open_] + self.uniform
         word = np.repeat(np.arange(len(words)), lengths)[at]
@@ -163,11 +179,11 @@ class KneserNey:
 
 def train(docs: DataFrame, lang: str = "lang", text: str = "text", order: int = ORDER) -> KneserNey:
     """Counts in Spark over all documents: occurrences for the highest order, and for each lower order the
-    number of different characters seen before an n-gram. What reaches the driver is bounded by the slots."""
+    number of different characters seen before an n-gram. The driver gets one row for each distinct n-gram of a language."""
     counted = written(_grams(docs, lang, text, order), "grams")
     tables, frame = [], counted
 
-    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             grams = batch.column("gram").to_pylist()
             k = len(grams[0]) if grams else 1
@@ -176,16 +192,13 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text", order: int =
             langs = np.asarray([hashes.setdefault(x, _lang_hash(x)) for x in batch.column("lang").to_pylist()], np.uint64)
             fold = lambda part: _folds(part.ravel(), part.shape[1])[-1][part.shape[1] - 1 :: part.shape[1]] if part.shape[1] else np.zeros(len(part), np.uint64)
             yield pa.record_batch(
-                [*(pa.array(x.astype(np.int32)) for x in (_slot(fold(codes), langs, k), _slot(fold(codes[:, :-1]), langs, k - 1), _slot(fold(codes[:, 1:]), langs, k - 1))),
-                 batch.column("n"), pa.array((langs >> np.uint64(52)).astype(np.int32))],
-                ["slot", "context", "tail", "n", "lang_slot"],
+                [*(pa.array(x) for x in (_key(fold(codes), langs, k), _key(fold(codes[:, :-1]), langs, k - 1), _key(fold(codes[:, 1:]), langs, k - 1))),
+                 batch.column("n"), pa.array(langs.view(np.int64))],
+                ["key", "context", "tail", "n", "lang_key"],
             )
 
     for k in range(order, 0, -1):
-        rows = map_batches(frame, slots, "slot int, context int, tail int, n long, lang_slot int")
-        tables.append(
-            rows.groupBy("slot").agg(F.sum("n").alias("n"), *[F.max(c).alias(c) for c in ("context", "tail", "lang_slot")]).toArrow()
-        )
+        tables.append(map_batches(frame, keyed, "key long, context long, tail long, n long, lang_key long").toArrow())
         if k > 1:
             frame = frame.groupBy("lang", F.substring("gram", 2, k - 1).alias("gram")).agg(F.count("*").alias("n"))
     return KneserNey(tables[::-1], order)

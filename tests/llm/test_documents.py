@@ -234,6 +234,17 @@ def test_kneser_ney_equals_dictionaries(spark):
     assert got == pytest.approx([plain(w) for w in words], rel=1e-4)
 
 
+def test_each_n_gram_keeps_its_own_entry(spark):
+    """So many n-grams that parts of their hashes would collide, in enough languages that parts of theirs would."""
+    rng = np.random.default_rng(4)
+    letters = [chr(0x4E00 + i) for i in range(3000)]
+    rows = [(i, " ".join("".join(rng.choice(letters, 5)) for _ in range(100)), f"l{i}", "s") for i in range(120)]
+    model = train_kneser_ney(documents(spark, rows))
+    padded = {(r[2], START * 4 + w + END) for r in rows for w in r[1].split()}
+    assert len(model.grams[4].keys) == len({(lang, w[i : i + 5]) for lang, w in padded for i in range(len(w) - 4)})
+    assert all(len(np.unique(x.keys)) == len(x.keys) for x in model.grams)
+
+
 def test_bands_reject_noise_and_keep_prose(spark):
     rng = np.random.default_rng(3)
     vocabulary = sorted(set(" ".join(PROSE).split()))
