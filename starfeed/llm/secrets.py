@@ -28,6 +28,8 @@ ASSIGNED = re.compile(rf"(?:{NAMES})[\"']?[ \t]{{0,3}}(?::=|=>|=|:)[ \t]{{0,3}}(
 BARE = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*(?:[0-9]|[a-z][A-Z]))[A-Za-z0-9+/_-]{16,}={0,2}")
 KNOWN = re.compile(r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abpr]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}")
 PLACEHOLDER = re.compile(r"(?:example|changeme|placeholder|dummy|sample|your[_-]|x{6,}|<|\$\{|\*{3,})", re.I)
+#: Values that are a placeholder as a whole, not ones that happen to hold its characters.
+WHOLE_PLACEHOLDER = re.compile(r"<[^<>]*>|\$\{[^{}]*\}|x{6,}|\*{3,}|changeme|(?:your|example|sample|dummy|placeholder)(?:[_-][a-z]+)*", re.I)
 TEST_PATH = re.compile(r"test|example|sample|doc|fixture|mock", re.I)
 LONG_WORD = re.compile(r"[^\W\d_]{16,}")
 
@@ -37,9 +39,9 @@ FEATURES = (
 )
 CANDIDATE = T.ArrayType(
     T.StructType()
-    .add("start", "integer").add("end", "integer").add("kind", "string").add("label", "integer").add("features", T.ArrayType(T.DoubleType()))
+    .add("start", "integer").add("end", "integer").add("kind", "string").add("label", "integer").add("known", "boolean").add("features", T.ArrayType(T.DoubleType()))
 )
-_ARROW = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("label", pa.int32()), ("features", pa.list_(pa.float64()))]))
+_ARROW = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("label", pa.int32()), ("known", pa.bool_()), ("features", pa.list_(pa.float64()))]))
 
 
 def dictionary(docs: DataFrame, text: str = "text", size: int = DICTIONARY_WORDS) -> list[str]:
@@ -112,10 +114,11 @@ class Reader:
         )]
 
     def candidates(self, text: str, path: str, sample_words: bool = False) -> list[tuple]:
-        """(start, end, kind, label, features) of each candidate, in code points, none within another.
+        """(start, end, kind, label, known, features) of each candidate, in code points, none within another.
 
-        ``label`` is what the finding's form says for sure, else null: 1 for the format of a known service and for an
-        assignment of a value of letters and digits; 0 for placeholders, for plain numbers, and for values that are words. With
+        ``known``: the value has the format of a known service's keys. ``label`` is for training, where the finding's form tells
+        what it is, else null: 1 for known formats and for an assigned value of letters and digits that is mostly no words; 0 for whole
+        placeholders, for plain numbers that nothing assigns, and for values that are one word, or words that nothing assigns. With
         ``sample_words`` a fixed share of the text's long words is added as kind ``word``, labelled 0: they are no findings.
         """
         spans = [(m.start(2), m.end(2), "assigned", bool(m[1])) for m in ASSIGNED.finditer(text)]
@@ -135,13 +138,15 @@ class Reader:
             before, after = text[max(0, start - 80) : start].split(), text[end : end + 80].split()
             f = self.features(value, kind == "assigned", quoted, before[-1] if before else "", after[0] if after else "", path)
             mixed = f[FEATURES.index("digits")] > 0 and f[FEATURES.index("digits")] < 1
-            if kind == "word" or f[-1] or value.isdigit() or f[FEATURES.index("dictionary_cover")] == 1:
+            cover = f[FEATURES.index("dictionary_cover")]
+            known = bool(KNOWN.fullmatch(value)) and not f[-1]
+            if kind == "word" or WHOLE_PLACEHOLDER.fullmatch(value) or value.lower() in self.words or kind == "bare" and (value.isdigit() or cover == 1):
                 label = 0
-            elif KNOWN.fullmatch(value) or kind == "assigned" and mixed and len(value) >= 12:
+            elif known or kind == "assigned" and mixed and len(value) >= 12 and cover <= 0.5:
                 label = 1
             else:
                 label = None
-            out.append((start, end, kind, label, f))
+            out.append((start, end, kind, label, known, f))
         return out
 
 
@@ -156,7 +161,7 @@ def with_candidates(docs: DataFrame, words: list[str], keep: list[Column] | None
         reader = Reader(known.value)
         for batch in chunks(unpacked(batches, fields), "text"):
             found = [
-                [dict(zip(("start", "end", "kind", "label", "features"), c)) for c in reader.candidates(x, "" if p is None else str(p), sample_words)] if x else []
+                [dict(zip(("start", "end", "kind", "label", "known", "features"), c)) for c in reader.candidates(x, "" if p is None else str(p), sample_words)] if x else []
                 for x, p in zip(batch.column("text").to_pylist(), batch.column("path").to_pylist())
             ]
             yield pa.record_batch([batch.column("_row"), pa.array(found, _ARROW)], ["_row", "found"])
@@ -178,18 +183,20 @@ def train(labelled: DataFrame, rows: int = TRAINING_ROWS) -> RandomForestClassif
 
 
 def _judged(candidates: DataFrame, forest: RandomForestClassificationModel | None) -> DataFrame:
-    """Adds ``probability``: what the label says, else the forest; without one nothing speaks against a candidate."""
+    """Adds ``probability``: the forest's, and 1 for the formats of known services. Where there was nothing to learn from
+    there is no forest; then labels tell, and nothing speaks against a candidate without one."""
     if forest is None:
         return candidates.withColumn("probability", F.coalesce(F.col("label").cast("double"), F.lit(1.0)))
     scored = forest.transform(candidates.withColumn("vector", array_to_vector("features")))
-    scored = scored.withColumn("probability", F.coalesce(F.col("label").cast("double"), vector_to_array("probability")[1]))
+    scored = scored.withColumn("probability", F.when(F.col("known"), 1.0).otherwise(vector_to_array("probability")[1]))
     return scored.drop("vector", "rawPrediction", "prediction")
 
 
 def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source", labelled: DataFrame | None = None) -> DataFrame:
     """One row for each candidate: doc_id, start, end, kind, probability, is_secret.
 
-    The forest learns from ``labelled`` (label, features in the order of ``FEATURES``), or else from the candidates whose form tells what they are.
+    The forest learns from ``labelled`` (label, features in the order of ``FEATURES``), or else from the candidates whose form tells what they are;
+    it decides on every candidate but the keys of known services, labelled by their form or not.
     Repeated rows give repeated findings; texts without candidates give none.
     """
     words = dictionary(docs, text_col)
