@@ -155,38 +155,51 @@ def discovered(mentions: DataFrame, rounds: int = ROUNDS, least_seeds: int = LEA
     the others. In each round a pattern's score for a kind is the mean score of all its entities, smoothed, and 0 if fewer than
     ``least_seeds`` different seeds of the kind have it; an unknown entity's score is the chance
     that one of its patterns is right. Taken are unknown entities that score ``confident`` for one kind, by two patterns
-    at least, and hardly anything for the others.
+    at least, and hardly anything for the others. They are seeds from the next round on, whose patterns find more. There are
+    ``rounds`` rounds, and more as long as the last one took any.
 
     Edges are counted in each task before they are shuffled, and a common context is a sum, never a list.
     """
+    kinds = range(len(KINDS))
     context = F.explode(F.array(
         F.concat(F.lit("l "), "left"), F.concat(F.lit("r "), "right"), F.concat(F.lit("b "), "left", F.lit(" "), "right")
     )).alias("context")
     edges = written(mentions.select("kind", "entity", context).distinct(), "pattern-graph")
-    sizes = edges.groupBy("context").agg(F.count("*").alias("size"), *[F.count_if(F.col("kind") == k).alias(f"seeds{k}") for k in range(len(KINDS))])
-    sizes = sizes.where(F.greatest(*[F.col(f"seeds{k}") for k in range(len(KINDS))]) >= least_seeds)
-    contexts = written(sizes, "contexts")
-    unknown = written(edges.where("kind = -1").join(contexts, "context", "left_semi").select("entity", "context"), "unknown")
-    gained = None  # by context and kind: the scores of its unknown entities, summed up
-    for _ in range(rounds):
-        scores = contexts if gained is None else contexts.join(gained, "context", "left")
-        each = [
-            F.when(F.col(f"seeds{k}") >= least_seeds, (F.col(f"seeds{k}") + (F.lit(0) if gained is None else F.coalesce(f"gain{k}", F.lit(0)))) / (F.col("size") + 1)).otherwise(0).alias(f"score{k}")
-            for k in range(len(KINDS))
-        ]
-        scores = scores.select("context", *each)
-        entities = unknown.join(scores, "context").groupBy("entity").agg(
-            *[(1 - F.exp(F.sum(F.log1p(-F.least(F.col(f"score{k}"), F.lit(0.999)))))).alias(f"score{k}") for k in range(len(KINDS))],
-            *[F.count_if(F.col(f"score{k}") >= 0.5).alias(f"patterns{k}") for k in range(len(KINDS))],
+    contexts = edges.groupBy("context").agg(F.count("*").alias("size"), *[F.count_if(F.col("kind") == k).alias(f"seeds{k}") for k in kinds])
+    contexts = written(contexts, "contexts")
+    unknown = written(edges.where("kind = -1").select("entity", "context"), "unknown")
+    entities, taken, done = None, 0, 0
+    while True:
+        scores = contexts.withColumns({f"sum{k}": F.col(f"seeds{k}").cast("double") for k in kinds})
+        if entities is not None:
+            is_seed = F.col("taken").isNotNull()
+            gained = unknown.join(entities, "entity").groupBy("context").agg(
+                *[F.count_if(F.col("taken") == k).alias(f"more{k}") for k in kinds],
+                *[F.sum(F.when(is_seed, (F.col("taken") == k).cast("double")).otherwise(F.col(f"score{k}"))).alias(f"gain{k}") for k in kinds],
+            )
+            zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+            scores = contexts.join(gained, "context", "left").select(
+                "context", "size", *[(F.col(f"seeds{k}") + zero(f"more{k}")).alias(f"seeds{k}") for k in kinds],
+                *[(F.col(f"seeds{k}") + zero(f"gain{k}")).alias(f"sum{k}") for k in kinds],
+            )
+        scores = scores.where(F.greatest(*[F.col(f"seeds{k}") for k in kinds]) >= least_seeds).select(
+            "context", *[F.when(F.col(f"seeds{k}") >= least_seeds, F.col(f"sum{k}") / (F.col("size") + 1)).otherwise(0.0).alias(f"score{k}") for k in kinds]
         )
-        entities = written(entities, "entities")
-        gained = unknown.join(entities, "entity").groupBy("context").agg(*[F.sum(f"score{k}").alias(f"gain{k}") for k in range(len(KINDS))])
-    best = F.array_max(F.array(*[F.struct(F.col(f"score{k}").alias("score"), F.lit(k).alias("kind"), F.col(f"patterns{k}").alias("patterns")) for k in range(len(KINDS))]))
-    total = reduce(lambda a, b: a + b, [F.col(f"score{k}") for k in range(len(KINDS))])
-    taken = entities.select("entity", best.alias("best"), total.alias("total")).where(
-        (F.col("best.score") >= confident) & (F.col("best.score") >= confident * F.col("total")) & (F.col("best.patterns") >= 2)
-    )
-    return taken.select("entity", F.col("best.kind").alias("kind"))
+        scored = unknown.join(written(scores, "scores"), "context").groupBy("entity").agg(
+            *[(1 - F.exp(F.sum(F.log1p(-F.least(F.col(f"score{k}"), F.lit(0.999)))))).alias(f"score{k}") for k in kinds],
+            *[F.count_if(F.col(f"score{k}") >= 0.5).alias(f"patterns{k}") for k in kinds],
+        )
+        scored = written(scored, "scored")  # so that the planner does not carry the rounds' conditions on
+        best = F.array_max(F.array(*[F.struct(F.col(f"score{k}").alias("score"), F.lit(k).alias("kind"), F.col(f"patterns{k}").alias("patterns")) for k in kinds]))
+        total = reduce(lambda a, b: a + b, [F.col(f"score{k}") for k in kinds])
+        sure = (F.col("best.score") >= confident) & (F.col("best.score") >= confident * total) & (F.col("best.patterns") >= 2)
+        scored = scored.withColumn("best", best).withColumn("now", F.when(sure, F.col("best.kind")))
+        if entities is not None:  # a seed stays one
+            scored = scored.join(entities.select("entity", F.col("taken").alias("before")), "entity", "left").withColumn("now", F.coalesce("before", "now"))
+        entities = written(scored.select("entity", *[f"score{k}" for k in kinds], F.col("now").alias("taken")), "entities")
+        before, taken, done = taken, entities.where("taken is not null").count(), done + 1
+        if done >= rounds and taken == before or entities.isEmpty():
+            return entities.where("taken is not null").select("entity", F.col("taken").alias("kind"))
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

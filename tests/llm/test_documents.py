@@ -371,6 +371,15 @@ def test_contexts_discover_identifiers_that_no_pattern_finds(spark):
     assert got[0] == ",".join(base_spans(rows[0][1]))
 
 
+def test_discovered_identifiers_are_seeds_of_new_contexts(spark):
+    seeds = [(0, f"person{i}@mail.example", "write", "today") for i in range(40)]
+    first = [(-1, f"first{i}(at)mail", left, right) for i in range(8) for left, right in (("write", "today"), ("ask", "soon"))]
+    later = [(-1, f"later{i}(at)mail", left, right) for i in range(6) for left, right in (("ask", "soon"), ("tell", "never"))]
+    last = [(-1, "last(at)mail", "tell", "never"), (-1, "room77", "in", "never")]
+    got = discovered(spark.createDataFrame(seeds + first + later + last, "kind int, entity string, left string, right string")).collect()
+    assert {(r["entity"], r["kind"]) for r in got} == {(r[1], 0) for r in first + later} | {("last(at)mail", 0)}
+
+
 def test_contexts_shared_by_kinds_discover_nothing(spark):
     mentions = [(k, f"entity{k}-{i}", "the", "and") for k in range(4) for i in range(20)] + [(-1, "stranger1", "the", "and")]
     assert discovered(spark.createDataFrame(mentions, "kind int, entity string, left string, right string")).count() == 0
