@@ -8,6 +8,7 @@ from starfeed.llm.bpe_automaton import encoded
 from starfeed.llm.hamming_search import sign_code, top_k
 from starfeed.llm.jaccard_join import jaccard_classes
 from starfeed.llm.packing import pack
+from starfeed.llm.periodic_runs import periodic_runs, with_planted_runs
 from starfeed.llm.perplexity import judged
 from starfeed.llm.pii import KINDS, count_of, listed, personal_data
 from starfeed.llm.pitman_yor import scored
@@ -66,6 +67,28 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op11_recompression_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents with repetitions planted in a tenth of them: their runs, and the one with the most periods."""
+    docs = with_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    rows = periodic_runs(docs, keep=[F.col("doc_id")])
+    longest = F.expr(
+        "aggregate(runs, cast(null as struct<start: long, length: long, period: long>),"
+        " (best, r) -> if(best is null or r.length * best.period > best.length * r.period, r, best))"
+    )
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    text = F.array_join(F.transform(lines, lambda line: F.concat(line, F.lit("\n"))), "")
+    return rows.withColumn("longest", longest).select(
+        "_row.doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "longest.start",
+        "longest.length",
+        "longest.period",
+        F.expr("1000 * longest.length div longest.period").alias("exponent_milli"),
+        F.sha2(text, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_warc_capture_index": op1_warc_capture_index,
     "op2_concat_and_cut": op2_concat_and_cut,
@@ -77,6 +100,7 @@ QUERIES = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_bootstrapped_pii": op9_bootstrapped_pii,
     "op10_bpe_automaton": op10_bpe_automaton,
+    "op11_recompression_runs": op11_recompression_runs,
 }
 
 #: DuckDB statements, for the queries that SQL can express.
