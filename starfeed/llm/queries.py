@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starfeed.llm.bpe_automaton import encoded
+from starfeed.llm.conversation_repair import damaged, digests, repaired
 from starfeed.llm.hamming_search import sign_code, top_k
 from starfeed.llm.jaccard_join import jaccard_classes
 from starfeed.llm.packing import pack
@@ -89,6 +90,18 @@ def op11_recompression_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_lattice_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged and repaired; one that lost all its rows has nothing to repair."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    repair = repaired(damaged(turns))
+    result = repair.conversations.join(digests(repair.rows).withColumnRenamed("conv_id", "of"), F.col("conv_id").eqNullSafe(F.col("of")), "left").drop("of")
+    all_ids = turns.select(F.col("conv_id").cast("long").alias("id")).distinct()
+    rows = all_ids.join(result, F.col("id").eqNullSafe(F.col("conv_id")), "left")
+    numbers = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    empty = F.sha2(F.lit(""), 256)
+    return rows.select(F.col("id").alias("conv_id"), *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", empty).alias("repaired_sha256"))
+
+
 QUERIES = {
     "op1_warc_capture_index": op1_warc_capture_index,
     "op2_concat_and_cut": op2_concat_and_cut,
@@ -101,6 +114,7 @@ QUERIES = {
     "op9_bootstrapped_pii": op9_bootstrapped_pii,
     "op10_bpe_automaton": op10_bpe_automaton,
     "op11_recompression_runs": op11_recompression_runs,
+    "op13_lattice_repair": op13_lattice_repair,
 }
 
 #: DuckDB statements, for the queries that SQL can express.
