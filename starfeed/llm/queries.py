@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starfeed.llm.bpe_automaton import encoded
 from starfeed.llm.conversation_repair import damaged, digests, repaired
+from starfeed.llm.embedding_dedup import near_duplicates
 from starfeed.llm.hamming_search import sign_code, top_k
 from starfeed.llm.jaccard_join import jaccard_classes
 from starfeed.llm.packing import pack
@@ -90,6 +91,10 @@ def op11_recompression_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op13_lattice_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, damaged and repaired; one that lost all its rows has nothing to repair."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -114,6 +119,7 @@ QUERIES = {
     "op9_bootstrapped_pii": op9_bootstrapped_pii,
     "op10_bpe_automaton": op10_bpe_automaton,
     "op11_recompression_runs": op11_recompression_runs,
+    "op12_cross_polytope": op12_cross_polytope,
     "op13_lattice_repair": op13_lattice_repair,
 }
 
@@ -174,4 +180,24 @@ ORACLE: dict[str, str] = {
             case when len(ws) > 0 then count(*) over (partition by w.text) else 1 end as n_copies
         from w join classes using (doc_id) left join different using (doc_id)
     """,
+    "op12_cross_polytope": """
+        with recursive v as (
+            select row_number() over () as i, vec_id, cast(embedding as double[]) as e, list_sum(list_transform(e, lambda x: x * x)) as n from embeddings
+        ), good as (
+            select * from v where n > 0 and isfinite(n) and len(list_filter(e, lambda x: x is null)) = 0
+        ), links as (
+            select a.i as x, b.i as y from good a join good b on a.i <> b.i and len(a.e) = len(b.e)
+            where list_dot_product(a.e, b.e) >= 0.9 * sqrt(a.n) * sqrt(b.n)
+        ), reach as (
+            select i as x, i as y from v
+            union
+            select r.x, l.y from reach r join links l on r.y = l.x
+        ), named as (
+            select x as i, min(vec_id) as component_id from reach join v on v.i = y group by x
+        ), degree as (
+            select x as i, count(*) as n_links from links group by x
+        )
+        select vec_id, coalesce(n_links, 0) as n_links, component_id, coalesce(vec_id = component_id, false) as kept
+        from v join named using (i) left join degree using (i)
+    """,
 }
