@@ -88,7 +88,7 @@ def cut(placed_tokens: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def pack(docs: DataFrame, window: int = WINDOW, **options) -> DataFrame:
     """The pieces of all documents. Repeated rows are packed as often as they occur; an empty
-    text is its end id alone; an empty table gives no pieces."""
+    text is its end id alone; a text of any length is encoded whole, and a task holds its ids; an empty table gives no pieces."""
     return cut(placed(tokenized(docs, **options)), window)
 
 

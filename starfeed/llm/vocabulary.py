@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import regex
 import tiktoken
+from tokenizers import Tokenizer
 
 #: Fixed value: the pattern of byte-level BPE that splits a text into words before the merges.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -39,6 +41,7 @@ class Encoder:
     """The ids that ``Tokenizer.encode(text, add_special_tokens=False)`` gives, a few times faster.
 
     Only for vocabularies whose ids rise with the order of the merges, as byte-level ones do; others are refused.
+    The fast library gives up on a text with a run of about a million spaces; the ids of such a text come from ``Tokenizer`` itself.
     """
 
     def __init__(self, path: str):
@@ -46,12 +49,23 @@ class Encoder:
         made = [m[2] for m in vocabulary.merges]
         if any(a >= b for a, b in zip(made, made[1:])):
             raise ValueError(f"{path}: ids do not rise with the order of the merges")
+        self.path = path
         self.encoding = tiktoken.Encoding(
             "vocabulary", pat_str=SPLIT, mergeable_ranks=vocabulary.ids, special_tokens=vocabulary.special
         )
 
+    @cached_property
+    def tokenizer(self) -> Tokenizer:
+        tokenizer = Tokenizer.from_file(self.path)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        return tokenizer
+
     def one(self, text: str | None) -> np.ndarray:
-        return self.encoding.encode_to_numpy(text or "", allowed_special="all")
+        try:
+            return self.encoding.encode_to_numpy(text or "", allowed_special="all")
+        except ValueError:  # its regular expressions have run out of room
+            return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
 class SplitWords:

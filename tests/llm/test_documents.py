@@ -20,6 +20,7 @@ from starfeed.llm.perplexity import END, START, judged, train as train_kneser_ne
 from starfeed.llm.pii import discovered, listed, personal_data
 from starfeed.llm.pitman_yor import _source, held_out, scored, seat, train as train_pitman_yor
 from starfeed.llm.secrets import FEATURES, Reader, findings, redacted
+from starfeed.llm.vocabulary import Encoder
 
 SMALL = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -137,6 +138,18 @@ def test_packing_round_trip(spark, window):
         assert np.concatenate([put_together[i] for i in sorted(put_together)]).tolist() == whole.tolist()
 
 
+@pytest.mark.parametrize("run", [" ", "\n", "\t", "a", " \n", "é"])
+def test_very_long_runs(run):
+    text = "start" + run * (1_500_000 // len(run)) + "end"
+    assert Encoder(VOCABULARY).one(text).tolist() == Tokenizer.from_file(VOCABULARY).encode(text, add_special_tokens=False).ids
+
+
+def test_a_very_long_run_is_packed(spark):
+    rows = [(1, "start" + " " * 1_200_000 + "end", "en", "s"), (2, "short", "en", "s")]
+    pieces = pack(documents(spark, rows)).collect()
+    assert sum(r["length"] for r in pieces) == sum(len(expected_ids(r[1])) for r in rows)
+
+
 # ---- encoding -------------------------------------------------------------------------
 
 
