@@ -9,7 +9,6 @@ from functools import cached_property
 import numpy as np
 import regex
 import tiktoken
-from tokenizers import Tokenizer
 
 #: Fixed value: the pattern of byte-level BPE that splits a text into words before the merges.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -55,7 +54,9 @@ class Encoder:
         )
 
     @cached_property
-    def tokenizer(self) -> Tokenizer:
+    def tokenizer(self):
+        from tokenizers import Tokenizer  # workers that never need it do not hold it
+
         tokenizer = Tokenizer.from_file(self.path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
