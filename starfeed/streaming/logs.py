@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from starfeed.sources.jdbc import Database
-from starfeed.workspace import written
+from starfeed.workspace import read_if_there, removed, written
 
-QUERY, BATCH = "query_id", "batch_id"
+QUERY, BATCH, DAY = "query_id", "batch_id", "day"
 
 
 def query_id(batch: DataFrame) -> str:
@@ -19,18 +20,101 @@ def query_id(batch: DataFrame) -> str:
     return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "by-hand"
 
 
+PUBLISHED = "published"
+PUBLISHED_COLUMNS = f"number int, pieces array<struct<folder: string, level: int, {DAY}: date>>, upto map<string, long>, gone array<string>"
+
+
 @dataclass(frozen=True)
 class ParquetLog:
     """One folder per query and micro-batch, replaced when the batch is run again. Any number of
-    queries, one after the other or at once, may write to a path, each with its own checkpoint."""
+    queries, one after the other or at once, may write to a path, each with its own checkpoint.
+
+    ``merge`` puts finished batches together into pieces, one folder for each day on which their messages were taken in, and pieces of a day into
+    larger ones, ``fan`` at a time: n batches become about ``fan`` times the logarithm of n pieces a day, and a row is rewritten as often
+    as that logarithm. It may run beside the queries, one merge at a time. Its last line says up to which batch of each query the pieces
+    hold the rows, and which pieces count; a batch that its query may still run again, the last one, is never merged. Folders that it replaces
+    are removed by the merge after next, so that readers who have begun can end.
+    """
 
     path: str
+    stamp: str = "ingestion_time"
+    fan: int = 10
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{self.path}/{QUERY}={query_id(batch)}/{BATCH}={batch_id}")
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path).drop(QUERY, BATCH)
+        last = self._published(spark)
+        batches = self._rest(spark, last)
+        pieces = [p["folder"] for p in last["pieces"]] if last else []
+        parts = [batches.drop(QUERY, BATCH)] if batches is not None else []
+        if pieces:
+            parts.append(spark.read.parquet(*[f"{self._merged()}/{p}" for p in pieces]))
+        if not parts:
+            raise ValueError(f"no messages at {self.path} yet")
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+    def merge(self, spark: SparkSession) -> int:
+        """Merges what is finished; returns how many batches that were."""
+        last = self._published(spark)
+        rest = self._rest(spark, last)
+        if rest is None:
+            return 0
+        newest = {r[QUERY]: r[BATCH] for r in rest.select(QUERY, BATCH).groupBy(QUERY).agg(F.max(BATCH).alias(BATCH)).collect()}
+        found = rest.select(QUERY, BATCH).distinct().collect()  # one line for each batch since the last merge
+        done = [r for r in found if r[BATCH] < newest[r[QUERY]]]
+        if not done:
+            return 0
+        number = (last["number"] if last else 0) + 1
+        upto = dict(last["upto"]) if last else {}
+        replaced = [f"{self.path}/{QUERY}={r[QUERY]}/{BATCH}={r[BATCH]}" for r in done]
+        for r in done:
+            upto[r[QUERY]] = max(upto.get(r[QUERY], -1), r[BATCH])
+        rows = spark.read.parquet(*replaced)
+        pieces = [(p["folder"], p["level"], p[DAY]) for p in last["pieces"]] if last else []
+        pieces += self._pieces(rows, number, 0)
+        for level in range(64):
+            of_day: dict = {}
+            for piece in pieces:
+                if piece[1] == level:
+                    of_day.setdefault(piece[2], []).append(piece)
+            full = [p for group in of_day.values() if len(group) >= self.fan for p in group]
+            if not full:
+                break
+            larger = self._pieces(spark.read.parquet(*[f"{self._merged()}/{p[0]}" for p in full]), number, level + 1)
+            pieces = [p for p in pieces if p not in full] + larger
+            replaced += [f"{self._merged()}/{p[0]}" for p in full]
+        line = spark.createDataFrame([(number, pieces, upto, replaced)], PUBLISHED_COLUMNS)
+        line.coalesce(1).write.mode("overwrite").parquet(f"{self._merged()}/{PUBLISHED}/at={number}")
+        removed(spark, [*(last["gone"] if last else []), f"{self._merged()}/{PUBLISHED}/at={number - 2}"])
+        return len(done)
+
+    def _merged(self) -> str:
+        return f"{self.path.rstrip('/')}-merged"
+
+    def _published(self, spark: SparkSession) -> Row | None:
+        """The line of the last merge."""
+        lines = read_if_there(spark, f"{self._merged()}/{PUBLISHED}", PUBLISHED_COLUMNS)
+        return None if lines is None else max(lines.collect(), key=lambda line: line["number"], default=None)
+
+    def _rest(self, spark: SparkSession, last: Row | None) -> DataFrame | None:
+        """The batches that no piece holds, with their query and number."""
+        batches = read_if_there(spark, self.path)
+        if batches is None:
+            return None
+        batches = batches.withColumns({QUERY: F.col(QUERY).cast("string"), BATCH: F.col(BATCH).cast("long")})
+        for query, batch in (last["upto"] if last else {}).items():
+            batches = batches.where((F.col(QUERY) != query) | (F.col(BATCH) > batch))
+        return batches
+
+    def _pieces(self, rows: DataFrame, number: int, level: int) -> list[tuple]:
+        """Writes rows as one piece for each day."""
+        base = f"merge={number}/level={level}"
+        dated = rows.withColumn(DAY, F.to_date(self.stamp)).hint("rebalance", DAY)
+        path = f"{self._merged()}/{base}"
+        dated.write.mode("overwrite").partitionBy(DAY).parquet(path)
+        days = rows.sparkSession.read.parquet(path).select(F.col(DAY).cast("date")).distinct().collect()
+        return [(f"{base}/{DAY}={'__HIVE_DEFAULT_PARTITION__' if r[0] is None else r[0]}", level, r[0]) for r in days]
 
 
 @dataclass(frozen=True)

@@ -2,65 +2,168 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starfeed.operators.latest import latest_by_key
+from starfeed.sources.jdbc import Database
 from starfeed.streaming.logs import BATCH, QUERY, query_id
-from starfeed.workspace import read_if_there
+from starfeed.workspace import read_if_there, removed, written
+
+PART, VERSION = "part", "version"
+FOLDED, FOLDED_COLUMNS = "folded", "part int, version int, rows long"
 
 
 @dataclass(frozen=True)
 class LatestState:
-    """Upserts on Parquet. Each micro-batch is reduced to one row per key and stored as
-    a change; every ``fold_every`` batches the changes of the running era are merged into a new
-    full state, and the next era begins. A batch so costs what it changes, and a reader takes the last full
-    state and the changes of the running era, never the whole history.
+    """Upserts on Parquet, in ``parts`` by the hash of the key. Each micro-batch is reduced to one row per key and stored as
+    changes of the parts it touches. A part is folded, that is, its changes are merged into a new full version of it, when they are more
+    than ``share`` of its rows, or every ``fold_every`` batches if it has any by then; the other parts stay as they are. A batch so costs what it
+    changes, and a reader takes of each part the last full version and the changes since, never the whole history. Versions before the last two
+    are removed.
 
-    ``order`` names the columns that decide which message is the last one; they must
+    ``order`` names the columns that decide which message is the last one; they should
     leave no ties. Late messages do not displace later ones. Messages without a key
-    have no state. Eras are counted in the state itself, so a query with a new checkpoint, or another
-    ``fold_every``, goes on where the state is; one query writes at a time. A batch
-    that is run again after its era was folded becomes a change of the running era, which alters nothing.
+    have no state. Versions are counted in the state itself, so a query with a new checkpoint, or another
+    ``fold_every``, goes on where the state is; ``parts`` stays as it was first. One query writes at a time. A batch
+    that is run again after a part was folded becomes a change of its new version, which alters nothing.
     """
 
     path: str
     key: str
     order: Sequence[str]
     fold_every: int = 20
+    parts: int = 32
+    share: float = 0.25
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        era = self._folded(spark) + 1
-        changes = latest_by_key(batch.where(F.col(self.key).isNotNull()), self.key, self.order)
-        changes.write.mode("overwrite").parquet(f"{self._changes(era)}/{QUERY}={query_id(batch)}/{BATCH}={batch_id}")
-        if (batch_id + 1) % self.fold_every == 0:
-            self._state(spark, era - 1).write.mode("overwrite").parquet(self._full(era))
-            done = spark.createDataFrame([(era,)], "era long")
-            done.coalesce(1).write.mode("append").parquet(f"{self.path}/folded")
+        folded = self._folded(spark)
+        known = written(batch.where(F.col(self.key).isNotNull()), "batch")  # the source is read once
+        changes = latest_by_key(known, self.key, self.order)
+        part = F.pmod(F.xxhash64(F.col(self.key).cast("string")), F.lit(self.parts)).cast("int")
+        versions = F.create_map(*[F.lit(x) for p, (version, _) in folded.items() for x in (p, version)]) if folded else None
+        version = F.lit(0) if versions is None else F.coalesce(F.element_at(versions, F.col(PART)), F.lit(0))
+        dealt = changes.withColumn(PART, part).withColumns(
+            {VERSION: version.cast("int"), QUERY: F.lit(query_id(batch)), BATCH: F.lit(batch_id).cast("long")}
+        )
+        writer = dealt.repartition(PART).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(PART, VERSION, QUERY, BATCH).parquet(f"{self.path}/changes")
+        self._fold(spark, folded, (batch_id + 1) % self.fold_every == 0)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return self._state(spark, self._folded(spark))
+        folded = self._folded(spark)
+        changed = self._changed(spark, folded)
+        if not folded and not changed:
+            raise ValueError(f"no state at {self.path} yet")
+        return self._state(spark, folded, changed, {*folded, *changed})
+
+    # ---- parts ----
 
-    def _state(self, spark: SparkSession, era: int) -> DataFrame:
-        """The full state at the end of ``era`` with the changes of the next one."""
-        full = spark.read.parquet(self._full(era)) if era >= 0 else None
-        changes = read_if_there(spark, self._changes(era + 1))
+    def _folded(self, spark: SparkSession) -> dict[int, tuple[int, int]]:
+        """part -> (its last full version, the rows of that)."""
+        lines = read_if_there(spark, f"{self.path}/{FOLDED}", FOLDED_COLUMNS)
+        if lines is None:
+            return {}
+        last = lines.groupBy(PART).agg(F.max(F.struct(VERSION, "rows")).alias("last"))
+        return {row[PART]: (row["last"][VERSION], row["last"]["rows"]) for row in last.collect()}
+
+    def _changed(self, spark: SparkSession, folded: Mapping[int, tuple[int, int]]) -> dict[int, int]:
+        """part -> the rows of its changes since, counted from the files' footers."""
+        changes = read_if_there(spark, f"{self.path}/changes")
         if changes is None:
-            if full is None:
-                raise ValueError(f"no state at {self.path} yet")
-            return full
-        changes = changes.drop(QUERY, BATCH)
-        return latest_by_key(changes if full is None else full.unionByName(changes), self.key, self.order)
+            return {}
+        counts = changes.groupBy(PART, VERSION).agg(F.count(F.lit(1)).alias("rows")).collect()
+        return {r[PART]: r["rows"] for r in counts if r[VERSION] == folded.get(r[PART], (0, 0))[0]}
+
+    def _state(
+        self, spark: SparkSession, folded: Mapping[int, tuple[int, int]], changed: Mapping[int, int], parts: Iterable[int]
+    ) -> DataFrame:
+        """The state of some parts; only those with changes are reduced."""
+        def some(kind: str, wanted: Iterable[int]) -> list[DataFrame]:
+            paths = [f"{self.path}/{kind}/{PART}={p}/{VERSION}={folded.get(p, (0, 0))[0]}" for p in sorted(wanted)]
+            if not paths:
+                return []
+            df = spark.read.option("basePath", f"{self.path}/{kind}").parquet(*paths)
+            return [df.drop(PART, VERSION, QUERY, BATCH)]
+
+        parts = set(parts)
+        still = some("full", [p for p in parts if p in folded and p not in changed])
+        moved = some("full", [p for p in parts if p in folded and p in changed]) + some("changes", [p for p in parts if p in changed])
+        if moved:
+            still.append(latest_by_key(reduce(DataFrame.unionByName, moved), self.key, self.order))
+        return reduce(DataFrame.unionByName, still)
+
+    def _fold(self, spark: SparkSession, folded: Mapping[int, tuple[int, int]], all_parts: bool) -> None:
+        changed = self._changed(spark, folded)
+        due = {p for p, rows in changed.items() if all_parts or (p in folded and rows > self.share * folded[p][1])}
+        if not due:
+            return
+        part = F.pmod(F.xxhash64(F.col(self.key).cast("string")), F.lit(self.parts)).cast("int")
+        next_of = F.create_map(*[F.lit(x) for p in sorted(due) for x in (p, folded.get(p, (0, 0))[0] + 1)])
+        full = self._state(spark, folded, changed, due).withColumn(PART, part).withColumn(VERSION, F.element_at(next_of, F.col(PART)))
+        writer = full.repartition(PART).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(PART, VERSION).parquet(f"{self.path}/full")
+        versions = {p: folded.get(p, (0, 0))[0] + 1 for p in due}
+        paths = [f"{self.path}/full/{PART}={p}/{VERSION}={v}" for p, v in sorted(versions.items())]
+        counted = spark.read.option("basePath", f"{self.path}/full").parquet(*paths).groupBy(PART, VERSION).agg(F.count(F.lit(1)).alias("rows"))
+        lines = spark.createDataFrame([(r[PART], r[VERSION], r["rows"]) for r in counted.collect()], FOLDED_COLUMNS)
+        lines.coalesce(1).write.mode("append").parquet(f"{self.path}/{FOLDED}")
+        old = [f"{PART}={p}/{VERSION}={v - 2}" for p, v in versions.items() if v >= 2]
+        removed(spark, [f"{self.path}/{kind}/{folder}" for folder in old for kind in ("full", "changes")])
+
+
+ATTEMPT, NOTE_COLUMNS = "attempt", "attempt long, era int, full boolean"
+
+
+@dataclass(frozen=True)
+class JdbcState:
+    """The same upsert in a database that is only appended to.
 
-    def _folded(self, spark: SparkSession) -> int:
-        eras = read_if_there(spark, f"{self.path}/folded", "era long")
-        return -1 if eras is None else eras.agg(F.max("era")).first()[0]
+    Each micro-batch is reduced to one row per key and added under an attempt of its own; the table of notes, written last, publishes it. Every
+    ``fold_every`` batches the whole state is added as a new era. A reader takes the rows of the last era and of the attempts
+    noted since, a bounded number that the database selects, and of each key the last by ``order``, so late messages do not displace later ones, a batch
+    that was cut off is not seen, and one that is run again alters nothing. Rows of eras before the last may be deleted at any time.
+    One query writes at a time; messages without a key have no state.
+    """
+
+    database: Database
+    table: str
+    key: str
+    order: Sequence[str]
+    fold_every: int = 20
+
+    def write(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        known = written(batch.where(F.col(self.key).isNotNull()), "batch")
+        era, _ = self._current(spark)
+        self._add(spark, latest_by_key(known, self.key, self.order), era, False)
+        if (batch_id + 1) % self.fold_every == 0:
+            self._add(spark, self.read(spark), era + 1, True)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        _, attempts = self._current(spark)
+        if not attempts:
+            raise ValueError(f"no state in {self.table} yet")
+        rows = self.database.read(spark, self.table).where(F.col(ATTEMPT).isin(attempts))
+        return latest_by_key(written(rows.drop(ATTEMPT), "state"), self.key, self.order)
 
-    def _changes(self, era: int) -> str:
-        return f"{self.path}/changes/era={era}"
+    def _current(self, spark: SparkSession) -> tuple[int, list[int]]:
+        """The last era, and the attempts that make up the state."""
+        notes = f"{self.table}_notes"
+        if not self.database.exists(spark, notes):
+            return 0, []
+        lines = self.database.read(spark, notes)
+        era = lines.agg(F.max("era")).first()[0]
+        return era, sorted(row[ATTEMPT] for row in lines.where(F.col("era") == era).collect())
 
-    def _full(self, era: int) -> str:
-        return f"{self.path}/full/era={era}"
+    def _add(self, spark: SparkSession, rows: DataFrame, era: int, full: bool) -> None:
+        attempt = uuid.uuid4().int >> 66  # 62 bits
+        # worked out before the table changes, which a lost task would otherwise see
+        self.database.append(written(rows.withColumn(ATTEMPT, F.lit(attempt)), "changes"), self.table)
+        note = spark.createDataFrame([(attempt, era, full)], NOTE_COLUMNS)
+        self.database.append(note.coalesce(1), f"{self.table}_notes")

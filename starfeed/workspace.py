@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -15,7 +17,7 @@ def work_dir(spark: SparkSession, label: str) -> str:
     all executors are on the driver's machine and see it."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="starfeed-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
@@ -38,3 +40,10 @@ def read_if_there(spark: SparkSession, path: str, schema: T.StructType | str | N
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
+
+
+def removed(spark: SparkSession, folders: Iterable[str]) -> None:
+    """Deletes folders that nothing refers to any more; those that are not there are passed over."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starfeed.sources import Database, read_messages
 from starfeed.streaming import (
-    LOCATIONS, STATUSES, JdbcLog, LatestState, ParquetLog, await_feeds, parse_messages, run_feeds,
+    LOCATIONS, STATUSES, JdbcLog, JdbcState, LatestState, ParquetLog, await_feeds, parse_messages, run_feeds,
     start_feed,
 )
 
@@ -157,6 +157,118 @@ def test_fold_every_may_change(spark, tmp_path):
     assert {r["repartidor_id"]: r["latitud"] for r in state.read(spark).collect()} == {"a": 2.0, "k0": 0.0, "k1": 0.0, "k2": 0.0}
 
 
+def by_hand(spark, *rows):
+    bodies = spark.createDataFrame([(location(*r),) for r in rows], "value string")
+    return parse_messages(bodies, LOCATIONS)
+
+
+def files_below(path):
+    return {os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+
+
+def test_a_batch_rewrites_the_parts_it_changes(spark, tmp_path):
+    state = LatestState(str(tmp_path / "out"), "repartidor_id", ["timestamp", "latitud"], fold_every=2, parts=8, share=10.0)
+    drivers = [f"d{i}" for i in range(40)]
+    for batch_id in range(2):
+        state.write(by_hand(spark, *[(d, float(batch_id), batch_id) for d in drivers]), batch_id)
+    before = files_below(tmp_path / "out" / "full")
+    assert len({f.split("part=")[1].split("/")[0] for f in before}) == 8
+    for batch_id in range(2, 12):
+        state.write(by_hand(spark, ("d0", 5.0, batch_id), ("new", 1.0, batch_id)), batch_id)
+    after = files_below(tmp_path / "out" / "full")
+    touched = {f.split("part=")[1].split("/")[0] for f in after - before}
+    assert 1 <= len(touched) <= 2
+    kept = {f for f in before if f.split("part=")[1].split("/")[0] not in touched}
+    assert kept < after
+    # of a part that was folded often, the last two versions stay
+    for kind in ("full", "changes"):
+        for part in touched:
+            assert len(os.listdir(tmp_path / "out" / kind / f"part={part}")) <= 2
+    got = {r["repartidor_id"]: r["latitud"] for r in state.read(spark).collect()}
+    assert got == {**{d: 1.0 for d in drivers}, "d0": 5.0, "new": 1.0}
+
+
+def test_a_part_is_folded_when_its_changes_outgrow_a_share(spark, tmp_path):
+    state = LatestState(str(tmp_path / "out"), "repartidor_id", ["timestamp", "latitud"], fold_every=1000, parts=1, share=0.5)
+    state.write(by_hand(spark, *[(f"d{i}", 0.0, 0) for i in range(4)]), 999)
+    assert state._folded(spark) == {0: (1, 4)}
+    state.write(by_hand(spark, ("d0", 1.0, 1)), 1000)
+    assert state._folded(spark) == {0: (1, 4)}
+    state.write(by_hand(spark, ("d1", 1.0, 1), ("d2", 1.0, 1)), 1001)
+    assert state._folded(spark) == {0: (2, 4)}
+    assert sorted(r["latitud"] for r in state.read(spark).collect()) == [0.0, 1.0, 1.0, 1.0]
+
+
+def test_merged_logs_keep_rows_and_few_files(spark, tmp_path):
+    log, other = ParquetLog(str(tmp_path / "out"), fan=3), "second"
+    days = ["2024-01-01 10:00:00", "2024-01-02 10:00:00"]
+    rows = lambda n, day: by_hand(spark, *[(f"d{n}", float(n), 1)] * 2).withColumn("ingestion_time", F.lit(day).cast("timestamp"))
+    assert log.merge(spark) == 0
+    counts = []
+    for n in range(36):
+        log.write(rows(n, days[n // 18]), n)
+        if n % 2:
+            log.merge(spark)
+            counts.append(len(files_below(tmp_path)))
+            if n in (5, 11, 35):
+                assert sorted(r["latitud"] for r in log.read(spark).collect()) == [float(x) for x in range(n + 1) for _ in "ab"]
+    assert max(counts[len(counts) // 2 :]) <= 40 and log._published(spark)["upto"] == {"by-hand": 34}
+    # the last batch may be run again, and another query may write beside
+    log.write(rows(99, days[1]), 35)
+    spark.sparkContext.setLocalProperty("sql.streaming.queryId", other)
+    try:
+        log.write(rows(7, days[0]), 0)
+    finally:
+        spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
+    assert log.merge(spark) == 0
+    want = [float(x) for x in [*range(35), 99, 7] for _ in "ab"]
+    assert sorted(r["latitud"] for r in log.read(spark).collect()) == sorted(want)
+    with pytest.raises(ValueError):
+        ParquetLog(str(tmp_path / "none")).read(spark)
+
+
+def test_readers_that_have_begun_can_end(spark, tmp_path):
+    log = ParquetLog(str(tmp_path / "out"), fan=2)
+    for n in range(4):
+        log.write(by_hand(spark, (f"d{n}", float(n), 1)), n)
+    reading = log.read(spark)
+    log.merge(spark)
+    assert reading.count() == log.read(spark).count() == 4
+
+
+@pytest.mark.parametrize("fold_every", [1, 2, 20])
+def test_state_in_a_database(spark, tmp_path, database, fold_every, monkeypatch):
+    """Late messages, one batch run again, and one cut off."""
+    put(spark, tmp_path / "in", 0, [location("a", 1.0, 5), location("b", 1.0, 1), location("a", 0.5, 4)])
+    put(spark, tmp_path / "in", 1, [location("a", 2.0, 3), location("c", 2.0, 3), "junk"])  # a: too late
+    put(spark, tmp_path / "in", 2, [location("b", 3.0, 9)])
+    state = JdbcState(database, "ultimas", "repartidor_id", ["timestamp", "latitud"], fold_every)
+    with pytest.raises(ValueError, match="no state"):
+        state.read(spark)
+    run(spark, tmp_path / "in", LOCATIONS, state.write, tmp_path / "cp")
+    want = {"a": 1.0, "b": 3.0, "c": 2.0}
+    read = lambda: {r["repartidor_id"]: r["latitud"] for r in state.read(spark).collect()}
+    assert read() == want and state.read(spark).count() == 3
+    forget_last_commit(tmp_path / "cp")
+    run(spark, tmp_path / "in", LOCATIONS, state.write, tmp_path / "cp")
+    assert read() == want
+
+    append = Database.append
+
+    def cut_off(self, df, table):
+        if table.endswith("_notes"):
+            raise RuntimeError("no room")
+        return append(self, df, table)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Database, "append", cut_off)
+        with pytest.raises(RuntimeError, match="no room"):
+            state.write(by_hand(spark, ("a", 9.0, 50)), 3)
+    assert read() == want
+    state.write(by_hand(spark, ("a", 9.0, 50)), 3)
+    assert read() == {**want, "a": 9.0}
+
+
 def test_two_feeds_at_once(spark, tmp_path):
     put(spark, tmp_path / "a", 0, [location("a", 1.0, 5)])
     put(spark, tmp_path / "b", 0, [say(pedido_id="1", estado="LISTO", timestamp="2024-01-01T00:00:00Z")])
