@@ -5,20 +5,22 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from starfeed.functions import calendar_columns, to_day
 from starfeed.operators.incremental import PROBE_ROWS, new_rows
+from starfeed.workspace import written
 
 
 @dataclass(frozen=True)
 class Dimension:
     """``columns``: source column -> output column; empty passes all columns
-    through, with ``renames`` applied where the column exists."""
+    through, with ``renames`` applied where the column exists. ``wide``: rows may hold whole pages."""
 
     source: str
     columns: Mapping[str, str] = field(default_factory=dict)
     renames: Mapping[str, str] = field(default_factory=dict)
+    wide: bool = False
 
 
 def _same(*names: str) -> dict[str, str]:
@@ -48,7 +50,7 @@ DIMENSIONS: dict[str, Dimension] = {
     "dim_tenants": Dimension("tenants"),
     "dim_catalogos": Dimension("catalogos"),
     "dim_promociones": Dimension("promociones"),
-    "dim_imagenes_producto": Dimension("imagenes_producto"),
+    "dim_imagenes_producto": Dimension("imagenes_producto", wide=True),
     "dim_datos_contacto": Dimension("datos_contacto"),
     "dim_fecha": Dimension("pedidos", {"fechaCreacion": "fecha"}),
     "dim_ratings": Dimension(
@@ -74,15 +76,49 @@ def calendar(orders: DataFrame, column: str, day: str) -> DataFrame:
     return days.withColumns(calendar_columns(day))
 
 
-def build_dimension(name: str, inputs: Mapping[str, DataFrame]) -> DataFrame:
-    """One dimension from the loaded sources. Whole-row duplicates go; rows that share
-    a key but differ elsewhere all stay."""
+def dimension_rows(name: str, inputs: Mapping[str, DataFrame]) -> DataFrame:
+    """The rows of one dimension with their copies; the calendar, a few thousand dates however many orders, has none."""
     dimension = DIMENSIONS[name]
     source = inputs[dimension.source]
     if name == "dim_fecha":
         [(column, day)] = dimension.columns.items()
         return calendar(source, column, day)
-    return project(dimension, source).dropDuplicates()
+    return project(dimension, source)
+
+
+def whole_rows_once(rows: DataFrame, wide: bool = False) -> DataFrame:
+    """Each whole row once. Rows ``wide`` with text are told apart by digests: only digests are shuffled, rows of a digest that occurs once stay
+    where they are read, and whole rows are compared, and moved, where digests are equal. ``rows`` are then read three times, so they are best a file."""
+    if not wide:
+        return rows.dropDuplicates()
+    columns = [F.col(f"`{c}`") for c in rows.columns]
+    marked = rows.withColumns(digests(columns))
+    on = list(digests(columns))
+    repeated = marked.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*on)
+    repeated = written(repeated, "repeated-digests")
+    once = marked.join(repeated, on, "left_anti").select(*columns)
+    whole = F.struct(*columns)
+    copies = marked.join(repeated, on, "left_semi")
+    groups = written(copies.groupBy(*on).agg(F.min(whole).alias("_low"), F.max(whole).alias("_high")), "repeated-rows")
+    equal = F.col("_low").eqNullSafe(F.col("_high"))
+    result = once.unionByName(groups.where(equal).select("_low.*"))
+    clashes = groups.where(~equal).select(*on)
+    if not clashes.isEmpty():  # different rows of one digest
+        result = result.unionByName(copies.join(clashes, on, "left_semi").select(*columns).dropDuplicates())
+    return result
+
+
+def digests(columns: Sequence[Column]) -> dict[str, Column]:
+    """128 bits of a row; which values are NULL counts, too, as hashes pass over those."""
+    parts = [F.array(*[c.isNull() for c in columns]), *columns]
+    return {"_d1": F.xxhash64(*parts), "_d2": F.xxhash64(F.lit(1), *parts)}
+
+
+def build_dimension(name: str, inputs: Mapping[str, DataFrame]) -> DataFrame:
+    """One dimension from the loaded sources. Whole-row duplicates go; rows that share
+    a key but differ elsewhere all stay."""
+    rows = dimension_rows(name, inputs)
+    return rows if name == "dim_fecha" else whole_rows_once(rows, DIMENSIONS[name].wide)
 
 
 def new_dimension_rows(
@@ -96,8 +132,9 @@ def new_dimension_rows(
 ) -> DataFrame:
     """The rows of a dimension whose key is not stored (see ``new_rows``). Known keys go
     before duplicates do, so only new rows are shuffled whole."""
-    if name == "dim_fecha":  # a few thousand dates, however many orders
-        return new_rows(build_dimension(name, inputs), stored, keys, null_safe)
-    dimension = DIMENSIONS[name]
-    rows = project(dimension, inputs[dimension.source])
-    return new_rows(rows, stored, keys, null_safe, probe=probe, probe_rows=probe_rows).dropDuplicates()
+    rows = dimension_rows(name, inputs)
+    if name == "dim_fecha":
+        return new_rows(rows, stored, keys, null_safe)
+    wide = DIMENSIONS[name].wide
+    unseen = new_rows(rows, stored, keys, null_safe, probe=probe, probe_rows=probe_rows)
+    return whole_rows_once(written(unseen, "unseen-rows") if wide else unseen, wide)

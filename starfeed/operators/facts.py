@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from starfeed.functions import paid_in_crypto, to_day
 from starfeed.operators.dims import build_dimension
-from starfeed.operators.incremental import BROADCAST_KEYS, after_mark, distinct_keys, key_set
+from starfeed.operators.incremental import BROADCAST_KEYS, after_mark, in_one_type, key_set, written_with_keys
 from starfeed.operators.skew import Hot, hot_keys, skew_join
 from starfeed.workspace import written
 
@@ -35,6 +35,11 @@ DIMENSION_KEYS = {
     "repartidores": ("repartidor_id", "asignaciones", "repartidorId"),
 }
 FACT_INPUTS = (*LARGE, *DIMENSION_KEYS)
+# The columns that are joined: what an extract takes for a number, another may take for text.
+JOINED = (
+    [(name, "pedido_id") for name in LARGE],
+    *[[(name, key), (referrer, column)] for name, (key, referrer, column) in DIMENSION_KEYS.items()],
+)
 # The columns the fact takes from the inputs cut down by order id.
 FACT_PARTS = {"pedido_productos": ["producto_id", "precio_unitario"], "asignaciones": ["repartidorId"]}
 
@@ -55,6 +60,15 @@ class FactProfile:
         return f"_row_{name}" if any(self.hot.get(name, {}).values()) else None
 
 
+def with_joinable_keys(inputs: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The inputs with each key in one type wherever it occurs; as they are where the types agree."""
+    out = dict(inputs)
+    for places in JOINED:
+        names, columns = zip(*places)
+        out.update(zip(names, in_one_type([out[n] for n in names], columns)))
+    return out
+
+
 def small_dimensions(inputs: Mapping[str, DataFrame], probe: int = BROADCAST_KEYS) -> frozenset[str]:
     """The dimensions that may be broadcast, after counting them, all at a time."""
 
@@ -71,6 +85,7 @@ def fact_profile(
 ) -> FactProfile:
     """Size up the dimensions, unless ``small`` names those to broadcast, then look for hot keys on the columns that
     will be shuffled (see ``hot_keys``); several inputs at a time."""
+    inputs = with_joinable_keys(inputs)
     with ThreadPoolExecutor(len(FACT_INPUTS)) as pool:
         counted = pool.map(lambda name: inputs[name].count(), LARGE)
         small = small_dimensions(inputs, probe) if small is None else small
@@ -94,11 +109,12 @@ def inputs_after(inputs: Mapping[str, DataFrame], mark: Any, probe: int = BROADC
     """
     if mark is None:
         return dict(inputs)
+    inputs = with_joinable_keys(inputs)
     pedidos = inputs["pedidos"]
     day = "_day"
     new = after_mark(pedidos.withColumn(day, to_day(pedidos, "fechaCreacion")), day, mark).drop(day)
-    cut = {**inputs, "pedidos": written(new, "new-orders")}
-    ids = key_set(distinct_keys(cut["pedidos"], "pedido_id"), probe)
+    orders, ids = written_with_keys(new, "new-orders", "pedido_id", probe)
+    cut = {**inputs, "pedidos": orders}
 
     def slice_of(name: str) -> DataFrame:
         columns = inputs[name].select("pedido_id", *FACT_PARTS[name])
@@ -119,8 +135,10 @@ def fact_orders(inputs: Mapping[str, DataFrame], profile: FactProfile = FactProf
     The narrow line rows meet the products before the wide order rows, so order text
     is shuffled at order grain only, and orders, assignments and lines meet on one
     shared partitioning by order. An input for which ``profile`` names hot keys is written out with a number
-    for each row, which tells its rows apart in the same way when a lost task is run again.
+    for each row, which tells its rows apart in the same way when a lost task is run again. Keys that are numbers in one
+    input and text in another are compared as text, and stay text.
     """
+    inputs = with_joinable_keys(inputs)
     pedidos = inputs["pedidos"]
     columns = {
         "pedido_productos": ["pedido_id", "producto_id", F.col("precio_unitario").alias("total_producto")],

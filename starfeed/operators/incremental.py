@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
+from starfeed.functions.widening import alike, key_text
 from starfeed.operators.skew import Hot, hot_keys, skew_join
 from starfeed.workspace import written
 
@@ -51,16 +52,31 @@ class KeySet:
 def key_set(keys: DataFrame, limit: int) -> KeySet:
     """Count a table of distinct keys. Few are at most ``limit`` rows and, for text keys,
     ``limit * BROADCAST_TEXT`` bytes."""
+    return _measured(keys, limit, keys.agg(*_measures(keys)).first().asDict())
+
+
+def written_with_keys(df: DataFrame, label: str, key: str, limit: int) -> tuple[DataFrame, KeySet]:
+    """``df`` written, and the set of its keys, counted while it is written. Repeated keys count as often as they
+    occur, so a set that is called few is few indeed."""
+    seen = Observation()
+    kept = written(df.observe(seen, *_measures(df.select(key))), label)
+    return kept, _measured(distinct_keys(kept, key), limit, seen.get)
+
+
+def _measures(keys: DataFrame) -> list[Column]:
     text = [c for c, kind in keys.dtypes if kind == "string"]
     size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in text), F.lit(0))
     first = F.col(keys.columns[0])
-    row = keys.agg(
+    return [
         F.count(F.lit(1)).alias("n"),
         F.coalesce(F.sum(size), F.lit(0)).alias("bytes"),
         F.min(first).alias("low"),
         F.max(first).alias("high"),
         F.count_if(first.isNull()).alias("nulls"),
-    ).first()
+    ]
+
+
+def _measured(keys: DataFrame, limit: int, row: Mapping[str, Any]) -> KeySet:
     few = row["n"] <= limit and row["bytes"] <= limit * BROADCAST_TEXT
     return KeySet(keys, few, row["low"], row["high"], row["nulls"] > 0)
 
@@ -93,6 +109,14 @@ def distinct_keys(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     return df.select(*([keys] if isinstance(keys, str) else keys)).distinct()
 
 
+def in_one_type(frames: Sequence[DataFrame], columns: Sequence[str]) -> list[DataFrame]:
+    """The frames with the column of each, in order, in one type: as it is where that can be compared, else as text (see ``key_text``)."""
+    kinds = [df.schema[c].dataType for df, c in zip(frames, columns)]
+    if all(alike(kinds[0], kind) for kind in kinds):
+        return list(frames)
+    return [df.withColumn(c, key_text(F.col(f"`{c}`"), kind)) for df, c, kind in zip(frames, columns, kinds)]
+
+
 def repeated_keys(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """One row, ``repetidas``: how many keys occur in more than one row. Whole-row
     de-duplication and the incremental load both leave such rows in place."""
@@ -114,6 +138,8 @@ def new_rows(
     Insert-only: a stored key with changed attributes is not new. With ``null_safe``
     a stored NULL key counts as seen; without it, rows with a NULL key are new each time.
 
+    A key whose type is another one than when it was stored is compared as text.
+
     By default one anti-join, which shuffles the whole rows, those of ``hot`` keys split.
     With ``probe`` the keys alone are compared first, and ``df`` is cut to the unseen ones
     (see ``KeySet.cut``): where it is read, if at most that many are unseen, the usual daily case.
@@ -122,6 +148,11 @@ def new_rows(
     keys = [keys] if isinstance(keys, str) else list(keys)
     if stored is None:
         return df
+    plain = [alike(df.schema[k].dataType, stored.schema[k].dataType) for k in keys]
+    if not all(plain):
+        texts = {f"_key_{i}": k for i, k in enumerate(keys)}
+        df, stored = (x.withColumns({t: key_text(F.col(f"`{k}`"), x.schema[k].dataType) for t, k in texts.items()}) for x in (df, stored))
+        return new_rows(df, stored, list(texts), null_safe, None, probe, probe_rows).drop(*texts)
     known = distinct_keys(stored, keys)
     if probe is not None and df.count() >= probe_rows:
         unseen = written(

@@ -9,7 +9,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 
-from starfeed.operators.dims import new_dimension_rows
+from starfeed.operators.dims import DIMENSIONS, dimension_rows, whole_rows_once
 from starfeed.operators.facts import fact_orders, fact_profile, inputs_after, small_dimensions
 from starfeed.operators.incremental import BROADCAST_KEYS, PROBE_ROWS, new_rows
 from starfeed.operators.skew import hot_keys
@@ -82,8 +82,12 @@ def run_daily(
     def load(step: LoadStep) -> int:
         name = "dim_ratings" if step.table == RATING_FACT.table else step.table
         keys = step.literal_keys if literal else step.keys
-        stored = warehouse.stored(step.table, list(keys)) if keys else None
-        rows = new_dimension_rows(name, inputs, stored, keys, not literal, probe, probe_rows)
+        rows = dimension_rows(name, inputs)
+        if keys:  # known keys go before duplicates do, so only new rows are shuffled whole
+            rows = warehouse.unseen(step.table, rows, list(keys), load_id, not literal, probe, probe_rows)
+        if name != "dim_fecha":
+            wide = DIMENSIONS[name].wide
+            rows = whole_rows_once(written(rows, "unseen-rows") if wide else rows, wide)
         return warehouse.append(step.table, rows, load_id)
 
     with ThreadPoolExecutor(writers) as pool:

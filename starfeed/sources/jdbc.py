@@ -51,6 +51,10 @@ class Database:
         """``mark`` = max(column) and ``n`` = count(*) of the rows that meet ``where``, computed by the database."""
         return self.query(spark, f'select max("{column}") as "mark", count(*) as "n" from {table} where {where}').first()
 
+    def count(self, spark: SparkSession, table: str, where: str) -> int:
+        """How many rows meet ``where``, counted by the database."""
+        return self.query(spark, f'select count(*) as "n" from {table} where {where}').first()["n"]
+
     def read(
         self,
         spark: SparkSession,
@@ -63,7 +67,8 @@ class Database:
         without heavy values, it is read over ``partitions`` connections in equal ranges if the
         column is a number, a date or a timestamp."""
         reader = spark.read.format("jdbc").options(**self.settings()).option("dbtable", table)
-        if split_on is not None and isinstance(reader.load().schema[split_on].dataType, SPLITTABLE):
+        kinds = {f.name: f.dataType for f in reader.load().schema.fields} if split_on is not None else {}
+        if isinstance(kinds.get(split_on), SPLITTABLE):
             ends = self.query(
                 spark, f'select min("{split_on}") as "low", max("{split_on}") as "high" from {table}'
             ).first()

@@ -62,6 +62,22 @@ def test_latest_by_key(spark):
     assert rows(got) == sorted([("a", 2, 1, "y"), ("b", None, 1, "n"), (None, 1, 1, "k")], key=str)
 
 
+def test_latest_rows_are_not_sorted_whole(spark, tmp_path):
+    rows = [(i % 5, i // 7, float(i % 3), f"text {i}", None if i % 4 else "x") for i in range(200)]
+    rows += [(9, None, None, "no order", None), (9, None, 1.0, "some", None), (8, 3, 1.0, "copy", "p"), (8, 3, 1.0, "copy", "p"), (8, 3, 1.0, "other", "p")]
+    spark.createDataFrame(rows, "k long, t long, tie double, props string, extra string").write.parquet(str(tmp_path / "t"))
+    got = latest_by_key(spark.read.parquet(str(tmp_path / "t")), "k", ["t", "tie"])
+    least = (-1, -1.0)
+    want = {}
+    for r in rows:
+        order = (least[0] if r[1] is None else r[1], least[1] if r[2] is None else r[2])
+        want.setdefault(r[0], {}).setdefault(order, set()).add(r)
+    found = {r["k"]: tuple(r) for r in got.collect()}
+    assert found.keys() == want.keys() and all(found[k] in by[max(by)] for k, by in want.items())
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "BroadcastHashJoin" in plan
+
+
 def test_repeated_keys(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (None, "a"), (None, "b")], "k int, v string")
     assert repeated_keys(df, "k").first()[0] == 2

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fixtures import D0, D1, brief, expected_fact, inputs
 from starfeed.functions import to_day
 from starfeed.operators import DIMENSIONS, build_dimension, fact_orders, fact_profile, fact_ratings, inputs_after
+from starfeed.operators import dims
 from starfeed.operators.facts import FACT_ORDER_COLUMNS
 
 
@@ -44,6 +45,19 @@ def test_fact_after_a_mark(spark, probe):
     assert inputs_after(inputs(spark), None).keys() == inputs(spark).keys()
 
 
+def test_keys_of_two_types_meet(spark):
+    given = inputs(spark)
+    given["productos"] = given["productos"].withColumn("producto_id", F.col("producto_id").cast("string"))
+    given["usuarios"] = given["usuarios"].withColumn("cliente_id", F.col("cliente_id").cast("double"))
+    given["asignaciones"] = given["asignaciones"].withColumn("pedido_id", F.col("pedido_id").cast("int"))
+    for probe in (0, 100):
+        fact = fact_orders(given, fact_profile(given, probe, share=0.02, min_rows=1))
+        assert fact.schema["producto_id"].dataType.simpleString() == "string" and fact.schema["pedido_id"].dataType.simpleString() == "bigint"
+        as_before = fact.withColumns({"producto_id": F.col("producto_id").cast("long"), "cliente_id": F.col("cliente_id").cast("long")})
+        assert brief(as_before) == expected_fact()
+        assert fact_orders(inputs_after(given, D0, probe)).count() == sum(bool(r[1] and r[1] > D0) for r in expected_fact())
+
+
 def test_orders_of_the_mark_date_are_skipped(spark):
     assert all(r[1] > D1 for r in brief(fact_orders(inputs_after(inputs(spark), D1))))
 
@@ -54,6 +68,19 @@ def test_dimension_drops_copies_and_keeps_variants(spark):
     assert len(got) == 4
 
 
+def test_wide_rows_are_told_apart_by_digests(spark, tmp_path, monkeypatch):
+    rows = [(i % 70, f"http://{i % 70}", "page " * 50 + str(i % 70)) for i in range(100)] + [(None, None, "x"), (None, "x", None), (None, "x", None)]
+    spark.createDataFrame(rows, "imagen_id long, url string, html string").write.parquet(str(tmp_path / "t"))
+    given = spark.read.parquet(str(tmp_path / "t"))
+    got = build_dimension("dim_imagenes_producto", {"imagenes_producto": given})
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, set(rows)))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Exchange" in line and "html" in line]
+    monkeypatch.setattr(dims, "digests", lambda columns: {"_d1": F.lit(1), "_d2": F.coalesce(F.col("imagen_id") % 2, F.lit(0))})
+    clashing = build_dimension("dim_imagenes_producto", {"imagenes_producto": given})
+    assert sorted(map(str, (tuple(r) for r in clashing.collect()))) == sorted(map(str, set(rows)))
+
+
 def test_renames(spark):
     given = inputs(spark)
     assert build_dimension("dim_wallets", given).columns == ["cliente_id", "saldo"]
