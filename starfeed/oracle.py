@@ -160,6 +160,35 @@ ADDED = {
         {MARK} and exists (select 1 from lineitem where l_orderkey = o_orderkey))""",
 }
 
+# Every table, of the loads up to a year; the next load adds what the one before does not have.
+def keyed_loads() -> str:
+    def up_to(name: str, year: int) -> str:
+        if name == "dim_fecha":
+            return f"select * from ({DIMS[name]}) where anio < {year}"
+        if name == "dim_pedidos_delivery":
+            return f"select * from ({DIMS[name]}) where year(o_orderdate) < {year}"
+        if name == "fact_pedidos":
+            return f"select * from ({fact()}) where year(fecha_pedido) < {year}"
+        return ALL_TABLES[name]
+
+    lines = []
+    for load, year, before in (("a", 2000, None), ("b", 2001, 2000), ("c", 9999, 2001)):
+        for name in ALL_TABLES:
+            had = f"(select count(*) from ({up_to(name, before)}) h)" if before else "0"
+            lines.append(f"select '{name}' as tabla, (select count(*) from ({up_to(name, year)}) n) - {had} as filas, '{load}' as carga")
+    return " union all ".join(lines)
+
+
+WIDENED = f"""
+  select 'dim_productos' as tabla, cast(p_partkey as varchar) as clave, p_name as valor from part
+  union all select 'dim_productos', 'p-' || p_partkey, p_name from part where p_partkey % 2 = 1
+  union all select 'dim_transacciones', cast(id as varchar), cast(cast(cast(amount as varchar) as decimal(38, 18)) as varchar) from ({DIMS['dim_transacciones']}) t
+  union all select 'dim_transacciones', 't-' || id, id || '.000000000000000001' from ({DIMS['dim_transacciones']}) t where id % 2 = 1
+  union all select 'fact_pedidos',
+      case when year(fecha_pedido) >= 2000 and producto_id % 2 = 1 then 'p-' else '' end || producto_id, cast(fecha_pedido as varchar) from ({fact()}) f
+  union all select 'fact_ratings', cast(cast(rating_id as double) as varchar), cast(cast(puntaje as double) as varchar) from ({DIMS['dim_ratings']}) r
+  union all select 'fact_ratings', cast(rating_id + cast(0.5 as double) as varchar), cast(puntaje + cast(0.5 as double) as varchar) from ({DIMS['dim_ratings']}) r"""
+
 LOCATION_MESSAGES = """
   select cast(user_id as varchar) as repartidor_id, value as latitud, cast(event_id as double) as longitud,
          ts as "timestamp" from events"""
@@ -216,6 +245,8 @@ ORACLE: dict[str, str] = {
     "sink_roundtrip": fact(),
     "full_load_counts": load_counts(ALL_TABLES),
     "next_load_counts": load_counts(ADDED),
+    "next_load_widened": WIDENED,
+    "next_load_keyed": keyed_loads(),
     "loaded_fact_pedidos": fact(),
     **{f"loaded_{name}": DIMS[name] for name in ("dim_fecha", "dim_pedidos_delivery", "dim_imagenes_producto")},
     "json_parse": "select event_id, cast(props ->> 'k' as int) as k from events",
@@ -227,6 +258,7 @@ ORACLE: dict[str, str] = {
       from events""",
     "stream_locations": LOCATION_MESSAGES,
     "stream_replay": LOCATION_MESSAGES,
+    "stream_merged_log": LOCATION_MESSAGES,
     "stream_restart": f"{LOCATION_MESSAGES} union all {LOCATION_MESSAGES}",
     "stream_status": """
       select cast(event_id as varchar) as pedido_id, event_type as estado, ts as "timestamp" from events""",

@@ -34,7 +34,7 @@ from starfeed.operators.incremental import BROADCAST_KEYS, PROBE_ROWS
 from starfeed.plans import LOAD_PLAN, LoadStep, run_daily
 from starfeed.plans.daily import facts_after, new_order_facts
 from starfeed.sinks import ParquetWarehouse
-from starfeed.sources import SOURCES, load_sources, read_csv, source_path
+from starfeed.sources import SOURCES, land, load_sources, read_csv, source_path
 from starfeed.sources import testdata
 from starfeed.streaming import LOCATIONS, STATUSES, LatestState, ParquetLog, parse_messages, run_feeds, start_feed
 from starfeed.workspace import work_dir, written
@@ -279,7 +279,8 @@ def src_csv_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw = {new: old for old, new in SOURCES[name].renames.items()}
         write_csv(df.withColumnsRenamed(raw), source_path(base, name))
     read = load_sources(spark, base, FACT_INPUTS)  # catalogues are brand names here: that column becomes text
-    return fact_orders(read, fact_profile(read))
+    landed = land(read, work_dir(spark, "landed"))
+    return fact_orders(landed, fact_profile(landed))
 
 
 def src_csv_misfits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -343,6 +344,63 @@ def next_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts_table(spark, two_loads(spark, sf_dir)[1])
 
 
+def widened_loads(spark: SparkSession, sf_dir: str) -> ParquetWarehouse:
+    """A load made when the year 2000 had not begun, and one on all inputs after the extracts' types have changed: product and transaction ids
+    are text and some of another form, amounts are finer than a double, ratings and their ids have halves."""
+    inputs = daily_inputs(spark, sf_dir)
+    warehouse = ParquetWarehouse(spark, work_dir(spark, "warehouse"))
+    run_daily({**inputs, "pedidos": inputs["pedidos"].where("fechaCreacion < '2000-01-01'")}, warehouse, "first")
+    text_id = "if({0} % 2 = 1, concat('p-', {0}), cast({0} as string))".format
+    products = inputs["productos"]
+    odd = {"producto_id": F.expr(text_id("producto_id"))}
+    changed = {
+        **inputs,
+        "productos": products.withColumn("producto_id", F.col("producto_id").cast("string")).unionByName(products.where("producto_id % 2 = 1").withColumns(odd)),
+        "pedido_productos": inputs["pedido_productos"].withColumns(odd),
+        "transacciones": inputs["transacciones"].withColumns(
+            {"id": F.expr("if(id % 2 = 1, concat('t-', id), cast(id as string))"), "amount": F.expr("cast(concat(id, '.000000000000000001') as decimal(38, 18))")}
+        ),
+        "ratings": inputs["ratings"].withColumns({"id": F.expr("id + 0.5D"), "puntaje": F.expr("puntaje + 0.5D")}),
+    }
+    run_daily(changed, warehouse, "second")
+    return warehouse
+
+
+def next_load_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of both loads, read back from four tables whose types changed between them."""
+    warehouse = widened_loads(spark, sf_dir)
+    shown = {
+        "dim_productos": ("producto_id", "nombre"),
+        "dim_transacciones": ("id", "amount"),
+        "fact_pedidos": ("producto_id", "fecha_pedido"),
+        "fact_ratings": ("rating_id", "puntaje"),
+    }
+    parts = [
+        warehouse.stored(name, list(columns)).select(F.lit(name).alias("tabla"), *[F.col(c).cast("string").alias(a) for c, a in zip(columns, ("clave", "valor"))])
+        for name, columns in shown.items()
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
+def next_load_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What three loads add when every table has a key store: one before the year 2000, which has none yet, one up to its end, and one on all inputs."""
+    inputs = daily_inputs(spark, sf_dir)
+    warehouse = ParquetWarehouse(spark, work_dir(spark, "warehouse"), key_rows=0)
+
+    def until(year: int) -> dict[str, DataFrame]:
+        return {
+            **inputs,
+            "pedidos": inputs["pedidos"].where(F.year("fechaCreacion") < year),
+            "delivery_pedidos": inputs["delivery_pedidos"].where(F.year("o_orderdate") < year),
+        }
+
+    added = [
+        counts_table(spark, run_daily(given, warehouse, load_id, probe_rows=probe_rows)).withColumn("carga", F.lit(load_id))
+        for load_id, given, probe_rows in (("a", until(2000), 0), ("b", until(2001), 0), ("c", inputs, PROBE_ROWS))
+    ]
+    return reduce(DataFrame.unionAll, added)
+
+
 # ---- messages and streams -------------------------------------------------------------------
 
 
@@ -445,6 +503,23 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_time(log.read(spark).drop("ingestion_time"))
 
 
+def stream_merged_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages in many micro-batches, whose files are merged by the way, beside the query."""
+    log = ParquetLog(work_dir(spark, "merged"), fan=2)
+    files = max(6, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    topic = work_dir(spark, "topic")
+    location_messages(testdata.table(spark, sf_dir, "events")).repartition(files, "key").write.parquet(topic)
+    messages = spark.readStream.schema("key binary, value binary").option("maxFilesPerTrigger", -(-files // 6)).parquet(topic)
+
+    def write_and_merge(batch: DataFrame, batch_id: int) -> None:
+        log.write(batch, batch_id)
+        if batch_id % 2:
+            log.merge(spark)
+
+    start_feed(parse_messages(messages, LOCATIONS), write_and_merge, work_dir(spark, "checkpoint"), available_now=True).awaitTermination()
+    return plain_time(log.read(spark).drop("ingestion_time"))
+
+
 def stream_two_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     logs = {feed.topic: ParquetLog(work_dir(spark, feed.table)) for feed in (LOCATIONS, STATUSES)}
     events = event_stream(spark, sf_dir)
@@ -512,6 +587,8 @@ QUERIES: dict[str, Query] = {
     "sink_roundtrip": sink_roundtrip,
     "full_load_counts": full_load_counts,
     "next_load_counts": next_load_counts,
+    "next_load_widened": next_load_widened,
+    "next_load_keyed": next_load_keyed,
     "loaded_fact_pedidos": loaded_rows("fact_pedidos"),
     "loaded_dim_fecha": loaded_rows("dim_fecha"),
     "loaded_dim_pedidos_delivery": loaded_rows("dim_pedidos_delivery"),
@@ -522,6 +599,7 @@ QUERIES: dict[str, Query] = {
     "stream_status": stream_status,
     "stream_replay": stream_replay,
     "stream_restart": stream_restart,
+    "stream_merged_log": stream_merged_log,
     "stream_two_feeds": stream_two_feeds,
     "latest_by_key": latest_by_key_query,
     "stream_upsert": stream_upsert,
