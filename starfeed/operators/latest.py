@@ -30,6 +30,14 @@ def latest_by_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     return won.withColumn("_n", first).where("_n = 1").select(*[F.col(f"`{c}`") for c in df.columns])
 
 
+def last_of_batch(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """The same for narrow rows, such as messages, from a source that should be read once: one aggregate, which sorts and reduces
+    whole rows in each task before it shuffles those that are left."""
+    rest = [c for c in df.columns if c != key]
+    last = F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), F.struct(*[F.col(f"`{c}`") for c in order])).alias("_last")
+    return df.groupBy(key).agg(last).select(*[F.col(f"`{c}`") if c == key else F.col(f"_last.`{c}`").alias(c) for c in df.columns])
+
+
 def _renamed(best: DataFrame, columns: Sequence[str]) -> DataFrame:
     return best.select(*[F.col(c).alias(f"_w{c}") for c in columns])
 

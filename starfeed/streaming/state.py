@@ -9,26 +9,26 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starfeed.operators.latest import latest_by_key
+from starfeed.operators.latest import last_of_batch
 from starfeed.sources.jdbc import Database
-from starfeed.streaming.logs import BATCH, QUERY, query_id
+from starfeed.streaming.logs import query_id
 from starfeed.workspace import read_if_there, removed, written
 
-PART, VERSION = "part", "version"
-FOLDED, FOLDED_COLUMNS = "folded", "part int, version int, rows long"
+PART, VERSION, CHANGE = "part", "version", "change"
+FOLDED, FOLDED_COLUMNS = "folded", "part int, version int"
 
 
 @dataclass(frozen=True)
 class LatestState:
     """Upserts on Parquet, in ``parts`` by the hash of the key. Each micro-batch is reduced to one row per key and stored as
     changes of the parts it touches. A part is folded, that is, its changes are merged into a new full version of it, when they are more
-    than ``share`` of its rows, or every ``fold_every`` batches if it has any by then; the other parts stay as they are. A batch so costs what it
+    than ``share`` of its rows and ``least`` at that, or every ``fold_every`` batches if it has any by then; the other parts stay as they are. A batch so costs what it
     changes, and a reader takes of each part the last full version and the changes since, never the whole history. Versions before the last two
     are removed.
 
     ``order`` names the columns that decide which message is the last one; they should
     leave no ties. Late messages do not displace later ones. Messages without a key
-    have no state. Versions are counted in the state itself, so a query with a new checkpoint, or another
+    have no state. ``parts`` is also how many tasks write at once, so a large state takes more. Versions are counted in the state itself, so a query with a new checkpoint, or another
     ``fold_every``, goes on where the state is; ``parts`` stays as it was first. One query writes at a time. A batch
     that is run again after a part was folded becomes a change of its new version, which alters nothing.
     """
@@ -37,23 +37,25 @@ class LatestState:
     key: str
     order: Sequence[str]
     fold_every: int = 20
-    parts: int = 32
+    parts: int = 8
     share: float = 0.25
+    least: int = 100_000
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         folded = self._folded(spark)
-        known = written(batch.where(F.col(self.key).isNotNull()), "batch")  # the source is read once
-        changes = latest_by_key(known, self.key, self.order)
+        changes = last_of_batch(batch.where(F.col(self.key).isNotNull()), self.key, self.order)
         part = F.pmod(F.xxhash64(F.col(self.key).cast("string")), F.lit(self.parts)).cast("int")
-        versions = F.create_map(*[F.lit(x) for p, (version, _) in folded.items() for x in (p, version)]) if folded else None
+        versions = F.create_map(*[F.lit(x) for pair in folded.items() for x in pair]) if folded else None
         version = F.lit(0) if versions is None else F.coalesce(F.element_at(versions, F.col(PART)), F.lit(0))
-        dealt = changes.withColumn(PART, part).withColumns(
-            {VERSION: version.cast("int"), QUERY: F.lit(query_id(batch)), BATCH: F.lit(batch_id).cast("long")}
-        )
+        dealt = changes.withColumn(PART, part).withColumns({VERSION: version.cast("int"), CHANGE: F.lit(f"{query_id(batch)}-{batch_id}")})
         writer = dealt.repartition(PART).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(PART, VERSION, QUERY, BATCH).parquet(f"{self.path}/changes")
-        self._fold(spark, folded, (batch_id + 1) % self.fold_every == 0)
+        writer.partitionBy(PART, VERSION, CHANGE).parquet(f"{self.path}/changes")
+        if (batch_id + 1) % self.fold_every == 0:
+            self._fold(spark, folded, self._changed(spark, folded))
+        elif (batch_id + 1) % max(2, self.fold_every // 5) == 0:
+            rows, changed = self._rows(spark, "full", folded), self._changed(spark, folded)
+            self._fold(spark, folded, {p: n for p, n in changed.items() if p in folded and n > max(self.least, self.share * rows.get(p, 0))})
 
     def read(self, spark: SparkSession) -> DataFrame:
         folded = self._folded(spark)
@@ -64,54 +66,52 @@ class LatestState:
 
     # ---- parts ----
 
-    def _folded(self, spark: SparkSession) -> dict[int, tuple[int, int]]:
-        """part -> (its last full version, the rows of that)."""
+    def _folded(self, spark: SparkSession) -> dict[int, int]:
+        """part -> its last full version."""
         lines = read_if_there(spark, f"{self.path}/{FOLDED}", FOLDED_COLUMNS)
-        if lines is None:
-            return {}
-        last = lines.groupBy(PART).agg(F.max(F.struct(VERSION, "rows")).alias("last"))
-        return {row[PART]: (row["last"][VERSION], row["last"]["rows"]) for row in last.collect()}
+        return {} if lines is None else {r[PART]: r["last"] for r in lines.groupBy(PART).agg(F.max(VERSION).alias("last")).collect()}
 
-    def _changed(self, spark: SparkSession, folded: Mapping[int, tuple[int, int]]) -> dict[int, int]:
-        """part -> the rows of its changes since, counted from the files' footers."""
-        changes = read_if_there(spark, f"{self.path}/changes")
-        if changes is None:
+    def _changed(self, spark: SparkSession, folded: Mapping[int, int]) -> dict[int, int]:
+        """part -> the rows of its changes since."""
+        return self._rows(spark, "changes", folded)
+
+    def _rows(self, spark: SparkSession, kind: str, folded: Mapping[int, int]) -> dict[int, int]:
+        """part -> the rows of its current version, counted from the files' footers."""
+        rows = read_if_there(spark, f"{self.path}/{kind}")
+        if rows is None:
             return {}
-        counts = changes.groupBy(PART, VERSION).agg(F.count(F.lit(1)).alias("rows")).collect()
-        return {r[PART]: r["rows"] for r in counts if r[VERSION] == folded.get(r[PART], (0, 0))[0]}
+        counts = rows.groupBy(PART, VERSION).agg(F.count(F.lit(1)).alias("rows")).collect()
+        return {r[PART]: r["rows"] for r in counts if r[VERSION] == folded.get(r[PART], 0)}
 
     def _state(
-        self, spark: SparkSession, folded: Mapping[int, tuple[int, int]], changed: Mapping[int, int], parts: Iterable[int]
+        self, spark: SparkSession, folded: Mapping[int, int], changed: Mapping[int, int], parts: Iterable[int]
     ) -> DataFrame:
         """The state of some parts; only those with changes are reduced."""
         def some(kind: str, wanted: Iterable[int]) -> list[DataFrame]:
-            paths = [f"{self.path}/{kind}/{PART}={p}/{VERSION}={folded.get(p, (0, 0))[0]}" for p in sorted(wanted)]
+            paths = [f"{self.path}/{kind}/{PART}={p}/{VERSION}={folded.get(p, 0)}" for p in sorted(wanted)]
             if not paths:
                 return []
             df = spark.read.option("basePath", f"{self.path}/{kind}").parquet(*paths)
-            return [df.drop(PART, VERSION, QUERY, BATCH)]
+            return [df.drop(PART, VERSION, CHANGE)]
 
         parts = set(parts)
         still = some("full", [p for p in parts if p in folded and p not in changed])
         moved = some("full", [p for p in parts if p in folded and p in changed]) + some("changes", [p for p in parts if p in changed])
         if moved:
-            still.append(latest_by_key(reduce(DataFrame.unionByName, moved), self.key, self.order))
+            still.append(last_of_batch(reduce(DataFrame.unionByName, moved), self.key, self.order))
         return reduce(DataFrame.unionByName, still)
 
-    def _fold(self, spark: SparkSession, folded: Mapping[int, tuple[int, int]], all_parts: bool) -> None:
-        changed = self._changed(spark, folded)
-        due = {p for p, rows in changed.items() if all_parts or (p in folded and rows > self.share * folded[p][1])}
+    def _fold(self, spark: SparkSession, folded: Mapping[int, int], due: Mapping[int, int]) -> None:
+        """Merges the changes of some parts into their next versions."""
         if not due:
             return
+        versions = {p: folded.get(p, 0) + 1 for p in due}
         part = F.pmod(F.xxhash64(F.col(self.key).cast("string")), F.lit(self.parts)).cast("int")
-        next_of = F.create_map(*[F.lit(x) for p in sorted(due) for x in (p, folded.get(p, (0, 0))[0] + 1)])
-        full = self._state(spark, folded, changed, due).withColumn(PART, part).withColumn(VERSION, F.element_at(next_of, F.col(PART)))
+        next_of = F.create_map(*[F.lit(x) for pair in versions.items() for x in pair])
+        full = self._state(spark, folded, due, due).withColumn(PART, part).withColumn(VERSION, F.element_at(next_of, F.col(PART)))
         writer = full.repartition(PART).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(PART, VERSION).parquet(f"{self.path}/full")
-        versions = {p: folded.get(p, (0, 0))[0] + 1 for p in due}
-        paths = [f"{self.path}/full/{PART}={p}/{VERSION}={v}" for p, v in sorted(versions.items())]
-        counted = spark.read.option("basePath", f"{self.path}/full").parquet(*paths).groupBy(PART, VERSION).agg(F.count(F.lit(1)).alias("rows"))
-        lines = spark.createDataFrame([(r[PART], r[VERSION], r["rows"]) for r in counted.collect()], FOLDED_COLUMNS)
+        lines = spark.createDataFrame(list(versions.items()), FOLDED_COLUMNS)
         lines.coalesce(1).write.mode("append").parquet(f"{self.path}/{FOLDED}")
         old = [f"{PART}={p}/{VERSION}={v - 2}" for p, v in versions.items() if v >= 2]
         removed(spark, [f"{self.path}/{kind}/{folder}" for folder in old for kind in ("full", "changes")])
@@ -139,9 +139,8 @@ class JdbcState:
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        known = written(batch.where(F.col(self.key).isNotNull()), "batch")
         era, _ = self._current(spark)
-        self._add(spark, latest_by_key(known, self.key, self.order), era, False)
+        self._add(spark, last_of_batch(batch.where(F.col(self.key).isNotNull()), self.key, self.order), era, False)
         if (batch_id + 1) % self.fold_every == 0:
             self._add(spark, self.read(spark), era + 1, True)
 
@@ -150,7 +149,7 @@ class JdbcState:
         if not attempts:
             raise ValueError(f"no state in {self.table} yet")
         rows = self.database.read(spark, self.table).where(F.col(ATTEMPT).isin(attempts))
-        return latest_by_key(written(rows.drop(ATTEMPT), "state"), self.key, self.order)
+        return last_of_batch(rows.drop(ATTEMPT), self.key, self.order)
 
     def _current(self, spark: SparkSession) -> tuple[int, list[int]]:
         """The last era, and the attempts that make up the state."""

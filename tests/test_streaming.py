@@ -189,13 +189,13 @@ def test_a_batch_rewrites_the_parts_it_changes(spark, tmp_path):
 
 
 def test_a_part_is_folded_when_its_changes_outgrow_a_share(spark, tmp_path):
-    state = LatestState(str(tmp_path / "out"), "repartidor_id", ["timestamp", "latitud"], fold_every=1000, parts=1, share=0.5)
-    state.write(by_hand(spark, *[(f"d{i}", 0.0, 0) for i in range(4)]), 999)
-    assert state._folded(spark) == {0: (1, 4)}
-    state.write(by_hand(spark, ("d0", 1.0, 1)), 1000)
-    assert state._folded(spark) == {0: (1, 4)}
-    state.write(by_hand(spark, ("d1", 1.0, 1), ("d2", 1.0, 1)), 1001)
-    assert state._folded(spark) == {0: (2, 4)}
+    state = LatestState(str(tmp_path / "out"), "repartidor_id", ["timestamp", "latitud"], fold_every=10, parts=1, share=0.5, least=0)
+    state.write(by_hand(spark, *[(f"d{i}", 0.0, 0) for i in range(4)]), 9)
+    assert state._folded(spark) == {0: 1}
+    state.write(by_hand(spark, ("d0", 1.0, 1)), 11)
+    assert state._folded(spark) == {0: 1}
+    state.write(by_hand(spark, ("d1", 1.0, 1), ("d2", 1.0, 1)), 13)
+    assert state._folded(spark) == {0: 2}
     assert sorted(r["latitud"] for r in state.read(spark).collect()) == [0.0, 1.0, 1.0, 1.0]
 
 
