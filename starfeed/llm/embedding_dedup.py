@@ -20,7 +20,7 @@ THRESHOLD, RECALL = 0.9, 0.999
 BLOCK = 1024
 #: Axes a hash may be moved to: the nearest one and the next.
 AXES = 3
-MOST_HASHES = 4
+MOST_HASHES, MOST_TABLES = 4, 200
 SKETCH_BITS = 128
 #: How many standard deviations above its mean the distance of two sketches may lie for a pair at the threshold.
 SLACK = 5.5
@@ -88,21 +88,25 @@ def buckets_of(x: np.ndarray, table: int, hashes: int, probes: int) -> np.ndarra
 
 
 @lru_cache(64)
-def plan(width: int, rows: int, threshold: float, recall: float) -> tuple[int, int, int]:
-    """(hashes, probes, tables): as many hashes as make random vectors of so many rows nearly alone in a bucket, and as many tables as
-    let a pair at the threshold meet with probability ``recall`` at least, by how often pairs drawn at random meet in one."""
-    hashes = 1
+def plan(length: int, rows: int, threshold: float, recall: float, pairs: int = 3000) -> tuple[int, int, int]:
+    """(hashes, probes, tables) for vectors of a length: as many hashes as make random vectors of so many rows nearly alone in a bucket, and one table more than
+    let a share ``recall`` of some ``pairs``, drawn at random at the threshold, meet in a bucket."""
+    hashes, width = 1, 1 << max(4, math.ceil(math.log2(length)))
     while hashes < MOST_HASHES and (2 * width) ** hashes < 4 * rows * hashes:
         hashes += 1
     probes = min(2 * hashes, AXES**hashes)
-    rng = np.random.default_rng(7)
-    a, b = (rng.normal(size=(4000, width)) for _ in range(2))
+    a, b = np.random.default_rng(7).normal(size=(2, pairs, max(2, length)))
     a = unit(a)
     b = unit(b - (a * b).sum(1, keepdims=True) * a)
-    near = (threshold * a + math.sqrt(1 - threshold**2) * b).astype(np.float32)
-    x, y = (buckets_of(v, 1000, hashes, probes) for v in (a.astype(np.float32), near))
-    meet = (x[:, :, None] == y[:, None, :]).any((1, 2)).mean()
-    return hashes, probes, max(1, math.ceil(math.log(1 - recall) / math.log1p(-min(meet, 1 - 1e-9))))
+    x, y = padded(a), padded(threshold * a + math.sqrt(1 - threshold**2) * b)
+    tables = 0
+    while len(x) > (1 - recall) * pairs:
+        if tables == MOST_TABLES:
+            raise ValueError(f"{tables} tables are too few for recall {recall} at cosine {threshold}")
+        met = (buckets_of(x, tables, hashes, probes)[:, :, None] == buckets_of(y, tables, hashes, probes)[:, None, :]).any((1, 2))
+        x, y = x[~met], y[~met]
+        tables += 1
+    return hashes, probes, tables + 1
 
 
 def sketch_limit(threshold: float) -> int:
@@ -132,8 +136,8 @@ def _hasher(rows: int, threshold: float, recall: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, x in _matrices(batch.column("vector")):
-                x = padded(x)
                 hashes, probes, tables = plan(x.shape[1], rows, threshold, recall)
+                x = padded(x)
                 found = np.concatenate([buckets_of(x, t, hashes, probes) for t in range(tables)], 1)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * found.shape[1]), pa.array(found.ravel()))
                 s = sketches(x)
@@ -157,8 +161,8 @@ def _forest(close: np.ndarray) -> np.ndarray:
 
 
 def _tasks(pick: Callable[[pa.Table], np.ndarray], counted: bool):
-    """Runs ``pick`` on the rows of each (root, i, j) of a sorted input; it tells which of them are close. Gives an edge (a, b) of each row to the first that it
-    is connected to and, where ``counted``, how many vectors it is close to. Pairs in one block are of the block's own task alone."""
+    """Runs ``pick`` on the rows of each (root, i, j) of a sorted input; it tells which of them are close. Gives for each row that is close to another an edge (a, b) to
+    the first that it is connected to and, where ``counted``, how many vectors it is close to. Pairs in one block are of the block's own task alone."""
 
     def compared(parts: list[pa.RecordBatch]) -> list[np.ndarray]:
         rows = pa.Table.from_batches(parts)
@@ -172,7 +176,8 @@ def _tasks(pick: Callable[[pa.Table], np.ndarray], counted: bool):
             return []
         rid = rows.column("rid").to_numpy()
         links = (close.astype(np.int64) @ rows.column("copies").to_numpy())[some] if counted else np.zeros(len(some), np.int64)
-        return [np.stack([rid[some], rid[_forest(close)[some]], links])]
+        root = np.full(len(some), rows.column("root")[0].as_py())
+        return [np.stack([root, rid[some], rid[_forest(close)[some]], links])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held, out = None, [], []
@@ -198,7 +203,7 @@ def _tasks(pick: Callable[[pa.Table], np.ndarray], counted: bool):
 
 
 def _edges(found: list[np.ndarray]) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(x) for x in np.concatenate(found, 1)], ["a", "b", "links"])
+    return pa.record_batch([pa.array(x) for x in np.concatenate(found, 1)], ["root", "a", "b", "links"])
 
 
 def _by_sketch(limit: int) -> Callable[[pa.Table], np.ndarray]:
@@ -226,8 +231,8 @@ def _by_cosine(threshold: float) -> Callable[[pa.Table], np.ndarray]:
     return pick
 
 
-def _beside_pivot(least: float):
-    """Whether each vector has a cosine of ``least`` or more with its pivot."""
+def _beside_pivot(least: float, keep: tuple[str, ...]):
+    """The columns ``keep``, and whether each vector has a cosine below ``least`` with its pivot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -237,7 +242,7 @@ def _beside_pivot(least: float):
                 for same, p in _matrices(pivots):
                     if p.shape[1] == x.shape[1]:
                         far[at[same]] = (unit(x[same]) * unit(p)).sum(1) < least
-            yield pa.record_batch([*(batch.column(c) for c in ("root", "rid", "copies", "vector")), pa.array(far)], ["root", "rid", "copies", "vector", "far"])
+            yield pa.record_batch([*(batch.column(c) for c in keep), pa.array(far)], [*keep, "far"])
 
     return run
 
@@ -268,10 +273,10 @@ def near_duplicates(
     any id has a null name, and is not kept. Repeated rows are rows of their own. An empty table gives no rows.
 
     Equal vectors are hashed once. Distinct ones lie in some buckets of each table (see ``plan``, ``buckets_of``); in a bucket each is compared with the
-    first by sketches of sign bits, and those far from it with all, block by block. What sketches connect is a candidate group. In a group, vectors within half the
-    threshold's angle of its first vector are linked to each other, by the triangle inequality; any other is compared with
-    all of the group, block by block. So every link inside a group is counted exactly, and a link is lost only if no chain of pairs that
-    met in a bucket joins its ends; a task holds two blocks whatever the size of a group, and no pairs leave it.
+    first, and those not linked to it with all, block by block: by sketches of sign bits, and by their cosine where these are near. What links connect is a
+    group. In a group, vectors within half the threshold's angle of its first vector are linked to each other, by the triangle inequality; any other is compared with
+    all of the group, block by block. So every link inside a group is counted exactly, and a link is lost only if no chain of linked pairs that
+    met in a bucket joins its ends; a task holds two blocks whatever the size of a bucket or group, and no pairs leave it.
     """
     spark = rows.sparkSession
     vector = F.col(vector_col)
@@ -291,26 +296,34 @@ def near_duplicates(
     sketched = hashed.select("rid", "s1", "s2", F.explode("buckets").alias("root")).join(buckets.join(firsts, "first"), "root")
     limit = sketch_limit(threshold)
     apart = F.bit_count(F.col("s1").bitwiseXOR(F.col("f1"))) + F.bit_count(F.col("s2").bitwiseXOR(F.col("f2")))
-    met = written(sketched.select("root", "size", "first", "rid", "s1", "s2", (apart > limit).alias("far")), "met")
-    stars = met.where("not far and rid <> first").select(F.col("rid").alias("a"), F.col("first").alias("b")).distinct()
+    met = written(sketched.select("root", "size", "first", "rid", "s1", "s2", (apart > limit).alias("apart")), "met")
+    pairs = met.where("not apart and rid <> first").select("rid", "first").distinct()
+    pivots = vectors.select(F.col("rid").alias("first"), F.col("vector").alias("pivot"))
+    pairs = pairs.join(vectors.select("rid", "vector"), "rid").join(pivots, "first").select("rid", "first", "vector", "pivot")
+    judged = written(map_batches(pairs, _beside_pivot(threshold, ("rid", "first")), "rid long, first long, far boolean"), "pairs")
+    stars = judged.where("not far").select(F.col("rid").alias("a"), F.col("first").alias("b"))
     # two vectors alone in a bucket have been compared
-    rest = map_batches(_dealt(met.where("size > 2").drop("size", "first")), _tasks(_by_sketch(limit), False), "a long, b long, links long")
-    groups = components(stars.union(rest.select("a", "b").distinct()))
+    rest = met.where("size > 2").join(judged, ["rid", "first"], "left").withColumn("far", F.coalesce("far", F.col("rid") != F.col("first")))
+    rest = rest.select("root", "rid", "far", "s1", "s2")
+    edges = "root long, a long, b long, links long"
+    near = map_batches(_dealt(rest), _tasks(_by_sketch(limit), False), edges).select("root", F.col("a").alias("rid")).distinct()
+    near = written(rest.select("root", "rid", "far").join(near, ["root", "rid"]), "near")
+    linked = map_batches(_dealt(near.join(vectors.select("rid", "vector"), "rid")), _tasks(_by_cosine(threshold), False), edges)
+    groups = components(stars.union(linked.select("a", "b").distinct()))
 
     members = groups.select(F.col("node").alias("rid"), "root").join(vectors.select("rid", "vector", "copies"), "rid")
-    pivots = vectors.select(F.col("rid").alias("root"), F.col("vector").alias("pivot"))
     half = math.cos(math.acos(threshold) / 2 - 1e-7)
     beside = T.StructType([T.StructField(c, T.LongType()) for c in ("root", "rid", "copies")] + [vectors.schema["vector"], T.StructField("far", T.BooleanType())])
-    placed = written(map_batches(members.join(pivots, "root").select("root", "rid", "copies", "vector", "pivot"), _beside_pivot(half), beside), "groups")
-    crossing = written(map_batches(_dealt(placed), _tasks(_by_cosine(threshold), True), "a long, b long, links long"), "links")
-
-    near = placed.where("not far").select("root", "rid", "copies")
-    together = near.groupBy("root").agg(F.sum("copies").alias("all"))
-    linked = near.join(together, "root").select("rid", (F.col("all") - F.col("copies")).alias("links")).union(crossing.select(F.col("a").alias("rid"), "links"))
-    links = linked.groupBy("rid").agg(F.sum("links").alias("links"))
-    edges = near.where("rid <> root").select(F.col("rid").alias("a"), F.col("root").alias("b")).union(crossing.select("a", "b"))
-    roots = components(edges).withColumnRenamed("node", "rid")
-    classed = vectors.select("rid", "key", "least_id", "copies").join(links, "rid", "left").join(roots, "rid", "left").withColumn("root", F.coalesce("root", "rid"))
+    members = members.join(pivots.withColumnRenamed("first", "root"), "root").select("root", "rid", "copies", "vector", "pivot")
+    placed = written(map_batches(members, _beside_pivot(half, ("root", "rid", "copies", "vector")), beside), "groups")
+    crossing = written(map_batches(_dealt(placed), _tasks(_by_cosine(threshold), True), edges), "links")
+
+    close = placed.where("not far").select("root", "rid", "copies")
+    together = close.groupBy("root").agg(F.sum("copies").alias("all"))
+    counted = close.join(together, "root").select("rid", (F.col("all") - F.col("copies")).alias("links")).union(crossing.select(F.col("a").alias("rid"), "links"))
+    links = counted.groupBy("rid").agg(F.sum("links").alias("links"))
+    grouped = groups.select(F.col("node").alias("rid"), "root")
+    classed = vectors.select("rid", "key", "least_id", "copies").join(links, "rid", "left").join(grouped, "rid", "left").withColumn("root", F.coalesce("root", "rid"))
     names = classed.groupBy("root").agg(F.min("least_id").alias("component_id"))
     classed = classed.join(names, "root").select("key", "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     spread = marked.select("vec_id", "key").join(classed, "key", "left")

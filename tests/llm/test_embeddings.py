@@ -85,6 +85,25 @@ def test_odd_vectors(spark):
     assert found(spark, []) == {}
 
 
+def test_vectors_of_one_direction_are_no_group(spark, monkeypatch):
+    """All cosines lie about 0.8, so that buckets are full and sketches near; groups hold linked vectors alone."""
+    rng = np.random.default_rng(17)
+    rows = clusters(rng, 64, [700], 0.5) + [(1000 + i, v) for i, (_, v) in enumerate(clusters(rng, 64, [3] * 30, 0.1))]
+    sizes, written = [], ed.written
+
+    def noted(df, label):
+        out = written(df, label)
+        if label == "groups":
+            sizes.append(out.groupBy("root").count().agg(F.max("count")).first()[0])
+        return out
+
+    monkeypatch.setattr(ed, "written", noted)
+    expected = brute(rows)
+    assert found(spark, rows) == expected
+    largest = max(collections.Counter(component for _, _, component, _ in expected.elements()).values())
+    assert sizes == [largest] and largest < 100
+
+
 def test_pairs_at_the_threshold_are_found(spark):
     """A thousand pairs that have nothing but each other, just above the threshold."""
     rng = np.random.default_rng(11)
@@ -106,6 +125,8 @@ def test_rotations_keep_lengths_and_meet_the_recall():
     assert np.allclose(ed.hadamard(ed.hadamard(x)), x, atol=1e-4)
     assert np.allclose((ed.rotated(x, 3) ** 2).sum(1), (x**2).sum(1), rtol=1e-4)
     assert [ed.plan(64, n, 0.9, 0.999)[0] for n in (10, 1000, 10**5, 10**9)] == [1, 2, 3, 4]
+    with pytest.raises(ValueError):
+        ed.plan(64, 10**9, 0.05, 0.999, 100)
     assert (ed.buckets_of(ed.padded(x), 0, 2, 4)[:, 0] == ed.buckets_of(ed.padded(x), 0, 2, 1)[:, 0]).all()
 
 
