@@ -13,6 +13,8 @@ from starfeed.workspace import read_if_there, removed
 KEY = "k"
 #: About so many keys to a bucket, and so many loads before their files are put together.
 BUCKET_KEYS, LOADS = 2_000_000, 100
+#: So many keys of an extract at most are named in a query.
+NAMED_KEYS = 1000
 NOTES, NOTE_COLUMNS = "notes", "generation int, buckets int, covers array<string>"
 BASE = "base"
 
@@ -44,12 +46,16 @@ class KeyStore:
         self.bucket_keys = bucket_keys
         self.loads = loads
 
-    def seen(self, name: str, keys: DataFrame, attempts: Sequence[str]) -> DataFrame | None:
+    def seen(self, name: str, keys: DataFrame, attempts: Sequence[str], rows: int | None = None) -> DataFrame | None:
         """Those of ``keys`` (one column ``k``, best distinct) that a load among ``attempts`` has added; None if there are no stored keys.
-        The keys are dealt to the store's own buckets, or else Spark would deal the stored ones anew."""
+        The keys are dealt to the store's own buckets, or else Spark would deal the stored ones anew. If there are ``rows`` of
+        them, and no more than ``NAMED_KEYS``, they are named in the query, which then opens only the buckets that they hit."""
         note = self._note(name)
         if note is None:
             return None
+        if rows is not None and rows <= NAMED_KEYS:
+            named = [row[KEY] for row in keys.distinct().collect()]
+            return self._stored(name, note, attempts).where(F.col(KEY).isin(named)).distinct()
         asked = keys.repartition(note["buckets"], KEY).hint("shuffle_hash")
         return self._stored(name, note, attempts).join(asked, KEY, "left_semi").distinct()
 

@@ -118,8 +118,9 @@ class ParquetWarehouse:
             attempts.append(attempt)
         rows = df.withColumn(KEY_COLUMN, key_of(df, keys))
         asked = rows.select(F.col(KEY_COLUMN).alias(KEY)).distinct()
-        seen = self.key_store.seen(name, asked, attempts).select(F.col(KEY).alias(KEY_COLUMN))
-        if df.count() < probe_rows:
+        n = df.count()
+        seen = self.key_store.seen(name, asked, attempts, n).select(F.col(KEY).alias(KEY_COLUMN))
+        if n < probe_rows:
             return skew_join(rows, seen, KEY_COLUMN, "left_anti").drop(KEY_COLUMN)
         asked = asked.withColumnRenamed(KEY, KEY_COLUMN)
         unseen = written(asked.join(seen, KEY_COLUMN, "left_anti"), "unseen-keys")

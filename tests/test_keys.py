@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from fixtures import INPUTS, inputs
 from starfeed.plans import run_daily
-from starfeed.sinks import ParquetWarehouse
+from starfeed.sinks import ParquetWarehouse, keys as key_stores
 from starfeed.sinks.keys import KEY, KeyStore, key_of
 
 DATED = [r for r in INPUTS["pedidos"][1] if r[3]]
@@ -59,6 +59,16 @@ def test_the_history_is_not_shuffled(spark, tmp_path):
     assert "Exchange" not in text.split("LeftSemi")[1].split("FileScan")[0]
 
 
+def test_few_keys_open_the_buckets_they_hit(spark, tmp_path):
+    store = KeyStore(spark, str(tmp_path / "keys"), bucket_keys=100)
+    store.add("t", spark.range(1000).select(F.col("id").cast("string").alias(KEY)), "one", 1000)
+    found = store.seen("t", keys(spark, "7", "7", "1007"), ["one"], 3)
+    assert [r[0] for r in found.collect()] == ["7"]
+    opened = int(plan(found).split("SelectedBucketsCount: ")[1].split(" ")[0])
+    assert opened <= 2
+    assert store.seen("t", keys(spark), ["one"], 0).isEmpty()
+
+
 def test_buckets_follow_the_number_of_keys(spark, tmp_path):
     store = KeyStore(spark, str(tmp_path / "keys"), bucket_keys=10, loads=3)
     store.add("t", spark.range(5).select(F.col("id").cast("string").alias(KEY)), "one", 5)
@@ -78,9 +88,10 @@ def test_buckets_follow_the_number_of_keys(spark, tmp_path):
     assert generations == {store._note("t")["generation"], store._note("t")["generation"] - 1}
 
 
-@pytest.mark.parametrize("probe, probe_rows", [(100, 0), (0, 0), (100, 10**9)])
-def test_loads_with_a_key_store(spark, tmp_path, probe, probe_rows):
+@pytest.mark.parametrize("probe, probe_rows, named", [(100, 0, 1000), (0, 0, 0), (100, 10**9, 0)])
+def test_loads_with_a_key_store(spark, tmp_path, monkeypatch, probe, probe_rows, named):
     """Two loads that find no store yet, one cut off, and one with new rows; NULL keys, repeated keys and keys of two columns."""
+    monkeypatch.setattr(key_stores, "NAMED_KEYS", named)
     warehouse = ParquetWarehouse(spark, str(tmp_path / "wh"), key_rows=0)
     given = inputs(spark, pedidos=DATED)
     first = run_daily(given, warehouse, "d1")
@@ -97,7 +108,8 @@ def test_loads_with_a_key_store(spark, tmp_path, probe, probe_rows):
     assert warehouse.stored("dim_clientes").count() == first["dim_clientes"] + 2
 
 
-def test_a_store_is_made_up_from_earlier_loads(spark, tmp_path):
+def test_a_store_is_made_up_from_earlier_loads(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(key_stores, "NAMED_KEYS", 0)
     root, given = str(tmp_path / "wh"), inputs(spark, pedidos=DATED)
     run_daily(given, ParquetWarehouse(spark, root), "d1")
     assert not os.path.exists(f"{root}/key_store")

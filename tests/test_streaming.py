@@ -2,6 +2,7 @@
 
 import json
 import os
+import shutil
 
 import pytest
 from pyspark.errors import AnalysisException, StreamingQueryException
@@ -227,6 +228,24 @@ def test_merged_logs_keep_rows_and_few_files(spark, tmp_path):
         ParquetLog(str(tmp_path / "none")).read(spark)
 
 
+def test_a_thousand_batches_become_few_files(spark, tmp_path):
+    log = ParquetLog(str(tmp_path / "out"), fan=4)
+    log.write(by_hand(spark, ("a", 1.0, 1), ("b", 2.0, 1)), 0)
+    batches = tmp_path / "out" / "query_id=by-hand"
+    shutil.copytree(batches / "batch_id=0", tmp_path / "copy")
+    for n in range(1000):
+        if n:
+            shutil.copytree(tmp_path / "copy", batches / f"batch_id={n}")
+        if n in (300, 600, 900):
+            assert log.merge(spark) == 300
+    assert log.merge(spark) == 99
+    log.write(by_hand(spark, ("c", 3.0, 1)), 1000)
+    assert log.merge(spark) == 1
+    assert len(files_below(tmp_path)) <= 30
+    counts = {r["repartidor_id"]: r["count"] for r in log.read(spark).groupBy("repartidor_id").count().collect()}
+    assert counts == {"a": 1000, "b": 1000, "c": 1}
+
+
 def test_readers_that_have_begun_can_end(spark, tmp_path):
     log = ParquetLog(str(tmp_path / "out"), fan=2)
     for n in range(4):
