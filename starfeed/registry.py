@@ -255,12 +255,14 @@ def repeated_keys_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
+    """A folder of files of bounded size, as one with line breaks in its fields cannot be split."""
     (
         df.write.option("header", True)
         .option("quoteAll", True)
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
+        .option("maxRecordsPerFile", 200_000)
         .csv(path)
     )
 

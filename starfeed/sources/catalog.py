@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from starfeed.sources.csv import read_csv
 
+#: Extracts that are sized up or landed side by side, so that a small one in few files does not keep the others waiting.
+AT_A_TIME = 4
 LONG, INT, TEXT, REAL = T.LongType(), T.IntegerType(), T.StringType(), T.DoubleType()
 TIME, FLAG = T.TimestampType(), T.BooleanType()
 
@@ -113,24 +116,28 @@ def load_sources(
     ``splittable`` hold no line breaks inside fields and are read in parallel
     pieces even when they are one big file.
     """
-    whole = set(splittable)
-    return {
-        name: read_csv(
+    whole, names = set(splittable), list(names)
+
+    def read(name: str) -> DataFrame:
+        return read_csv(
             spark,
             source_path(base, name, folders),
             {**SOURCES[name].columns, **(extra_types or {}).get(name, {})},
             multi_line=SOURCES[name].multi_line and name not in whole,
         ).withColumnsRenamed(dict(SOURCES[name].renames))
-        for name in names
-    }
+
+    with ThreadPoolExecutor(AT_A_TIME) as pool:
+        return dict(zip(names, pool.map(read, names)))
 
 
 def land(inputs: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
     """Write each input once as Parquet below ``folder`` and read it back, so that
     the many tables built from it do not parse the CSV again."""
-    landed = {}
-    for name, df in inputs.items():
-        path = f"{folder.rstrip('/')}/{name}"
+
+    def landed(name: str) -> DataFrame:
+        df, path = inputs[name], f"{folder.rstrip('/')}/{name}"
         df.write.mode("overwrite").parquet(path)
-        landed[name] = df.sparkSession.read.schema(df.schema).parquet(path)
-    return landed
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    with ThreadPoolExecutor(AT_A_TIME) as pool:
+        return dict(zip(inputs, pool.map(landed, inputs)))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -57,20 +58,28 @@ def as_types(raw: DataFrame, types: Mapping[str, T.DataType]) -> DataFrame:
 
 def fitting_types(raw: DataFrame, types: Mapping[str, T.DataType]) -> dict[str, T.DataType]:
     """For each declared column of a table of texts the first type that holds all its values: the declared
-    one, one of ``WIDER``, or text. One aggregate over all columns."""
-    ladders = {c: (t, *WIDER.get(t.simpleString(), ())) for c, t in types.items() if c in raw.columns and t != T.StringType()}
-    if not ladders:
+    one, one of ``WIDER``, or text. One aggregate over all columns by their declared types, and another one by wider types only
+    over columns that do not fit and have no value that none of these takes."""
+    fitting = {c: t for c, t in types.items() if c in raw.columns and t != T.StringType()}
+    if not fitting:
         return {}
-    counts = [
-        F.count_if(misfit(F.col(f"`{c}`"), t)).alias(f"{i}_{k}")
-        for i, (c, ladder) in enumerate(ladders.items())
-        for k, t in enumerate(ladder)
-    ]
+    wider = {c: WIDER.get(t.simpleString(), ()) for c, t in fitting.items()}
+    counts = []
+    for i, (c, t) in enumerate(fitting.items()):
+        lost = misfit(F.col(f"`{c}`"), t)
+        text = reduce(Column.__and__, [F.trim(F.col(f"`{c}`")).try_cast(w).isNull() for w in wider[c]], lost)
+        counts += [F.count_if(lost).alias(f"{i}_lost"), F.count_if(text).alias(f"{i}_text")]
+    row = raw.agg(*counts).first()
+    texts = {c: row[f"{i}_text"] for i, c in enumerate(fitting) if row[f"{i}_lost"]}
+    fitting.update(dict.fromkeys(texts, T.StringType()))
+    ladders = {c: wider[c] for c, n in texts.items() if not n}
+    if not ladders:
+        return fitting
+    counts = [F.count_if(misfit(F.col(f"`{c}`"), t)).alias(f"{i}_{k}") for i, (c, ladder) in enumerate(ladders.items()) for k, t in enumerate(ladder)]
     row = raw.agg(*counts).first()
-    return {
-        c: next((t for k, t in enumerate(ladder) if not row[f"{i}_{k}"]), T.StringType())
-        for i, (c, ladder) in enumerate(ladders.items())
-    }
+    for i, (c, ladder) in enumerate(ladders.items()):
+        fitting[c] = next((t for k, t in enumerate(ladder) if not row[f"{i}_{k}"]), T.StringType())
+    return fitting
 
 
 def misfits(raw: DataFrame, types: Mapping[str, T.DataType]) -> DataFrame:
@@ -88,11 +97,11 @@ def misfit(text: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.DecimalType):
         # more digits than the type has places for are rounded off; exponents are not looked into
         fraction = F.length(F.regexp_extract(value, r"\.([0-9]*?)0*$", 1))
-        lost = lost | (fraction > kind.scale) | F.rlike(value, F.lit("[eE]"))
+        lost = lost | (value.contains(".") & (fraction > kind.scale)) | F.rlike(value, F.lit("[eE]"))
     elif isinstance(kind, T.DoubleType):
         # up to 15 digits a double gives back; of longer ones those it prints itself
         digits = F.length(F.regexp_replace(F.regexp_replace(value, "[eE].*$", ""), "[^0-9]", ""))
-        lost = lost | ((digits > 15) & (parsed.cast("string") != value))
+        lost = lost | ((F.length(value) > 15) & (digits > 15) & (parsed.cast("string") != value))
     return (F.length(value) > 0) & lost
 
 

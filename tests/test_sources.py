@@ -2,11 +2,14 @@
 
 from datetime import datetime
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
-from starfeed.sources import SOURCES, land, load_sources, misfits, read_csv, source_path
+from starfeed.registry import write_csv
+from starfeed.sources import SOURCES, csv, land, load_sources, misfits, read_csv, source_path
+from starfeed.sources.csv import fitting_types
 
 
 def write(path, text):
@@ -98,3 +101,20 @@ def test_load_renames_and_types(spark, tmp_path, folders):
     landed = land(got, str(tmp_path / "landed"))
     assert tuple(landed["wallets"].first()) == (1, 2.5)
     assert landed["pedidos"].schema == got["pedidos"].schema
+
+
+def test_wider_types_are_tried_only_where_the_declared_one_fails(spark, monkeypatch):
+    tried, given = [], csv.misfit
+    monkeypatch.setattr(csv, "misfit", lambda text, kind: tried.append(kind.simpleString()) or given(text, kind))
+    raw = spark.createDataFrame([("1", "x", "1.5", "2024-01-01"), (None, "2", "2", "?")], "a string, b string, c string, d string")
+    types = {"a": T.LongType(), "b": T.LongType(), "c": T.IntegerType(), "d": T.TimestampType()}
+    assert fitting_types(raw, types) == {"a": T.LongType(), "b": T.StringType(), "c": T.DoubleType(), "d": T.StringType()}
+    assert tried == ["bigint", "bigint", "int", "timestamp", "bigint", "double", "decimal(38,18)"]
+
+
+def test_a_large_extract_is_a_folder_of_files(spark, tmp_path):
+    """One with line breaks in its fields is read by as many tasks as it has files."""
+    path = str(tmp_path / "many.csv")
+    write_csv(spark.range(450_000).coalesce(1).withColumn("t", F.lit("a\nb")), path)
+    assert len(list(Path(path).glob("*.csv"))) == 3
+    assert read_csv(spark, path, {"id": T.LongType()}).agg(F.sum("id"), F.count("t")).first() == (450_000 * 449_999 // 2, 450_000)
