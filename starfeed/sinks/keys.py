@@ -12,7 +12,7 @@ from starfeed.workspace import read_if_there, removed
 
 KEY = "k"
 #: About so many keys to a bucket, and so many loads before their files are put together.
-BUCKET_KEYS, LOADS = 2_000_000, 100
+BUCKET_KEYS, LOADS = 500_000, 100
 #: So many keys of an extract at most are named in a query.
 NAMED_KEYS = 1000
 NOTES, NOTE_COLUMNS = "notes", "generation int, buckets int, covers array<string>"
@@ -59,6 +59,16 @@ class KeyStore:
         asked = keys.repartition(note["buckets"], KEY).hint("shuffle_hash")
         return self._stored(name, note, attempts).join(asked, KEY, "left_semi").distinct()
 
+    def unseen(self, name: str, keys: DataFrame, attempts: Sequence[str]) -> DataFrame:
+        """Those of the distinct ``keys`` that no load among ``attempts`` has added, by one pass over both sides: the keys, dealt to the
+        store's buckets, are held there and given out where no stored one that streams past is equal."""
+        note = self._note(name)
+        if note is None:
+            return keys
+        asked = keys.repartition(note["buckets"], KEY).hint("shuffle_hash")
+        stored = self._stored(name, note, attempts).select(F.col(KEY).alias("_stored"))
+        return asked.join(stored, F.col(KEY) == F.col("_stored"), "left").where(F.col("_stored").isNull()).select(KEY)
+
     def _stored(self, name: str, note: Row, attempts: Sequence[str]) -> DataFrame:
         counted = [BASE, *(a for a in attempts if a not in note["covers"])]
         return self._table(name, note["generation"], note["buckets"]).where(F.col("attempt").isin(counted)).select(KEY)

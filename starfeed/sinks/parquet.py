@@ -119,11 +119,10 @@ class ParquetWarehouse:
         rows = df.withColumn(KEY_COLUMN, key_of(df, keys))
         asked = rows.select(F.col(KEY_COLUMN).alias(KEY)).distinct()
         n = df.count()
-        seen = self.key_store.seen(name, asked, attempts, n).select(F.col(KEY).alias(KEY_COLUMN))
         if n < probe_rows:
+            seen = self.key_store.seen(name, asked, attempts, n).select(F.col(KEY).alias(KEY_COLUMN))
             return skew_join(rows, seen, KEY_COLUMN, "left_anti").drop(KEY_COLUMN)
-        asked = asked.withColumnRenamed(KEY, KEY_COLUMN)
-        unseen = written(asked.join(seen, KEY_COLUMN, "left_anti"), "unseen-keys")
+        unseen = written(self.key_store.unseen(name, asked, attempts).withColumnRenamed(KEY, KEY_COLUMN), "unseen-keys")
         return key_set(unseen, probe).cut(rows).drop(KEY_COLUMN)
 
     def _attempts_of(self, name: str, lines: Sequence[Row]) -> tuple[list[str], list[Row]]:

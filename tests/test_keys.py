@@ -7,9 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures import INPUTS, inputs
-from starfeed.plans import run_daily
+from starfeed.plans import daily, run_daily
 from starfeed.sinks import ParquetWarehouse, keys as key_stores
 from starfeed.sinks.keys import KEY, KeyStore, key_of
+from starfeed.workspace import written
 
 DATED = [r for r in INPUTS["pedidos"][1] if r[3]]
 
@@ -59,6 +60,22 @@ def test_the_history_is_not_shuffled(spark, tmp_path):
     assert "Exchange" not in text.split("LeftSemi")[1].split("FileScan")[0]
 
 
+def test_unseen_keys_take_one_pass(spark, tmp_path):
+    """Keys and stored keys meet once: the extract's keys are held, the stored ones stream past where they are."""
+    store = KeyStore(spark, str(tmp_path / "keys"), bucket_keys=100)
+    asked = spark.range(900, 1100).select(F.col("id").cast("string").alias(KEY)).distinct()
+    assert store.unseen("t", asked, ["one"]).count() == 200
+    store.add("t", spark.range(1000).select(F.col("id").cast("string").alias(KEY)), "one", 1000)
+    store.add("t", asked, "cut off", 200)
+    store.add("t", spark.range(990, 1005).select(F.col("id").cast("string").alias(KEY)), "two", 15)
+    found = store.unseen("t", asked, ["one", "two"])
+    assert sorted(int(r[0]) for r in found.collect()) == list(range(1005, 1100))
+    text = plan(found).split("Initial Plan")[0]
+    assert text.count("Join") == 1 and "ShuffledHashJoin" in text and "LeftOuter, BuildLeft" in text
+    stored = text.split("FileScan")[0].rsplit("Exchange", 1)[1]
+    assert "Bucketed: true" in text and "_stored" in stored
+
+
 def test_few_keys_open_the_buckets_they_hit(spark, tmp_path):
     store = KeyStore(spark, str(tmp_path / "keys"), bucket_keys=100)
     store.add("t", spark.range(1000).select(F.col("id").cast("string").alias(KEY)), "one", 1000)
@@ -108,6 +125,16 @@ def test_loads_with_a_key_store(spark, tmp_path, monkeypatch, probe, probe_rows,
     assert warehouse.stored("dim_clientes").count() == first["dim_clientes"] + 2
 
 
+def test_the_calendar_reads_the_orders_once(spark, tmp_path, monkeypatch):
+    """However often its dates are compared and counted."""
+    reads = []
+    monkeypatch.setattr(daily, "written", lambda df, label: reads.append(label) or written(df, label))
+    warehouse, given = ParquetWarehouse(spark, str(tmp_path / "wh"), key_rows=0), inputs(spark, pedidos=DATED)
+    first = run_daily(given, warehouse, "d1")
+    assert run_daily(given, warehouse, "d2", probe_rows=0)["dim_fecha"] == 0 < first["dim_fecha"]
+    assert reads.count("calendar") == 2
+
+
 def test_a_store_is_made_up_from_earlier_loads(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(key_stores, "NAMED_KEYS", 0)
     root, given = str(tmp_path / "wh"), inputs(spark, pedidos=DATED)
