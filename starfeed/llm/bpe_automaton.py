@@ -179,31 +179,42 @@ class Automaton:
 
 
 class AutomatonEncoder:
-    """Ids of whole texts. Each new word of a batch is read by the automaton once; up to ``limit`` words are kept."""
+    """Ids of whole texts. Each new word of a batch is read by the automaton once, and decoded from its ids once; up to ``limit`` words are kept."""
 
     def __init__(self, path: str, limit: int = 600_000):
         vocabulary = Vocabulary(path)
         self.automaton, self.split, self.limit = Automaton(vocabulary), SplitWords(vocabulary.special), limit
+        self.digits = list(map(str, range(len(self.automaton.labels))))
         self.known: dict[str, tuple[int, ...]] = {}
+        # of the same words: the ids in decimal, comma-joined, and the bytes decoded from them
+        self.shown: dict[str, str] = {}
+        self.decoded: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
+    def pieces(self, texts: list[str | None]) -> list[list[list[str] | int]]:
+        """Each text as lists of words, all known now, and ids of special tokens (see ``SplitWords``)."""
         split = [list(self.split.pieces(t)) for t in texts]
-        words = {w for pieces in split for p in pieces if isinstance(p, list) for w in p}
+        words = set(itertools.chain.from_iterable(p for pieces in split for p in pieces if isinstance(p, list)))
         if len(self.known) + len(words) > self.limit:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
-        self.known.update(zip(new, self.automaton.encode([w.encode() for w in new])))
+            self.known.clear(), self.shown.clear(), self.decoded.clear()
+        new = list(words - self.known.keys())
+        ids = self.automaton.encode([w.encode() for w in new])
+        self.known.update(zip(new, ids))
+        self.shown.update((w, ",".join(map(self.digits.__getitem__, x))) for w, x in zip(new, ids))
+        self.decoded.update((w, self.automaton.decode(x)) for w, x in zip(new, ids))
+        return split
+
+    def ids(self, pieces: list[list[str] | int]) -> list[int]:
         get = self.known.__getitem__
-        out = []
-        for pieces in split:
-            ids: list[int] = []
-            for p in pieces:
-                if isinstance(p, int):
-                    ids.append(p)
-                else:
-                    ids.extend(itertools.chain.from_iterable(map(get, p)))
-            out.append(ids)
-        return out
+        return list(itertools.chain.from_iterable([p] if isinstance(p, int) else itertools.chain.from_iterable(map(get, p)) for p in pieces))
+
+    def ids_and_bytes(self, pieces: list[list[str] | int]) -> tuple[str, bytes]:
+        """The ids in decimal, comma-joined, and what they decode to."""
+        ids = [self.digits[p] if isinstance(p, int) else ",".join(map(self.shown.__getitem__, p)) for p in pieces]
+        text = [self.automaton.decode([p]) if isinstance(p, int) else b"".join(map(self.decoded.__getitem__, p)) for p in pieces]
+        return ",".join(filter(None, ids)), b"".join(text)
+
+    def encode(self, texts: list[str | None]) -> list[list[int]]:
+        return [self.ids(pieces) for pieces in self.pieces(texts)]
 
 
 @functools.lru_cache(2)
@@ -225,15 +236,15 @@ def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
-        digits = list(map(str, range(len(coder.automaton.labels))))
         for batch in chunks(batches, "text"):
-            ids = coder.encode(batch.column("text").to_pylist())
+            split = coder.pieces(batch.column("text").to_pylist())
+            both = list(map(coder.ids_and_bytes, split))
             values = {
                 "doc_id": batch.column("doc_id"),
-                "ids": ids if with_ids else None,
-                "n_tokens": list(map(len, ids)),
-                "ids_sha256": [hashlib.sha256(",".join(map(digits.__getitem__, x)).encode()).hexdigest() for x in ids],
-                "decoded_sha256": [hashlib.sha256(coder.automaton.decode(x).decode("utf-8", "replace").encode()).hexdigest() for x in ids],
+                "ids": list(map(coder.ids, split)) if with_ids else None,
+                "n_tokens": [ids.count(",") + 1 if ids else 0 for ids, _ in both],
+                "ids_sha256": [hashlib.sha256(ids.encode()).hexdigest() for ids, _ in both],
+                "decoded_sha256": [hashlib.sha256(text.decode("utf-8", "replace").encode()).hexdigest() for _, text in both],
             }
             yield pa.record_batch([values[n] if n == "doc_id" else pa.array(values[n], t) for n, t in fields.items()], list(fields))
 

@@ -173,6 +173,18 @@ def test_automaton_on_repeats_and_ties():
     assert encoder.encode(words) == [e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False)]
 
 
+def test_a_word_is_decoded_once(monkeypatch):
+    encoder, decoded = AutomatonEncoder(VOCABULARY), []
+    plain = encoder.automaton.decode
+    monkeypatch.setattr(encoder.automaton, "decode", lambda ids: decoded.append(tuple(ids)) or plain(ids))
+    texts = ["the cat, the cat \u00e9\ud55c" * 3, "the cat", "", None, "<|endoftext|>the cat<|endoftext|>", "<|endoftext|>"]
+    ids = encoder.encode(texts)
+    both = [encoder.ids_and_bytes(p) for p in encoder.pieces(texts)]
+    assert both == [(",".join(map(str, x)), plain(x)) for x in ids]
+    words = [x for x in decoded if x != tuple(encoder.encode(["<|endoftext|>"])[0])]
+    assert len(words) == len(set(words)) == len(encoder.known)
+
+
 # ---- quality --------------------------------------------------------------------------
 
 
