@@ -13,6 +13,7 @@ from odd import LONG, ODD, PROSE, documents
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from starfeed.llm import pitman_yor
 from starfeed.llm.bpe_automaton import AutomatonEncoder, encoded
 from starfeed.llm.jaccard_join import choose_bands, jaccard_classes, one_of_each
 from starfeed.llm.packing import cut, pack, placed, sequences, tokenized
@@ -468,6 +469,21 @@ def test_seating_follows_the_restaurant_process():
     assert abs(t.mean() - np.mean(one_by_one)) < 0.25 and np.isfinite(weight).all()
 
 
+def test_a_chunk_is_held_as_numbers(monkeypatch):
+    """Its words themselves only some at a time."""
+    import pyarrow as pa
+
+    texts = [" ".join(f"w{i % 97}-{k}" for k in range(400)).encode() for i in range(100)]
+    batch = pa.record_batch([pa.array(range(100)), pa.array(texts, pa.binary())], ["doc_id", "text"])
+    held, whole = [], pitman_yor._tokens(batch, pitman_yor.Hashes(), False)
+    monkeypatch.setattr(pitman_yor, "WORDS_AT_ONCE", 1000, raising=False)
+    fromiter = np.fromiter
+    monkeypatch.setattr(np, "fromiter", lambda x, kind, n: held.append(n) or fromiter(x, kind, n))
+    cut = pitman_yor._tokens(batch, pitman_yor.Hashes(), False)
+    assert [list(x) for x in whole] == [list(x) for x in cut] and len(cut[0]) == 100 * 401
+    assert max(held) < 1500
+
+
 def test_empty_tables(spark):
     none = documents(spark, [])
     assert jaccard_classes(none).count() == one_of_each(none).count() == pack(none).count() == encoded(none).count() == 0
