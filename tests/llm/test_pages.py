@@ -189,6 +189,46 @@ def test_top_k_equals_brute_force(spark, size):
     assert collections.Counter((r["id"], tuple((x["distance"], x["id"]) for x in r["neighbours"])) for r in got.collect()) == brute_top_k(sorted(set(rows), key=str), queries, 10)
 
 
+def test_only_the_nearest_ids_leave_a_task(spark, monkeypatch):
+    """Of each asked code and block at most k + 1, however many candidates its buckets hold; several blocks and groups, codes alike in a segment, an id with many codes."""
+    monkeypatch.setattr(hamming_search, "BLOCK", 700)
+    monkeypatch.setattr(hamming_search, "GROUP", 90)
+    rng = np.random.default_rng(6)
+    rows = [(i, int(rng.integers(-(2**63), 2**63 - 1)) & ~(0xFFFFF << 20)) for i in range(2000)]
+    rows += [(5, rows[5][1] ^ (1 << b)) for b in range(14)] + [(9000 + i, rows[10][1]) for i in range(60)]
+    queries = [r for r in rows if r[0] % 10 in (0, 5)]
+    moved, written = {}, hamming_search.written
+
+    def noted(df, label):
+        out = written(df, label)
+        moved[label] = out.count()
+        if label == "found":
+            assert out.agg(F.max(F.size("near"))).first()[0] <= 10 + 15
+        return out
+
+    monkeypatch.setattr(hamming_search, "written", noted)
+    got = hamming_search.top_k(spark.createDataFrame(rows, "id long, code long"), spark.createDataFrame(queries, "id long, code long"), 10)
+    assert collections.Counter((r["id"], tuple((x["distance"], x["id"]) for x in r["neighbours"])) for r in got.collect()) == brute_top_k(rows, queries, 10)
+    assert moved["found"] == 3 * moved["asked"]
+
+
+@pytest.mark.parametrize("n, bits", [(1, 64), (300, 64), (3000, 12), (5000, 20), (40000, 64), (40000, 30)])
+def test_a_block_is_searched_exactly(n, bits):
+    rng = np.random.default_rng(n + bits)
+    codes = np.unique(rng.integers(-(2**63), 2**63 - 1, n) & ((1 << bits) - 1 if bits < 64 else -1))
+    sizes = rng.integers(1, 12, len(codes))
+    starts, ids = np.concatenate([[0], np.cumsum(sizes)]), rng.permutation(sizes.sum())
+    for a, b in zip(starts, starts[1:]):
+        ids[a:b].sort()
+    asked = np.concatenate([codes[:20], rng.integers(-(2**63), 2**63 - 1, 20)])
+    row, distance, found = hamming_search.Block(codes, starts, ids).search(asked, 11)
+    own = np.repeat(codes, sizes)
+    for i, a in enumerate(asked):
+        d = np.bitwise_count((own ^ a).view(np.uint64))
+        first = np.lexsort((ids, d))[:11]
+        assert (distance[row == i] == d[first]).all() and (found[row == i] == ids[first]).all()
+
+
 def test_sign_codes(spark):
     vectors = [[1.0] + [-1.0] * 62 + [0.5], [None, 2.0], [], None, [0.0] * 64]
     got = spark.createDataFrame([(v,) for v in vectors], T.StructType([T.StructField("e", T.ArrayType(T.DoubleType()))])).select(hamming_search.sign_code("e")).collect()
