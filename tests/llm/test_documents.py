@@ -454,6 +454,70 @@ def test_probabilities_sum_to_one(spark, small):
         assert direct / (1 + totals.customers[u]) + totals.back_off()[u] == pytest.approx(1, rel=1e-5)
 
 
+def test_each_word_before_is_a_context(spark):
+    """What follows a word that is among no corpus's most frequent ones is learned; every context has a restaurant, as its customers its tokens, and
+    probabilities that sum to one."""
+    pairs = [(f"left{i}", f"right{i}") for i in range(300)]
+    rows = [(i, " ".join(f"{a} {b} of" for a, b in pairs[i % 10 :: 10]), "en", "s") for i in range(400)]
+    docs = documents(spark, rows + [(1000 + i, f"{a} {b}", "en", "s") for i, (a, b) in enumerate(pairs)])
+    got = {r["doc_id"]: r for r in scored(docs).collect()}
+    held = [(r["score"], r["base_score"]) for i, r in got.items() if i >= 1000 and r["held_out"]]
+    assert len(held) > 20 and all(score > base + 1.5 for score, base in held)
+    model = train_pitman_yor(_source(docs, "doc_id", "text"))
+    words, totals = model.words.collect(), model.totals
+    counts, u, n, t = collections.Counter(), [], [], []
+    for i, text, *_ in [tuple(r) for r in docs.collect()]:
+        if not held_out(i):
+            tokens = [None, *text.split(), ""]
+            counts.update(zip(tokens, tokens[1:]))
+    for r in words:
+        u += [p >> 40 for p in r["pairs"]]
+        n += [p & ((1 << 40) - 1) for p in r["pairs"]]
+        t += r["t"]
+    restaurants = len({a for a, _ in counts})
+    assert len(totals.customers) == restaurants + 1 and sorted(n) == sorted(counts.values()) and len(words) == len({b for _, b in counts})
+    customers = np.bincount(u, n, restaurants)
+    assert (customers == totals.customers[:-1]).all()
+    assert customers[0] == sum(not held_out(r["doc_id"]) for r in docs.collect())
+    direct = np.bincount(u, np.asarray(n) - 0.8 * np.asarray(t), restaurants)
+    assert direct / (1 + customers) + totals.back_off() == pytest.approx(np.ones(restaurants), rel=1e-5)
+
+
+def test_scores_do_not_depend_on_the_grid(spark, small):
+    """Apart from the seating drawn, which is another in each cell."""
+    before, got = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in (1, 23):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got.append({r["doc_id"]: (r["n_known"], round(r["base_score"], 6), r["score"]) for r in scored(small, sent_words=50).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    one, other = got
+    assert {i: x[:2] for i, x in one.items()} == {i: x[:2] for i, x in other.items()}
+    assert [one[i][2] for i in sorted(one)] == pytest.approx([other[i][2] for i in sorted(one)], rel=0.02)
+
+
+@pytest.mark.parametrize("n, a, gain, d", [(2, 0.3, 0.1, 0.8), (9, 2.0, 0.5, 0.8), (30, 0.05, 0.04, 0.7), (80, 1.5, 0.2, 0.6), (90, 0.02, 0.001, 0.8), (300, 4.0, 0.08, 0.8)])
+def test_tables_are_drawn_from_their_distribution(n, a, gain, d):
+    """Against the weights of all seatings, added up customer by customer."""
+    weight = {1: a}
+    for k in range(1, n):
+        after = collections.Counter()
+        for t, x in weight.items():
+            after[t] += x * (k - d * t)
+            after[t + 1] += x * (a + gain * t)
+        most = max(after.values())
+        weight = {t: x / most for t, x in after.items()}
+    total = sum(weight.values())
+    exact = sum(t * x for t, x in weight.items()) / total
+    rng, many = np.random.default_rng(2), 20_000
+    drawn = pitman_yor.tables(np.full(many, n), np.full(many, a), np.full(many, gain), d, rng, pitman_yor.stirling(pitman_yor.EXACT, d))
+    assert drawn.mean() == pytest.approx(exact, rel=0.02)
+    if n <= pitman_yor.EXACT:
+        for t in range(1, 4):
+            assert (drawn == t).mean() == pytest.approx(weight.get(t, 0) / total, abs=0.015)
+
+
 def test_seating_follows_the_restaurant_process():
     """Mean tables against those of customers seated one at a time."""
     rng = np.random.default_rng(0)
