@@ -497,7 +497,7 @@ def test_scores_do_not_depend_on_the_grid(spark, small):
     assert [one[i][2] for i in sorted(one)] == pytest.approx([other[i][2] for i in sorted(one)], rel=0.02)
 
 
-@pytest.mark.parametrize("n, a, gain, d", [(2, 0.3, 0.1, 0.8), (9, 2.0, 0.5, 0.8), (30, 0.05, 0.04, 0.7), (80, 1.5, 0.2, 0.6), (90, 0.02, 0.001, 0.8), (300, 4.0, 0.08, 0.8)])
+@pytest.mark.parametrize("n, a, gain, d", [(2, 0.3, 0.1, 0.8), (9, 2.0, 0.5, 0.8), (30, 0.05, 0.04, 0.7), (80, 1.5, 0.2, 0.6), (90, 0.02, 0.001, 0.8), (300, 4.0, 0.08, 0.8), (2000, 200.0, 0.05, 0.8)])
 def test_tables_are_drawn_from_their_distribution(n, a, gain, d):
     """Against the weights of all seatings, added up customer by customer."""
     weight = {1: a}
