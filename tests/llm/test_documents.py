@@ -492,6 +492,7 @@ def test_scores_do_not_depend_on_the_grid(spark, small):
             got.append({r["doc_id"]: (r["n_known"], round(r["base_score"], 6), r["score"]) for r in scored(small, sent_words=50).collect()})
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("pair_counts")]
     one, other = got
     assert {i: x[:2] for i, x in one.items()} == {i: x[:2] for i, x in other.items()}
     assert [one[i][2] for i in sorted(one)] == pytest.approx([other[i][2] for i in sorted(one)], rel=0.02)
